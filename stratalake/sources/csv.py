@@ -22,8 +22,6 @@ def _parsed(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.IntegralType):
         number = column.try_cast("decimal(38,10)")
         return F.when(number == F.floor(number), number.try_cast(dtype))
-    if isinstance(dtype, T.DecimalType):
-        return column.try_cast(dtype)
     return column.try_cast(dtype)
 
 
@@ -97,13 +95,15 @@ def read_csv_raw(
     spark: SparkSession, path: str | list[str],
     types: Mapping[str, T.DataType] | str = RAW_TYPES,
     tokens: Iterable[str] = NA_TOKENS, on_bad: str = "error", file_column: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Scan CSV files that share one header.
 
     Column names come from the header, types from `types` by lower-cased name, or from the
     values with `types="infer"` (one more scan). `file_column` adds the name of each row's file.
+    `multi_line` allows line breaks inside quotes, at the price of one task per file.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
     header = reader.csv(path).schema
     # Every file's header is compared with the first one's instead of being trusted.
     text = reader.option("enforceSchema", False).schema(header).csv(path)

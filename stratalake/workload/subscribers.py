@@ -17,7 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def subscriber_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def subscriber_raw(spark: SparkSession, sf_dir: str, corrected: bool = False) -> DataFrame:
+    """The raw records; with `corrected`, a second delivery states a known age one year higher."""
     spend = (
         table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast(MONEY)).alias("total"))
@@ -48,6 +49,7 @@ def subscriber_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Every eleventh record was delivered twice.
     deliveries = F.when(F.col("CustomerID") % 11 == 0, 2).otherwise(1)
-    return rows.withColumn("_delivery", F.explode(F.sequence(F.lit(1), deliveries))).select(
-        *RAW.names
-    )
+    delivered = rows.withColumn("_delivery", F.explode(F.sequence(F.lit(1), deliveries)))
+    if corrected:
+        delivered = delivered.withColumn("Age", F.col("Age") + F.col("_delivery") - 1)
+    return delivered.select(*RAW.names)

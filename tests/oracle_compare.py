@@ -1,0 +1,44 @@
+"""Order-insensitive comparison of a Spark result with DuckDB's over the same tables."""
+
+from __future__ import annotations
+
+import math
+from pathlib import Path
+
+import duckdb
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _value(value):
+    if isinstance(value, float) and math.isnan(value):
+        return None
+    return value
+
+
+def canonical(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    names = [columns[i] for i in order]
+    table = [tuple(_value(row[i]) for i in order) for row in rows]
+    return names, sorted(table, key=repr)
+
+
+def spark_result(df):
+    return canonical(df.columns, [tuple(r) for r in df.collect()])
+
+
+def duckdb_result(con, sql):
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    return canonical(names, cursor.fetchall())
+
+
+def first_differences(left, right, limit=5):
+    a, b = set(map(repr, left)), set(map(repr, right))
+    return sorted(a - b)[:limit], sorted(b - a)[:limit]
