@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratalake.operators.joins import fits_broadcast
 from stratalake.sources.staging import Staging
 
 # monotonically_increasing_id() is documented as partition number, then 33 bits of row number.
@@ -81,3 +82,17 @@ def key_by_range(
         staged.join(F.broadcast(offsets), F.col("_part") == F.col("_offset_of"))
         .select(*kept, (F.col("_offset") + place).alias(out))
     )
+
+
+def key_labels(
+    df: DataFrame, order_by: Sequence[str], out: str, staging: Staging
+) -> DataFrame:
+    """Number the rows of a table that is expected, but not known, to be small.
+
+    Measured first: a table within the broadcast bound is numbered by one window in one task,
+    a larger one by `key_by_range`.
+    """
+    if not fits_broadcast(df):
+        return key_by_range(df, order_by, out, staging)
+    place = F.row_number().over(Window.orderBy(*order_by))
+    return df.withColumn(out, place.cast("bigint"))

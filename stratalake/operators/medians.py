@@ -3,9 +3,9 @@
 Each value becomes an integer (its count of smallest units), and the two middle ranks are
 located digit by digit from the most significant end: a histogram over the leading digit finds
 the prefix that holds a rank, the next histogram looks inside that prefix only, and so on down
-to the unit. A histogram has at most 2**18 rows per column whatever the number of input rows,
+to the unit. A histogram has at most 2**22 rows per column whatever the number of input rows,
 and is counted map-side, so values repeated very often or columns that are all distinct (ids)
-cost the same. Integers and decimals up to ten digits take two passes, wider ones four.
+cost the same. Integers and decimals up to ten digits take two passes, wider ones three.
 """
 
 from __future__ import annotations
@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_NARROW_SHIFTS = (18, 0)
-_WIDE_SHIFTS = (48, 32, 16, 0)
+# Bits below each digit, from the first histogram to the last. Beside wide columns the narrow
+# ones go along once more in the last pass.
+_NARROW_SHIFTS = (18, 0, 0)
+_WIDE_SHIFTS = (42, 21, 0)
 _NARROW_TYPES = (T.ByteType, T.ShortType, T.IntegerType)
 
 
@@ -45,13 +47,13 @@ def _units(name: str, dtype: T.DataType) -> Column:
 
 def _locate(counted: DataFrame) -> DataFrame:
     """Keep, per column and target rank, the digit in which the rank falls."""
-    below = Window.partitionBy("column_name", "target").orderBy("digit")
+    below = Window.partitionBy("column_id", "target").orderBy("digit")
     upto = F.sum("n").over(below.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
         counted.withColumn("upto", upto)
         .where((F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
         .select(
-            "column_name", "target", F.col("digit").alias("prefix"),
+            "column_id", "target", F.col("digit").alias("prefix"),
             (F.col("rank") - (F.col("upto") - F.col("n"))).alias("rank"),
         )
     )
@@ -66,17 +68,22 @@ def middle_units(
     NULLs, for which the later passes then read nothing.
     """
     types = {f.name: f.dataType for f in df.schema}
-    narrow = all(_is_narrow(types[c]) for c in columns)
-    first, *rest = _NARROW_SHIFTS if narrow else _WIDE_SHIFTS
-    long = df.select(*[_units(c, types[c]).alias(c) for c in columns]).unpivot(
-        [], list(columns), "column_name", "units"
-    )
+    narrow = [_is_narrow(types[c]) for c in columns]
+    passes = 2 if all(narrow) else 3
+    shifts = [_NARROW_SHIFTS if is_narrow else _WIDE_SHIFTS for is_narrow in narrow]
+
+    def shifted(level: int) -> Column:
+        below = F.array(*[F.lit(s[level]) for s in shifts])
+        return F.call_function("shiftright", F.col("units"), below[F.col("column_id")])
+
+    # A number, not the name, tells columns apart: cheaper to hash for every value.
+    pairs = [x for i, c in enumerate(columns) for x in (F.lit(i), _units(c, types[c]))]
+    long = df.select(F.stack(F.lit(len(columns)), *pairs).alias("column_id", "units"))
 
-    histogram = (
-        long.groupBy("column_name", F.shiftright("units", first).alias("digit"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    histogram = long.groupBy("column_id", shifted(0).alias("digit")).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    whole = Window.partitionBy("column_name")
+    whole = Window.partitionBy("column_id")
     present = F.sum(F.when(F.col("digit").isNotNull(), F.col("n"))).over(whole)
     missing = F.sum(F.when(F.col("digit").isNull(), F.col("n"))).over(whole)
     counted = histogram.withColumn("present", present).withColumn("missing", missing)
@@ -88,25 +95,26 @@ def middle_units(
     )
     located = _locate(
         counted.where(F.col("digit").isNotNull())
-        .select("column_name", "digit", "n", F.inline(targets))
+        .select("column_id", "digit", "n", F.inline(targets))
     )
-
-    above = first
-    for shift in rest:
+    for level in range(1, passes):
         # Two ranks per column, so the broadcast side has 2 * len(columns) rows.
         inside = (
-            long.withColumn("prefix", F.shiftright("units", above))
-            .join(F.broadcast(located), ["column_name", "prefix"])
-            .groupBy("column_name", "target", "rank", F.shiftright("units", shift).alias("digit"))
+            long.withColumn("prefix", shifted(level - 1))
+            .join(F.broadcast(located), ["column_id", "prefix"])
+            .groupBy("column_id", "target", "rank", shifted(level).alias("digit"))
             .agg(F.count(F.lit(1)).alias("n"))
         )
         located = _locate(inside)
-        above = shift
 
     def unit(target: str) -> Column:
         return F.max(F.when(F.col("target") == target, F.col("prefix"))).alias(target)
 
-    return located.groupBy("column_name").agg(unit("lower"), unit("upper"))
+    names = F.array(*map(F.lit, columns))
+    return (
+        located.groupBy("column_id").agg(unit("lower"), unit("upper"))
+        .select(names[F.col("column_id")].alias("column_name"), "lower", "upper")
+    )
 
 
 def _midpoint(dtype: T.DataType) -> Column:

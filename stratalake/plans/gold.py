@@ -19,7 +19,7 @@ from stratalake.functions import (
 from stratalake.operators.columns import conform
 from stratalake.operators.dimensions import distinct_attributes, with_derived
 from stratalake.operators.joins import fits_broadcast, lookup_key
-from stratalake.operators.keys import key_by_hex_prefix, key_by_range
+from stratalake.operators.keys import key_by_hex_prefix, key_by_range, key_labels
 from stratalake.sources.staging import Staging
 
 # Everything but the key in a fact row; the key follows customer_sk, the rest breaks ties.
@@ -74,18 +74,25 @@ def build_dim_customer(silver: DataFrame, ctx: RunContext) -> DataFrame:
     }), S.DIM_CUSTOMER)
 
 
+def label_rows(silver: DataFrame) -> DataFrame:
+    """The distinct labels from which both label dimensions can be built; stage them once."""
+    return silver.select("internet_service", "tech_support", "contract_type").distinct()
+
+
 def build_dim_service(silver: DataFrame, staging: Staging) -> DataFrame:
+    """Service dimension of silver, or of its staged `label_rows`."""
     attributes = ["internet_service", "tech_support"]
     rows = distinct_attributes(silver, {c: c for c in attributes})
-    keyed = key_by_range(rows, attributes, "service_sk", staging)
+    keyed = key_labels(rows, attributes, "service_sk", staging)
     return conform(with_derived(keyed, {
         "service_bundle_type": service_bundle(*map(F.col, attributes)),
     }), S.DIM_SERVICE)
 
 
 def build_dim_contract(silver: DataFrame, staging: Staging) -> DataFrame:
+    """Contract dimension of silver, or of its staged `label_rows`."""
     rows = distinct_attributes(silver, {"contract_type": "contract_type"})
-    keyed = key_by_range(rows, ["contract_type"], "contract_sk", staging)
+    keyed = key_labels(rows, ["contract_type"], "contract_sk", staging)
     return conform(with_derived(keyed, {
         "contract_duration_months": contract_months(F.col("contract_type")),
     }), S.DIM_CONTRACT)

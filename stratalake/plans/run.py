@@ -14,6 +14,7 @@ from stratalake.plans.gold import (
     build_dim_customer,
     build_dim_service,
     build_fact,
+    label_rows,
 )
 from stratalake.plans.silver import build_silver
 from stratalake.plans.validate import gold_not_empty
@@ -58,10 +59,7 @@ def load_gold(store: LayerStore, ctx: RunContext) -> list[tuple]:
 
     with Staging(store.spark) as staging:
         publish(build_dim_customer(silver, ctx), "dim_customer")
-        # Both label dimensions come from one scan: their distinct labels are few.
-        labels = staging.table(
-            silver.select("internet_service", "tech_support", "contract_type").distinct()
-        )
+        labels = staging.table(label_rows(silver))
         publish(build_dim_service(labels, staging), "dim_service")
         publish(build_dim_contract(labels, staging), "dim_contract")
         dims = {

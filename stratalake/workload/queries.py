@@ -78,17 +78,16 @@ def _silver(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _gold(
-    silver: DataFrame, staging: Staging, ctx: RunContext = RUN, with_fact: bool = True
+    silver: DataFrame, staging: Staging, ctx: RunContext = RUN
 ) -> dict[str, DataFrame]:
     """Gold frames over a written silver table."""
+    labels = staging.table(G.label_rows(silver))
     gold = {
         "dim_customer": staging.table(G.build_dim_customer(silver, ctx)),
-        "dim_service": staging.table(G.build_dim_service(silver, staging)),
-        "dim_contract": staging.table(G.build_dim_contract(silver, staging)),
+        "dim_service": staging.table(G.build_dim_service(labels, staging)),
+        "dim_contract": staging.table(G.build_dim_contract(labels, staging)),
     }
-    if with_fact:
-        gold["fact_customer_churn"] = G.build_fact(silver, gold, ctx, staging)
-    return gold
+    return gold | {"fact_customer_churn": G.build_fact(silver, gold, ctx, staging)}
 
 
 def _standard_gold(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -304,12 +303,12 @@ def q_dim_customer(spark, d):
 
 def q_dim_service(spark, d):
     staging = Staging(spark)
-    return G.build_dim_service(_silver(spark, d), staging)
+    return G.build_dim_service(staging.table(G.label_rows(_silver(spark, d))), staging)
 
 
 def q_dim_contract(spark, d):
     staging = Staging(spark)
-    return G.build_dim_contract(_silver(spark, d), staging)
+    return G.build_dim_contract(staging.table(G.label_rows(_silver(spark, d))), staging)
 
 
 def q_dense_key_distinct(spark, d):
