@@ -9,6 +9,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.sources.staging import Staging
+
 
 BROADCAST_MAX_ROWS = 100_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -31,37 +33,43 @@ def fits_broadcast(
     return measured["n"] <= max_rows and measured["size"] <= max_bytes
 
 
+def _one_per_key(
+    dim: DataFrame, keys: Sequence[str], sk: str, on_conflict: str, prefer: Column | None
+) -> DataFrame:
+    grouped = dim.groupBy(*keys)
+    if on_conflict == "pick":
+        if prefer is None:
+            raise ValueError("on_conflict='pick' needs `prefer`")
+        return grouped.agg(F.max_by(sk, F.struct(prefer, F.col(sk))).alias(sk))
+    if on_conflict == "error":
+        key = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+        refusal = F.raise_error(F.concat(F.lit(f"several {sk} for "), key)).cast("boolean")
+        counted = grouped.agg(F.max(sk).alias(sk), F.count(F.lit(1)).alias("_n"))
+        # In a filter, so that it also holds where nobody reads the key.
+        return counted.where(F.when(F.col("_n") > 1, refusal).otherwise(True)).drop("_n")
+    raise ValueError(f"on_conflict must be fanout, error or pick, not {on_conflict!r}")
+
+
 def lookup_key(
     fact: DataFrame, dim: DataFrame, natural_keys: Sequence[str], sk: str,
     null_safe: bool = False, broadcast: bool = False, on_conflict: str = "fanout",
-    prefer: Column | None = None,
+    prefer: Column | None = None, staging: Staging | None = None,
 ) -> DataFrame:
     """Add `sk` of the dimension row(s) with the fact's natural key; unmatched facts drop out.
 
-    `broadcast` says that the caller measured the dimension (see `fits_broadcast`); without it
-    both sides are shuffled and adaptive execution splits keys that hold too many facts.
+    `broadcast` says that the caller measured the dimension (see `fits_broadcast`). Without it
+    both sides are shuffled, and adaptive execution splits the keys that hold too many facts. It
+    can do so only where the join reads both shuffles directly: give written tables.
     NULL keys match nothing unless `null_safe`. If a natural key has several dimension rows,
     `fanout` gives one row for each, `error` fails the job and `pick` takes the row with the
-    greatest `prefer`.
+    greatest `prefer`; the last two reduce the dimension first, into `staging` if given.
     """
     keys = list(natural_keys)
     if on_conflict == "fanout":
         side = dim.select(*keys, sk)
-    elif on_conflict == "error":
-        side = dim.groupBy(*keys).agg(
-            F.when(
-                F.count(F.lit(1)) > 1,
-                F.raise_error(F.concat_ws(
-                    " ", F.lit(f"several {sk} for"), *[F.col(k).cast("string") for k in keys]
-                )).cast("bigint"),
-            ).otherwise(F.max(sk)).alias(sk)
-        )
-    elif on_conflict == "pick":
-        if prefer is None:
-            raise ValueError("on_conflict='pick' needs `prefer`")
-        side = dim.groupBy(*keys).agg(F.max_by(sk, F.struct(prefer, F.col(sk))).alias(sk))
     else:
-        raise ValueError(f"on_conflict must be fanout, error or pick, not {on_conflict!r}")
+        side = _one_per_key(dim, keys, sk, on_conflict, prefer)
+        side = staging.table(side) if staging and not broadcast else side
     if not null_safe:
         hinted = F.broadcast(side) if broadcast else side
         return fact.join(hinted, keys).select(*fact.columns, sk)

@@ -99,7 +99,7 @@ def build_dim_contract(silver: DataFrame, staging: Staging) -> DataFrame:
 
 
 def fact_rows(
-    silver: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext
+    silver: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, staging: Staging
 ) -> DataFrame:
     """Fact measures with the dimensions' keys, not yet numbered; silver's other columns stay.
 
@@ -121,6 +121,7 @@ def fact_rows(
         null_safe=ctx.null_safe_lookup, on_conflict=ctx.on_conflict,
         # The longest tenure is a customer's most recent record.
         prefer=F.col("tenure_months") if ctx.on_conflict == "pick" else None,
+        staging=staging,
     )
     churned = is_churned(F.col("churn"))
     return fact.withColumns({
@@ -140,7 +141,8 @@ def build_fact(
     it a hash of the row does, which cannot split rows equal in every column.
     """
     tag = F.col(row_id) if row_id else F.xxhash64(*silver.columns)
-    rows = fact_rows(silver.withColumn("_tag", tag), dims, ctx).select(*FACT_ORDER, "_tag")
+    tagged = silver.withColumn("_tag", tag)
+    rows = fact_rows(tagged, dims, ctx, staging).select(*FACT_ORDER, "_tag")
     keyed = key_by_range(
         rows, FACT_ORDER, "fact_sk", staging, spread_by=["_tag"], drop=["_tag"]
     )
