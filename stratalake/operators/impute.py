@@ -23,17 +23,20 @@ def na_tokens(
 
 
 def median_impute(
-    df: DataFrame, exclude: Iterable[str] = (), approx: bool = False
+    df: DataFrame, exclude: Iterable[str] = (), approx: bool = False, measured: DataFrame | None = None
 ) -> DataFrame:
     """Fill NULLs of every numeric column with the column's median.
 
     The medians are one scalar subquery: no join, nothing brought to the caller. A column
-    without NULLs is left alone and one without values stays NULL.
+    without NULLs is left alone and one without values stays NULL. `measured` may give the rows
+    to take the medians of in another form, where df's own would not be reused by Spark.
     """
     columns = numeric_columns(df, exclude)
     if not columns:
         return df
-    medians = median_row(df, columns, only_incomplete=True, approx=approx)
+    medians = median_row(
+        df if measured is None else measured, columns, only_incomplete=True, approx=approx
+    )
     filled = df.withColumn("_medians", medians.select(F.struct(*columns)).scalar())
     return filled.withColumns(
         {c: F.coalesce(F.col(c), F.col("_medians").getField(c)) for c in columns}

@@ -22,8 +22,11 @@ def build_bronze(
     """
     distinct = dedupe_exact(raw, copies, keep_min=[file_column] if file_column else ())
     technical = {c for c in (copies, file_column) if c}
+    # Medians and rows come from the same shuffle, provided that both ask it for the same
+    # columns: the condition, always true, keeps `copies` from being pruned for the medians.
+    measured = distinct.where(F.col(copies) > 0) if copies else distinct
     filled = median_impute(
-        distinct, exclude={*ctx.impute_exclude, *technical}, approx=ctx.approx_median
+        distinct, {*ctx.impute_exclude, *technical}, ctx.approx_median, measured
     )
     filled = constant_impute(
         filled, columns=[c for c in text_columns(filled) if c not in technical]
