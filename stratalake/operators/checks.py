@@ -52,7 +52,7 @@ def check_unique(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
 
 
 def check_not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    return _count_each(df, table, {f"not_null({c})": F.col(c).isNull() for c in columns})
+    return check_columns(df, table, required=columns)
 
 
 def check_foreign_key(
@@ -91,9 +91,17 @@ def check_domain(
     df: DataFrame, table: str, limits: Mapping[str, int | tuple[int, int]]
 ) -> DataFrame:
     """Rows with text longer than the declared length or numbers wider than (precision, scale)."""
-    return _count_each(
-        df, table, {_domain_name(c, limit): _outside(c, limit) for c, limit in limits.items()}
-    )
+    return check_columns(df, table, limits=limits)
+
+
+def check_columns(
+    df: DataFrame, table: str, required: Sequence[str] = (),
+    limits: Mapping[str, int | tuple[int, int]] | None = None,
+) -> DataFrame:
+    """Both kinds of column check in one scan: NULLs in `required`, values beyond `limits`."""
+    conditions = {f"not_null({c})": F.col(c).isNull() for c in required}
+    conditions |= {_domain_name(c, limit): _outside(c, limit) for c, limit in (limits or {}).items()}
+    return _count_each(df, table, conditions)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

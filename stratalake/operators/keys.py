@@ -28,7 +28,7 @@ def _offsets(sizes: DataFrame, part: str) -> DataFrame:
 
 
 def key_by_hex_prefix(
-    df: DataFrame, order_by: Sequence[str], out: str, digits: int = 3
+    df: DataFrame, order_by: Sequence[str], out: str, digits: int = 4
 ) -> DataFrame:
     """Number rows in the order of `order_by`, whose first column is a lower-case hex digest.
 

@@ -46,16 +46,23 @@ def _units(name: str, dtype: T.DataType) -> Column:
 
 
 def _locate(counted: DataFrame) -> DataFrame:
-    """Keep, per column and target rank, the digit in which the rank falls."""
-    below = Window.partitionBy("column_id", "target").orderBy("digit")
-    upto = F.sum("n").over(below.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    """The digits in which the sought ranks fall: (column_id, prefix, lower, upper).
+
+    `counted` has the histogram (digit, n) of each column's prefixes and the ranks sought within
+    each, NULL if there is none. At most two rows per column remain, each with the ranks that
+    are left to find below its digit.
+    """
+    below = Window.partitionBy("column_id", "lower", "upper").orderBy("digit")
+    before = F.sum("n").over(below.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    def left(rank: str) -> Column:
+        reached = F.col(rank) - (F.col("upto") - F.col("n"))
+        return F.when(reached.between(1, F.col("n")), reached).alias(rank)
+
     return (
-        counted.withColumn("upto", upto)
-        .where((F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
-        .select(
-            "column_id", "target", F.col("digit").alias("prefix"),
-            (F.col("rank") - (F.col("upto") - F.col("n"))).alias("rank"),
-        )
+        counted.withColumn("upto", before)
+        .select("column_id", F.col("digit").alias("prefix"), left("lower"), left("upper"))
+        .where(F.col("lower").isNotNull() | F.col("upper").isNotNull())
     )
 
 
@@ -89,26 +96,24 @@ def middle_units(
     counted = histogram.withColumn("present", present).withColumn("missing", missing)
     if only_incomplete:
         counted = counted.where(F.col("missing") > 0)
-    targets = F.array(
-        F.struct(F.lit("lower").alias("target"), F.expr("(present + 1) div 2").alias("rank")),
-        F.struct(F.lit("upper").alias("target"), F.expr("present div 2 + 1").alias("rank")),
-    )
     located = _locate(
-        counted.where(F.col("digit").isNotNull())
-        .select("column_id", "digit", "n", F.inline(targets))
+        counted.where(F.col("digit").isNotNull()).select(
+            "column_id", "digit", "n",
+            F.expr("(present + 1) div 2").alias("lower"), F.expr("present div 2 + 1").alias("upper"),
+        )
     )
     for level in range(1, passes):
-        # Two ranks per column, so the broadcast side has 2 * len(columns) rows.
+        # Two prefixes per column at most, so the broadcast side has 2 * len(columns) rows.
         inside = (
             long.withColumn("prefix", shifted(level - 1))
             .join(F.broadcast(located), ["column_id", "prefix"])
-            .groupBy("column_id", "target", "rank", shifted(level).alias("digit"))
+            .groupBy("column_id", "lower", "upper", shifted(level).alias("digit"))
             .agg(F.count(F.lit(1)).alias("n"))
         )
         located = _locate(inside)
 
-    def unit(target: str) -> Column:
-        return F.max(F.when(F.col("target") == target, F.col("prefix"))).alias(target)
+    def unit(rank: str) -> Column:
+        return F.max(F.when(F.col(rank).isNotNull(), F.col("prefix"))).alias(rank)
 
     names = F.array(*map(F.lit, columns))
     return (

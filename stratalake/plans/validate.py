@@ -30,8 +30,7 @@ def gold_constraints(gold: Mapping[str, DataFrame]) -> DataFrame:
     reports = [gold_not_empty(gold)]
     for table, key, required in _KEYS:
         reports.append(C.check_unique(gold[table], table, key))
-        reports.append(C.check_not_null(gold[table], table, required))
-        reports.append(C.check_domain(gold[table], table, S.LIMITS[table]))
+        reports.append(C.check_columns(gold[table], table, required, S.LIMITS[table]))
     reports.append(
         C.check_unique(gold["dim_customer"], "dim_customer", ["customer_id_anonymized"])
     )
@@ -47,8 +46,7 @@ def silver_constraints(silver: DataFrame) -> DataFrame:
     key = ["customer_id_anonymized"]
     return C.union_reports([
         C.check_unique(silver, "silver", key),
-        C.check_not_null(silver, "silver", key),
-        C.check_domain(silver, "silver", S.LIMITS["silver"]),
+        C.check_columns(silver, "silver", key, S.LIMITS["silver"]),
     ])
 
 
