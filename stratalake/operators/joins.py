@@ -21,13 +21,14 @@ def fits_broadcast(
 ) -> bool:
     """Measure whether a table is small enough to be sent to every executor.
 
-    Reads at most max_rows + 1 rows, so call it on a written table rather than on a query.
+    One distributed aggregate over the table: call it on a written table, with the columns that
+    would be sent.
     """
     width = reduce(
         lambda a, b: a + b,
         [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns],
     )
-    measured = df.limit(max_rows + 1).agg(
+    measured = df.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")
     ).first()
     return measured["n"] <= max_rows and measured["size"] <= max_bytes
