@@ -30,6 +30,10 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("stage", choices=STAGES)
     parser.add_argument("--store", required=True, help="root folder of the layer tables")
     parser.add_argument("--source", help="CSV file or folder (stages all and bronze)")
+    parser.add_argument(
+        "--record-files", action="store_true",
+        help="record each row's own file instead of the source's name",
+    )
     parser.add_argument("--run-id", help="recorded with every bronze row")
     parser.add_argument(
         "--keep-null", nargs="*", default=(), metavar="COLUMN",
@@ -52,16 +56,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[dict]:
         on_conflict=args.on_conflict, null_safe_lookup=args.null_safe, hash_salt=args.hash_salt,
     )
     store = LayerStore(spark, args.store)
+    files = "source_file" if args.record_files else None
 
     def metrics(rows: list[tuple]) -> list[dict]:
         names = ("stage", "table_name", "row_count", "duplicates_removed")
         return [dict(zip(names, row)) for row in rows]
 
     if args.stage == "all":
-        raw = read_csv_raw(spark, args.source)
-        return [r.asDict() for r in run_layers(spark, raw, store, ctx).collect()]
+        raw = read_csv_raw(spark, args.source, file_column=files)
+        return [r.asDict() for r in run_layers(spark, raw, store, ctx, files).collect()]
     if args.stage == "bronze":
-        return metrics(load_bronze(read_csv_raw(spark, args.source), store, ctx))
+        raw = read_csv_raw(spark, args.source, file_column=files)
+        return metrics(load_bronze(raw, store, ctx, files))
     if args.stage == "silver":
         return metrics(load_silver(store, ctx))
     if args.stage == "gold":

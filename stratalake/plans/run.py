@@ -29,8 +29,10 @@ METRICS = T.StructType([
 ])
 
 
-def load_bronze(raw: DataFrame, store: LayerStore, ctx: RunContext) -> list[tuple]:
-    bronze = build_bronze(raw, ctx, copies="_copies")
+def load_bronze(
+    raw: DataFrame, store: LayerStore, ctx: RunContext, file_column: str | None = None
+) -> list[tuple]:
+    bronze = build_bronze(raw, ctx, copies="_copies", file_column=file_column)
     seen = store.write(
         bronze, "bronze", "subscribers", ctx.version,
         metrics={"read": F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint")},
@@ -74,13 +76,14 @@ def load_gold(store: LayerStore, ctx: RunContext) -> list[tuple]:
 
 
 def run_layers(
-    spark: SparkSession, raw: DataFrame, store: LayerStore, ctx: RunContext
+    spark: SparkSession, raw: DataFrame, store: LayerStore, ctx: RunContext,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Refresh every layer and validate gold; (stage, table_name, row_count, duplicates_removed).
 
     Any failure propagates and leaves the previous versions as the newest ones.
     """
-    metrics = load_bronze(raw, store, ctx)
+    metrics = load_bronze(raw, store, ctx, file_column)
     metrics += load_silver(store, ctx)
     metrics += load_gold(store, ctx)
     require(gold_not_empty(store.gold()))

@@ -19,10 +19,12 @@ _INFERRED_NUMBER = T.DecimalType(18, 2)
 
 def _parsed(column: Column, dtype: T.DataType) -> Column:
     """Text to `dtype`, NULL if it is not one. Whole numbers may be written like 5.0."""
+    value = column.try_cast(dtype)
     if isinstance(dtype, T.IntegralType):
-        number = column.try_cast("decimal(38,10)")
-        return F.when(number == F.floor(number), number.try_cast(dtype))
-    return column.try_cast(dtype)
+        # Only text that is not plainly whole pays for the second look.
+        number = column.try_cast("decimal(28,10)")
+        value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(dtype)))
+    return value
 
 
 def typed(
@@ -67,7 +69,7 @@ def infer_types(df: DataFrame) -> dict[str, T.DataType]:
             fits(c, T.IntegerType()).alias("int"),
             fits(c, T.LongType()).alias("long"),
             F.count_if(
-                F.col(c).try_cast(number) == F.col(c).try_cast("decimal(38,10)")
+                F.col(c).try_cast(number) == F.col(c).try_cast("decimal(28,10)")
             ).alias("number"),
             fits(c, T.DoubleType()).alias("double"),
         ).alias(c)

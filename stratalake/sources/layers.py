@@ -3,6 +3,10 @@
 A write goes to a new version folder, which readers ignore until Spark's commit leaves its
 _SUCCESS marker; a failed load therefore keeps the last good table. Versions are named after
 the run, so all tables of a run share one version and can be read together.
+
+Bronze is open: it keeps columns that its schema does not name, and is read as it was written,
+so that silver sees which of its variants an extract had. The other layers are written and read
+in exactly their schema. Columns that start with an underscore are never written.
 """
 
 from __future__ import annotations
@@ -17,6 +21,9 @@ from stratalake.schemas import GOLD_TABLES, TABLES
 from stratalake.sources.filesystem import child_names, exists, remove_tree
 
 
+OPEN_LAYERS = ("bronze",)
+
+
 class LayerStore:
     def __init__(
         self, spark: SparkSession, root: str,
@@ -38,18 +45,21 @@ class LayerStore:
         self, df: DataFrame, layer: str, table: str, version: str,
         partition_by: Sequence[str] = (), metrics: Mapping | None = None,
     ) -> dict[str, int]:
-        """Write one version in the table's declared schema; returns what was counted on the way.
+        """Write one version; returns what was counted on the way.
 
-        `rows` is always counted; `metrics` adds aggregates over df, whose other columns are not
-        written. Counting rides on the write, so nothing is computed twice.
+        `rows` is always counted; `metrics` adds aggregates over df. Counting rides on the write,
+        so nothing is computed twice.
         """
         schema = self.tables[(layer, table)]
         counted = Observation(f"{layer}.{table}")
         extra = [column.alias(name) for name, column in (metrics or {}).items()]
         observed = df.observe(counted, F.count(F.lit(1)).alias("rows"), *extra)
-        present = [f for f in schema if f.name in df.columns]
-        typed = observed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in present])
-        writer = typed.write.mode("overwrite")
+        written = [
+            F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in df.columns
+        ]
+        if layer in OPEN_LAYERS:
+            written += [c for c in df.columns if c not in schema.names and not c.startswith("_")]
+        writer = observed.select(*written).write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(layer, table, version))
@@ -72,12 +82,15 @@ class LayerStore:
             if not committed:
                 raise FileNotFoundError(f"{layer}.{table} has no committed version in {self.root}")
             version = committed[-1]
-        schema = self.tables[(layer, table)]
-        df = self.spark.read.schema(schema).parquet(self.path(layer, table, version))
+        reader = self.spark.read
+        if layer not in OPEN_LAYERS:
+            reader = reader.schema(self.tables[(layer, table)])
+        df = reader.parquet(self.path(layer, table, version))
+        names = df.columns if layer in OPEN_LAYERS else self.tables[(layer, table)].names
         if row_id is None:
-            return df.select(*schema.names)
+            return df.select(*names)
         place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-        return df.select(*schema.names, place.alias(row_id))
+        return df.select(*names, place.alias(row_id))
 
     def snapshot(self, layer: str, tables: Sequence[str]) -> dict[str, DataFrame]:
         """The newest version that all the tables have, so that their keys belong together."""

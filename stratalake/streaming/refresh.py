@@ -7,6 +7,7 @@ gold keys depend on the whole table and are refreshed by run_layers.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from stratalake.context import RunContext
 from stratalake.operators.columns import conform
@@ -14,9 +15,11 @@ from stratalake.plans.silver import build_silver
 from stratalake.schemas import BRONZE, SILVER
 
 
-def silver_stream(spark: SparkSession, bronze_path: str, ctx: RunContext) -> DataFrame:
+def silver_stream(
+    spark: SparkSession, bronze_path: str, ctx: RunContext, schema: T.StructType = BRONZE
+) -> DataFrame:
     """Streaming silver records of the files that appear below `bronze_path`."""
-    bronze = spark.readStream.schema(BRONZE).parquet(bronze_path)
+    bronze = spark.readStream.schema(schema).parquet(bronze_path)
     return conform(build_silver(bronze, ctx), SILVER)
 
 

@@ -4,6 +4,8 @@ import pytest
 
 from stratalake.job import parse, run
 from stratalake.operators.checks import ConstraintViolation
+from stratalake.schemas import GOLD_TABLES
+from stratalake.sources.layers import LayerStore
 from stratalake.workload.queries import _csv_folder
 
 
@@ -28,6 +30,13 @@ def test_stage_by_stage_equals_all(spark, source, tmp_path):
     assert all(row["violations"] == 0 for row in stage("validate", single))
 
 
+def test_files_are_recorded_on_request(spark, source, tmp_path):
+    store = str(tmp_path / "lake")
+    run(spark, parse(["bronze", "--store", store, "--source", source, "--record-files"]))
+    names = LayerStore(spark, store).read("bronze", "subscribers").select("source_file").distinct()
+    assert all(r[0].startswith("part-") for r in names.collect())
+
+
 def test_arguments():
     with pytest.raises(SystemExit):
         parse(["all", "--store", "/s"])
@@ -38,9 +47,6 @@ def test_arguments():
 
 
 def test_validate_refuses_an_empty_gold(spark, source, tmp_path):
-    from stratalake.sources.layers import LayerStore
-    from stratalake.schemas import GOLD_TABLES
-
     store = LayerStore(spark, str(tmp_path))
     for table in GOLD_TABLES:
         store.reset("gold", table, "v1")

@@ -293,6 +293,18 @@ def test_fact_partitioned_by_churn(spark, tmp_path):
     assert store.gold()["fact_customer_churn"].count() == 150
 
 
+def test_drifted_source_keeps_its_values_through_the_store(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    drifted = raw_rows(spark, {}, {"CustomerID": 2, "Age": None}).withColumnsRenamed(
+        {"Age": "SeniorCitizen", "ContractType": "Contract"}
+    )
+    run_layers(spark, drifted, store, CTX)
+    silver = store.read("silver", "subscribers")
+    assert silver.schema == S.SILVER
+    assert {(r["age"], r["contract_type"]) for r in silver.collect()} == {(40, "one-year")}
+    assert "seniorcitizen" in store.read("bronze", "subscribers").columns
+
+
 def test_versions_sort_by_time():
     earlier = RunContext(run_id="z", run_ts=datetime(2024, 1, 1))
     later = RunContext(run_id="a/b", run_ts=datetime(2024, 1, 1, 1, tzinfo=timezone.utc))
