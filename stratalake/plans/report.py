@@ -8,14 +8,11 @@ from stratalake.operators.report import rate_report
 
 # The report as SQL text over tables registered as gold.* (see LayerStore.register).
 CHURN_RATE_SQL = """
-    SELECT c.contract_type, s.internet_service,
-           count(f.customer_sk) AS customer_count,
-           cast(count_if(f.is_churned) AS double) / count(*) * 100 AS churn_rate_percent
-    FROM {fact} f
-    JOIN {contract} c ON f.contract_sk = c.contract_sk
-    JOIN {service} s ON f.service_sk = s.service_sk
-    GROUP BY c.contract_type, s.internet_service
-    ORDER BY churn_rate_percent DESC, c.contract_type, s.internet_service
+    SELECT contract_type, internet_service, count(customer_sk) AS customer_count,
+           count_if(is_churned) / double(count(*)) * 100 AS churn_rate_percent
+    FROM {fact} JOIN {contract} USING (contract_sk) JOIN {service} USING (service_sk)
+    GROUP BY contract_type, internet_service
+    ORDER BY churn_rate_percent DESC, contract_type, internet_service
 """
 
 

@@ -70,6 +70,16 @@ class LayerStore:
         empty = self.spark.createDataFrame([], self.tables[(layer, table)])
         empty.write.mode("overwrite").parquet(self.path(layer, table, version))
 
+    def define(self, version: str, replace: bool = False) -> list[tuple[str, str]]:
+        """Publish an empty version of every table that has none yet, or of all of them.
+
+        Earlier versions stay in place; `replace` only makes the empty ones the newest.
+        """
+        made = [key for key in self.tables if replace or not self.versions(*key)]
+        for layer, table in made:
+            self.reset(layer, table, version)
+        return made
+
     def read(
         self, layer: str, table: str, version: str | None = None, row_id: str | None = None
     ) -> DataFrame:

@@ -144,12 +144,10 @@ picked_customer as (
 _GOLD = _RAW + _BRONZE + _SILVER + _DIMS + _fact()
 
 _REPORT = """
-select c.contract_type, s.internet_service, cast(count(f.customer_sk) as bigint) as customer_count,
-  cast(sum(case when f.is_churned then 1 else 0 end) as double) / count(*) * 100
-    as churn_rate_percent
-from fact f join dim_contract c on f.contract_sk = c.contract_sk
-join dim_service s on f.service_sk = s.service_sk
-group by c.contract_type, s.internet_service"""
+select contract_type, internet_service, cast(count(customer_sk) as bigint) as customer_count,
+  cast(count(*) filter (where is_churned) as double) / count(*) * 100 as churn_rate_percent
+from fact join dim_contract using (contract_sk) join dim_service using (service_sk)
+group by contract_type, internet_service"""
 
 _DOUBLE_MONEY = """replace (cast(monthlycharges as double) as monthlycharges,
   cast(totalcharges as double) as totalcharges)"""

@@ -213,17 +213,20 @@ def test_label_dimensions_beyond_the_bound_are_shuffled(spark, store, monkeypatc
         assert sorted(map(repr, usual)) == sorted(map(repr, shuffled))
 
 
-def test_gold_does_not_depend_on_partitioning(spark, store, tmp_path):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_gold_does_not_depend_on_partitioning(spark, store, tmp_path, adaptive):
     def table_sets(gold):
         return {t: sorted(map(repr, df.collect())) for t, df in gold.items()}
 
     other = LayerStore(spark, str(tmp_path / "lake"))
     spark.conf.set("spark.sql.shuffle.partitions", "3")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     try:
         shuffled = subscriber_raw(spark, SF_DIR).orderBy(F.rand(3)).repartition(5)
         run_layers(spark, shuffled, other, CTX)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.enabled")
     assert table_sets(other.gold()) == table_sets(store.gold())
 
 

@@ -145,6 +145,16 @@ def test_reset_and_expire(spark, store):
         store.expire("gold", "dim_contract", keep=0)
 
 
+def test_define_tables(spark, store):
+    store.write(contract_rows(spark, 3), "gold", "dim_contract", "v1")
+    made = store.define("v2")
+    assert ("gold", "dim_contract") not in made and len(made) == len(S.TABLES) - 1
+    assert store.read("bronze", "subscribers").schema == S.BRONZE
+    assert store.read("gold", "dim_contract").count() == 3
+    assert len(store.define("v3", replace=True)) == len(S.TABLES)
+    assert store.read("gold", "dim_contract").count() == 0
+
+
 def test_nothing_committed(store):
     with pytest.raises(FileNotFoundError, match="dim_contract"):
         store.read("gold", "dim_contract")
@@ -247,3 +257,40 @@ def test_jdbc_write_options():
     assert options["numPartitions"] == "8"
     with pytest.raises(ValueError, match="url"):
         jdbc.write_options({}, "gold.fact")
+
+
+class Recorder:
+    """Stands in for a DataFrameReader or -Writer and remembers what it was asked."""
+
+    def __init__(self):
+        self.calls = {}
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            self.calls[name] = kwargs or args
+            return self
+        return call
+
+
+def test_jdbc_reader_and_writer_are_asked_for_the_options(spark):
+    class Session:
+        read = Recorder()
+
+    jdbc.read_table(Session(), CONNECTION, "t", jdbc.KeySplit("id", 1, 9, 2))
+    calls = Session.read.calls
+    assert calls["format"] == ("jdbc",) and "load" in calls
+    assert calls["options"]["dbtable"] == "t" and calls["options"]["numPartitions"] == "2"
+
+    class Frame:
+        write = Recorder()
+
+        def limit(self, n):
+            assert n == 0
+            return self
+
+    jdbc.write_table(Frame(), CONNECTION, "t", mode="append", batch_rows=50)
+    assert Frame.write.calls["mode"] == ("append",) and "save" in Frame.write.calls
+    assert Frame.write.calls["options"]["batchsize"] == "50"
+    jdbc.reset_table(Frame(), CONNECTION, "t")
+    assert Frame.write.calls["mode"] == ("overwrite",)
+    assert Frame.write.calls["options"]["truncate"] == "true"
