@@ -23,7 +23,8 @@ def na_tokens(
 
 
 def median_impute(
-    df: DataFrame, exclude: Iterable[str] = (), approx: bool = False, measured: DataFrame | None = None
+    df: DataFrame, exclude: Iterable[str] = (), approx: bool = False,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """Fill NULLs of every numeric column with the column's median.
 

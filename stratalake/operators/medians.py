@@ -11,6 +11,7 @@ cost the same. Integers and decimals up to ten digits take two passes, wider one
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -122,19 +123,18 @@ def middle_units(
     )
 
 
-def _midpoint(dtype: T.DataType) -> Column:
-    twice = F.col("lower").cast("decimal(20,0)") + F.col("upper").cast("decimal(20,0)")
-    return twice / F.lit(2) / F.lit(10 ** _scale(dtype))
+def _twice_midpoint() -> Column:
+    return F.col("lower").cast("decimal(20,0)") + F.col("upper").cast("decimal(20,0)")
 
 
 def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, median double): the midpoint of the two middle values, NULLs skipped."""
-    scales = F.create_map(*[
+    unit_count = F.create_map(*[
         F.lit(x) for f in df.schema if f.name in columns for x in (f.name, 10.0 ** _scale(f.dataType))
     ])
-    twice = F.col("lower").cast("decimal(20,0)") + F.col("upper").cast("decimal(20,0)")
+    units = _twice_midpoint().cast("double") / 2.0
     return middle_units(df, columns).select(
-        "column_name", ((twice.cast("double") / 2.0) / scales[F.col("column_name")]).alias("median")
+        "column_name", (units / unit_count[F.col("column_name")]).alias("median")
     )
 
 
@@ -146,10 +146,10 @@ def median_row(
     if approx:
         medians = [F.percentile_approx(c, F.lit(0.5), F.lit(10_000)) for c in columns]
         return df.agg(*[m.cast(types[c]).alias(c) for m, c in zip(medians, columns)])
-    picked = middle_units(df, columns, only_incomplete)
-    return picked.agg(*[
-        F.max(
-            F.when(F.col("column_name") == c, F.round(_midpoint(types[c]), _scale(types[c])))
-        ).cast(types[c]).alias(c)
-        for c in columns
-    ])
+    units = F.round(_twice_midpoint() / 2, 0).cast("decimal(19,0)")
+
+    def value(name: str) -> Column:
+        in_type = (units * F.lit(Decimal(1).scaleb(-_scale(types[name])))).cast(types[name])
+        return F.max(F.when(F.col("column_name") == name, in_type)).alias(name)
+
+    return middle_units(df, columns, only_incomplete).agg(*map(value, columns))

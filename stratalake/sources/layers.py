@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 from stratalake.schemas import GOLD_TABLES, TABLES
 from stratalake.sources.filesystem import child_names, exists, remove_tree
 
-
 OPEN_LAYERS = ("bronze",)
 
 
@@ -102,23 +101,41 @@ class LayerStore:
         place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
         return df.select(*names, place.alias(row_id))
 
-    def snapshot(self, layer: str, tables: Sequence[str]) -> dict[str, DataFrame]:
-        """The newest version that all the tables have, so that their keys belong together."""
-        shared = set.intersection(*[set(self.versions(layer, t)) for t in tables])
+    def shared_versions(self, layer: str, tables: Sequence[str]) -> list[str]:
+        """Versions that all the tables have, oldest first."""
+        return sorted(set.intersection(*[set(self.versions(layer, t)) for t in tables]))
+
+    def _newest_shared(self, layer: str, tables: Sequence[str]) -> str:
+        shared = self.shared_versions(layer, tables)
         if not shared:
             raise FileNotFoundError(f"{layer} has no version with all of {list(tables)}")
-        newest = max(shared)
-        return {t: self.read(layer, t, newest) for t in tables}
+        return shared[-1]
+
+    def snapshot(self, layer: str, tables: Sequence[str]) -> dict[str, DataFrame]:
+        """The newest version that all the tables have, so that their keys belong together."""
+        version = self._newest_shared(layer, tables)
+        return {t: self.read(layer, t, version) for t in tables}
 
     def gold(self) -> dict[str, DataFrame]:
         return self.snapshot("gold", GOLD_TABLES)
 
-    def expire(self, layer: str, table: str, keep: int = 2) -> list[str]:
-        """Delete all but the newest `keep` committed versions; returns what was deleted."""
+    def expire(self, layer: str, keep: int = 2) -> list[tuple[str, str]]:
+        """Delete what is older than a layer's newest `keep` complete versions.
+
+        Only versions that all tables of the layer have count as kept, so unfinished runs never
+        push out the last one that readers can use. Returns (table, version) of what was deleted.
+        """
         if keep < 1:
             raise ValueError("keep at least one version")
-        old = self.versions(layer, table)[:-keep]
-        for version in old:
+        tables = [t for in_layer, t in self.tables if in_layer == layer]
+        kept = self.shared_versions(layer, tables)[-keep:]
+        if not kept:
+            return []
+        old = [
+            (t, name) for t in tables
+            for name in child_names(self.spark, f"{self.root}/{layer}/{t}") if name < kept[0]
+        ]
+        for table, version in old:
             remove_tree(self.spark, self.path(layer, table, version))
         return old
 
@@ -128,12 +145,11 @@ class LayerStore:
         Database and tables live in the session's catalog; the tables are external, so dropping
         or replacing them leaves the files alone.
         """
-        shared = self.snapshot(layer, tables)
+        version = self._newest_shared(layer, tables)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-        version = max(set.intersection(*[set(self.versions(layer, t)) for t in tables]))
-        for table, df in shared.items():
+        for table in tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
             self.spark.catalog.createTable(
                 f"{layer}.{table}", path=self.path(layer, table, version), source="parquet",
-                schema=df.schema,
+                schema=self.read(layer, table, version).schema,
             )

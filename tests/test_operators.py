@@ -113,6 +113,22 @@ def test_median_of_negative_and_wide_columns(spark):
     assert got == pytest.approx({k: float(v) for k, v in exact.items()})
 
 
+@pytest.mark.parametrize("dtype, low, high, middle", [
+    ("decimal(18,18)", "0.000000000000000001", "0.000000000000000004", "0.000000000000000003"),
+    ("decimal(18,0)", "999999999999999998", "999999999999999999", "999999999999999999"),
+    ("decimal(10,2)", "-1.01", "-1.00", "-1.01"), ("bigint", "9223372036854775806",
+     "9223372036854775807", "9223372036854775807"), ("tinyint", "1", "2", "2"),
+])
+def test_median_fill_is_exact_in_the_column_type(spark, dtype, low, high, middle):
+    df = spark.sql(
+        f"select id, cast(v as {dtype}) v from values (1, '{low}'), (2, '{high}'), (3, null) t(id, v)"
+    )
+    filled = median_impute(df, exclude=["id"])
+    assert filled.schema["v"].dataType == df.schema["v"].dataType
+    expected = spark.sql(f"select cast('{middle}' as {dtype})").first()[0]
+    assert filled.where("id = 3").first()["v"] == expected
+
+
 def test_median_refuses_floating_point(spark):
     with pytest.raises(TypeError, match="decimal"):
         column_medians(spark.createDataFrame([(1.5,)], "x double"), ["x"])

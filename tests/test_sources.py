@@ -133,16 +133,26 @@ def test_failed_write_keeps_the_last_version(spark, store):
     assert store.read("gold", "dim_contract").count() == 3
 
 
-def test_reset_and_expire(spark, store):
-    for version in ("v1", "v2"):
-        store.write(contract_rows(spark, 3), "gold", "dim_contract", version)
-    store.reset("gold", "dim_contract", "v3")
+def test_reset(spark, store):
+    store.write(contract_rows(spark, 3), "gold", "dim_contract", "v1")
+    store.reset("gold", "dim_contract", "v2")
     empty = store.read("gold", "dim_contract")
     assert empty.count() == 0 and empty.schema == S.DIM_CONTRACT
-    assert store.expire("gold", "dim_contract", keep=1) == ["v1", "v2"]
-    assert store.versions("gold", "dim_contract") == ["v3"]
+
+
+def test_expire_keeps_what_readers_can_use(spark, store):
+    for version in ("v1", "v2"):
+        store.define(version, replace=True)
+    # Unfinished later runs: dimensions without a fact.
+    for version in ("v3", "v4"):
+        store.reset("gold", "dim_contract", version)
+    deleted = store.expire("gold", keep=1)
+    assert sorted(deleted) == [(t, "v1") for t in sorted(S.GOLD_TABLES)]
+    assert store.versions("gold", "dim_contract") == ["v2", "v3", "v4"]
+    assert store.shared_versions("gold", S.GOLD_TABLES) == ["v2"]
+    assert store.expire("gold", keep=5) == [] and len(store.versions("silver", "subscribers")) == 2
     with pytest.raises(ValueError, match="at least one"):
-        store.expire("gold", "dim_contract", keep=0)
+        store.expire("gold", keep=0)
 
 
 def test_define_tables(spark, store):
