@@ -2,8 +2,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.functions import is_na_token
 from stratalake.operators.columns import numeric_columns, text_columns
@@ -26,7 +27,7 @@ def median_impute(
     df: DataFrame, exclude: Iterable[str] = (), approx: bool = False,
     measured: DataFrame | None = None,
 ) -> DataFrame:
-    """Fill NULLs of every numeric column with the column's median.
+    """Fill NULLs (and NaN) of every numeric column with the column's median.
 
     The medians are one scalar subquery: no join, nothing brought to the caller. A column
     without NULLs is left alone and one without values stays NULL. `measured` may give the rows
@@ -39,9 +40,15 @@ def median_impute(
         df if measured is None else measured, columns, only_incomplete=True, approx=approx
     )
     filled = df.withColumn("_medians", medians.select(F.struct(*columns)).scalar())
-    return filled.withColumns(
-        {c: F.coalesce(F.col(c), F.col("_medians").getField(c)) for c in columns}
-    ).drop("_medians")
+    types = {f.name: f.dataType for f in df.schema}
+
+    def fill(name: str) -> Column:
+        value, median = F.col(name), F.col("_medians").getField(name)
+        if isinstance(types[name], (T.FloatType, T.DoubleType)):
+            value = F.when(~F.isnan(value), value)
+        return F.coalesce(value, median)
+
+    return filled.withColumns({c: fill(c) for c in columns}).drop("_medians")
 
 
 def constant_impute(

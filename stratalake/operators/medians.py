@@ -1,11 +1,11 @@
 """Exact medians of many columns without ever gathering a column's values in one place.
 
-Each value becomes an integer (its count of smallest units), and the two middle ranks are
-located digit by digit from the most significant end: a histogram over the leading digit finds
+Each value becomes an integer (its count of smallest units, or a double's place in the order of
+all doubles), and the two middle ranks are located digit by digit from the most significant end: a histogram over the leading digit finds
 the prefix that holds a rank, the next histogram looks inside that prefix only, and so on down
 to the unit. A histogram has at most 2**22 rows per column whatever the number of input rows,
 and is counted map-side, so values repeated very often or columns that are all distinct (ids)
-cost the same. Integers and decimals up to ten digits take two passes, wider ones three.
+cost the same. Integers and decimals up to ten digits take two passes, wider types three.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.functions import case_rules, double_to_rank, rank_to_double
+
 # Bits below each digit, from the first histogram to the last. Beside wide columns the narrow
 # ones go along once more in the last pass.
 _NARROW_SHIFTS = (18, 0, 0)
@@ -41,9 +43,7 @@ def _units(name: str, dtype: T.DataType) -> Column:
         return (F.col(name) * F.lit(10 ** dtype.scale)).cast("bigint")
     if isinstance(dtype, T.IntegralType):
         return F.col(name).cast("bigint")
-    raise TypeError(
-        f"{name}: give {dtype.simpleString()} columns a decimal type first, or use approx=True"
-    )
+    return double_to_rank(F.col(name).cast("double"))
 
 
 def _locate(counted: DataFrame) -> DataFrame:
@@ -127,15 +127,26 @@ def _twice_midpoint() -> Column:
     return F.col("lower").cast("decimal(20,0)") + F.col("upper").cast("decimal(20,0)")
 
 
+def _exact_midpoint(dtype: T.DataType) -> Column:
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return (rank_to_double(F.col("lower")) + rank_to_double(F.col("upper"))) / 2
+    return _twice_midpoint().cast("double") / 2.0 / 10.0 ** _scale(dtype)
+
+
+def _midpoint_in_type(dtype: T.DataType) -> Column:
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return _exact_midpoint(dtype).cast(dtype)
+    units = F.round(_twice_midpoint() / 2, 0).cast("decimal(19,0)")
+    return (units * F.lit(Decimal(1).scaleb(-_scale(dtype)))).cast(dtype)
+
+
 def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, median double): the midpoint of the two middle values, NULLs skipped."""
-    unit_count = F.create_map(*[
-        F.lit(x) for f in df.schema if f.name in columns for x in (f.name, 10.0 ** _scale(f.dataType))
-    ])
-    units = _twice_midpoint().cast("double") / 2.0
-    return middle_units(df, columns).select(
-        "column_name", (units / unit_count[F.col("column_name")]).alias("median")
+    types = {f.name: f.dataType for f in df.schema}
+    midpoint = case_rules(
+        [(F.col("column_name") == c, _exact_midpoint(types[c])) for c in columns], None
     )
+    return middle_units(df, columns).select("column_name", midpoint.alias("median"))
 
 
 def median_row(
@@ -146,10 +157,9 @@ def median_row(
     if approx:
         medians = [F.percentile_approx(c, F.lit(0.5), F.lit(10_000)) for c in columns]
         return df.agg(*[m.cast(types[c]).alias(c) for m, c in zip(medians, columns)])
-    units = F.round(_twice_midpoint() / 2, 0).cast("decimal(19,0)")
 
     def value(name: str) -> Column:
-        in_type = (units * F.lit(Decimal(1).scaleb(-_scale(types[name])))).cast(types[name])
-        return F.max(F.when(F.col("column_name") == name, in_type)).alias(name)
+        matching = F.when(F.col("column_name") == name, _midpoint_in_type(types[name]))
+        return F.max(matching).alias(name)
 
     return middle_units(df, columns, only_incomplete).agg(*map(value, columns))

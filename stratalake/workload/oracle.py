@@ -292,6 +292,15 @@ def _median(column: str, cents: bool = False, source: str = "unique_raw", name:
     )
 
 
+def _double_median(table: str, column: str) -> str:
+    return f"""
+        select '{column}' as column_name,
+          (max(v) filter (where i = (n + 1) // 2) + max(v) filter (where i = n // 2 + 1)) / 2
+            as median
+        from (select {column} as v, row_number() over (order by {column}) as i,
+                count(*) over () as n from {table} where {column} is not null)"""
+
+
 _LINE_ORDER = (
     "l_returnflag, l_linestatus, l_suppkey, l_partkey, l_orderkey, l_linenumber, "
     "l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate"
@@ -332,6 +341,10 @@ ORACLE_SQL: dict[str, str] = {
             for c in ("l_quantity", "l_extendedprice", "l_discount")
         ],
     ]),
+    "double_medians": _union([
+        _double_median("lineitem", "l_extendedprice"), _double_median("lineitem", "l_tax"),
+        _double_median("events", "value"), _double_median("customer", "c_acctbal"),
+    ]),
     "impute_median": _with(_RAW + _BRONZE, f"""
         select customerid, age, tenure, cast(monthlycharges as double) as monthlycharges,
           cast(totalcharges as double) as totalcharges from bronze"""),

@@ -152,6 +152,16 @@ def q_lineitem_medians(spark, d):
     return column_medians(lines, lines.columns)
 
 
+def q_double_medians(spark, d):
+    def medians(name: str, *columns: str) -> DataFrame:
+        return column_medians(table(spark, d, name), columns)
+
+    return (
+        medians("lineitem", "l_extendedprice", "l_tax").unionByName(medians("events", "value"))
+        .unionByName(medians("customer", "c_acctbal"))
+    )
+
+
 def q_impute_median(spark, d):
     columns = ["customerid", "age", "tenure", "monthlycharges", "totalcharges"]
     return comparable(median_impute(dedupe_exact(_raw(spark, d))).select(*columns))

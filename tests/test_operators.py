@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.functions import double_to_rank, rank_to_double
 from stratalake.operators.columns import (
     conform, fallback_column, lowercase_names, normalize_columns, rename_variants,
     select_available,
@@ -129,9 +130,45 @@ def test_median_fill_is_exact_in_the_column_type(spark, dtype, low, high, middle
     assert filled.where("id = 3").first()["v"] == expected
 
 
-def test_median_refuses_floating_point(spark):
-    with pytest.raises(TypeError, match="decimal"):
-        column_medians(spark.createDataFrame([(1.5,)], "x double"), ["x"])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(allow_nan=False), min_size=20, max_size=60))
+def test_double_ranks_keep_order_and_value(spark, values):
+    edges = [0.0, -0.0, 5e-324, 2.2250738585072014e-308, 1.0, 2.0, 1.9999999999999998,
+             1.7976931348623157e308, float("inf"), float("-inf"), 8.0, 0.5, 1e15 + 0.125]
+    df = spark.createDataFrame([(v,) for v in values + edges], "v double")
+    ranked = df.select("v", double_to_rank(F.col("v")).alias("r")).withColumn(
+        "back", rank_to_double(F.col("r"))
+    ).collect()
+    assert all(row["v"] == row["back"] for row in ranked)
+    by_rank = sorted(ranked, key=lambda row: row["r"])
+    assert [row["v"] for row in by_rank] == sorted(row["v"] for row in ranked)
+
+
+def test_double_rank_of_nothing(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),)], "v double")
+    assert [r[0] for r in df.select(double_to_rank(F.col("v"))).collect()] == [None, None]
+
+
+def test_median_of_doubles_and_floats(spark):
+    df = spark.range(-500, 1500).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") / 3).alias("d"),
+        (F.col("id") * 1.5).cast("float").alias("f"), F.col("id").cast("int").alias("i"),
+    )
+    got = dict(map(tuple, column_medians(df, df.columns).collect()))
+    assert got == df.agg(*[F.median(c).alias(c) for c in df.columns]).first().asDict()
+    filled = median_impute(df)
+    assert [f.dataType for f in filled.schema] == [f.dataType for f in df.schema]
+    assert filled.where(F.col("d") == got["d"]).count() >= df.where("d is null").count() > 0
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 4.0), (3, float("nan")), (4, None)], "id int, v double")
+    assert [r["v"] for r in median_impute(df).orderBy("id").collect()] == [1.0, 4.0, 2.5, 2.5]
+
+
+def test_median_refuses_very_wide_decimals(spark):
+    with pytest.raises(TypeError, match="18 digits"):
+        column_medians(spark.sql("select cast(1 as decimal(38,2)) x"), ["x"])
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
