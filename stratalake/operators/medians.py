@@ -84,9 +84,15 @@ def middle_units(
         below = F.array(*[F.lit(s[level]) for s in shifts])
         return F.call_function("shiftright", F.col("units"), below[F.col("column_id")])
 
+    def place(prefix: Column) -> Column:
+        # Column and prefix as one number, which is the quickest join key.
+        return prefix * len(columns) + F.col("column_id")
+
     # A number, not the name, tells columns apart: cheaper to hash for every value.
-    pairs = [x for i, c in enumerate(columns) for x in (F.lit(i), _units(c, types[c]))]
-    long = df.select(F.stack(F.lit(len(columns)), *pairs).alias("column_id", "units"))
+    pairs = [x for i, c in enumerate(columns) for x in (F.lit(i), F.col(c))]
+    long = df.select(*[_units(c, types[c]).alias(c) for c in columns]).select(
+        F.stack(F.lit(len(columns)), *pairs).alias("column_id", "units")
+    )
 
     histogram = long.groupBy("column_id", shifted(0).alias("digit")).agg(
         F.count(F.lit(1)).alias("n")
@@ -105,9 +111,10 @@ def middle_units(
     )
     for level in range(1, passes):
         # Two prefixes per column at most, so the broadcast side has 2 * len(columns) rows.
+        sought = located.select(place(F.col("prefix")).alias("place"), "lower", "upper")
         inside = (
-            long.withColumn("prefix", shifted(level - 1))
-            .join(F.broadcast(located), ["column_id", "prefix"])
+            long.withColumn("place", place(shifted(level - 1)))
+            .join(F.broadcast(sought), "place")
             .groupBy("column_id", "lower", "upper", shifted(level).alias("digit"))
             .agg(F.count(F.lit(1)).alias("n"))
         )
