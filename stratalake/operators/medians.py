@@ -1,11 +1,15 @@
 """Exact medians of many columns without ever gathering a column's values in one place.
 
 Each value becomes an integer (its count of smallest units, or a double's place in the order of
-all doubles), and the two middle ranks are located digit by digit from the most significant end: a histogram over the leading digit finds
-the prefix that holds a rank, the next histogram looks inside that prefix only, and so on down
-to the unit. A histogram has at most 2**22 rows per column whatever the number of input rows,
-and is counted map-side, so values repeated very often or columns that are all distinct (ids)
-cost the same. Integers and decimals up to ten digits take two passes, wider types three.
+all doubles), and the two middle ranks are located in ever finer buckets: a histogram over all
+values finds the bucket that holds a rank, the next histogram looks inside that bucket only, and
+so on down to the unit. A histogram has a few million rows per column at most, whatever the
+number of input rows, and is counted map-side, so values repeated very often or columns that are
+all distinct (ids) cost the same.
+
+Buckets are single units near zero, so ages, months and everyday amounts are settled by the first
+histogram; adaptive execution then drops the later passes. Otherwise integers and decimals of up
+to ten digits take a second pass, and wider types may take a third.
 """
 
 from __future__ import annotations
@@ -19,12 +23,12 @@ from pyspark.sql import types as T
 
 from stratalake.functions import case_rules, double_to_rank, rank_to_double
 
-# Bits below each digit, from the first histogram to the last. Beside wide columns the narrow
-# ones go along once more in the last pass.
-_NARROW_SHIFTS = (18, 0, 0)
-_WIDE_SHIFTS = (42, 21, 0)
 _NARROW_TYPES = (T.ByteType, T.ShortType, T.IntegerType)
 
+# Up to these sizes the first and the second histogram count single units.
+_FIRST_EXACT = 1 << 20
+_SECOND_EXACT = 1 << 38
+
 
 def _scale(dtype: T.DataType) -> int:
     return dtype.scale if isinstance(dtype, T.DecimalType) else 0
@@ -46,23 +50,49 @@ def _units(name: str, dtype: T.DataType) -> Column:
     return double_to_rank(F.col(name).cast("double"))
 
 
+def _within(units: Column, size: int) -> Column:
+    return units.between(-size, size - 1)
+
+
+def _bucket(units: Column, level: int) -> Column:
+    """Start of the bucket of a value: ascending with the value, each level refining the last."""
+    def floor(bits: int) -> Column:
+        return F.shiftleft(F.shiftright(units, bits), bits)
+
+    if level == 0:
+        # The widest buckets would start at 0 for values that lie above the finer ones.
+        wide = F.when(units > 0, F.greatest(floor(42), F.lit(_SECOND_EXACT))).otherwise(floor(42))
+        return (
+            F.when(_within(units, _FIRST_EXACT), units)
+            .when(_within(units, _SECOND_EXACT), floor(18)).otherwise(wide)
+        )
+    if level == 1:
+        return F.when(_within(units, _SECOND_EXACT), units).otherwise(floor(21))
+    return units
+
+
+def _is_exact(start: Column, level: int) -> Column:
+    """Whether the bucket is a single unit."""
+    return _within(start, (_FIRST_EXACT, _SECOND_EXACT)[level])
+
+
 def _locate(counted: DataFrame) -> DataFrame:
-    """The digits in which the sought ranks fall: (column_id, prefix, lower, upper).
+    """The buckets in which the sought ranks fall: (column_id, start, lower, upper).
 
-    `counted` has the histogram (digit, n) of each column's prefixes and the ranks sought within
-    each, NULL if there is none. At most two rows per column remain, each with the ranks that
-    are left to find below its digit.
+    `counted` has the histogram (start, n) of each column's open buckets and the ranks sought
+    within each, NULL if there is none. At most two rows per column remain, each with the ranks
+    that are left to find inside its bucket.
     """
-    below = Window.partitionBy("column_id", "lower", "upper").orderBy("digit")
-    before = F.sum("n").over(below.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    upwards = Window.partitionBy("column_id", "lower", "upper").orderBy("start")
+    upto = F.sum("n").over(upwards.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
     def left(rank: str) -> Column:
         reached = F.col(rank) - (F.col("upto") - F.col("n"))
         return F.when(reached.between(1, F.col("n")), reached).alias(rank)
 
     return (
-        counted.withColumn("upto", before)
-        .select("column_id", F.col("digit").alias("prefix"), left("lower"), left("upper"))
+        counted.withColumn("upto", upto)
+        .select("column_id", "start", left("lower"), left("upper"))
         .where(F.col("lower").isNotNull() | F.col("upper").isNotNull())
     )
 
@@ -76,17 +106,12 @@ def middle_units(
     NULLs, for which the later passes then read nothing.
     """
     types = {f.name: f.dataType for f in df.schema}
-    narrow = [_is_narrow(types[c]) for c in columns]
-    passes = 2 if all(narrow) else 3
-    shifts = [_NARROW_SHIFTS if is_narrow else _WIDE_SHIFTS for is_narrow in narrow]
+    passes = 2 if all(_is_narrow(types[c]) for c in columns) else 3
 
-    def shifted(level: int) -> Column:
-        below = F.array(*[F.lit(s[level]) for s in shifts])
-        return F.call_function("shiftright", F.col("units"), below[F.col("column_id")])
-
-    def place(prefix: Column) -> Column:
-        # Column and prefix as one number, which is the quickest join key.
-        return prefix * len(columns) + F.col("column_id")
+    def place(start: Column, level: int) -> Column:
+        # Column and bucket as one number, the quickest join key. Single units share numbers,
+        # but only with each other and never with a wider bucket, the only ones sought.
+        return F.shiftright(start, (18, 21)[level]) * len(columns) + F.col("column_id")
 
     # A number, not the name, tells columns apart: cheaper to hash for every value.
     pairs = [x for i, c in enumerate(columns) for x in (F.lit(i), F.col(c))]
@@ -94,34 +119,37 @@ def middle_units(
         F.stack(F.lit(len(columns)), *pairs).alias("column_id", "units")
     )
 
-    histogram = long.groupBy("column_id", shifted(0).alias("digit")).agg(
+    histogram = long.groupBy("column_id", _bucket(F.col("units"), 0).alias("start")).agg(
         F.count(F.lit(1)).alias("n")
     )
     whole = Window.partitionBy("column_id")
-    present = F.sum(F.when(F.col("digit").isNotNull(), F.col("n"))).over(whole)
-    missing = F.sum(F.when(F.col("digit").isNull(), F.col("n"))).over(whole)
+    present = F.sum(F.when(F.col("start").isNotNull(), F.col("n"))).over(whole)
+    missing = F.sum(F.when(F.col("start").isNull(), F.col("n"))).over(whole)
     counted = histogram.withColumn("present", present).withColumn("missing", missing)
     if only_incomplete:
         counted = counted.where(F.col("missing") > 0)
     located = _locate(
-        counted.where(F.col("digit").isNotNull()).select(
-            "column_id", "digit", "n",
+        counted.where(F.col("start").isNotNull()).select(
+            "column_id", "start", "n",
             F.expr("(present + 1) div 2").alias("lower"), F.expr("present div 2 + 1").alias("upper"),
         )
     )
     for level in range(1, passes):
-        # Two prefixes per column at most, so the broadcast side has 2 * len(columns) rows.
-        sought = located.select(place(F.col("prefix")).alias("place"), "lower", "upper")
+        settled = _is_exact(F.col("start"), level - 1)
+        # Two buckets per column at most, so the broadcast side has 2 * len(columns) rows.
+        sought = located.where(~settled).select(
+            place(F.col("start"), level - 1).alias("place"), "lower", "upper"
+        )
         inside = (
-            long.withColumn("place", place(shifted(level - 1)))
+            long.withColumn("place", place(_bucket(F.col("units"), level - 1), level - 1))
             .join(F.broadcast(sought), "place")
-            .groupBy("column_id", "lower", "upper", shifted(level).alias("digit"))
+            .groupBy("column_id", "lower", "upper", _bucket(F.col("units"), level).alias("start"))
             .agg(F.count(F.lit(1)).alias("n"))
         )
-        located = _locate(inside)
+        located = located.where(settled).unionByName(_locate(inside))
 
     def unit(rank: str) -> Column:
-        return F.max(F.when(F.col(rank).isNotNull(), F.col("prefix"))).alias(rank)
+        return F.max(F.when(F.col(rank).isNotNull(), F.col("start"))).alias(rank)
 
     names = F.array(*map(F.lit, columns))
     return (

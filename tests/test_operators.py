@@ -180,6 +180,47 @@ def test_median_matches_statistics(spark, values):
     assert got == ([float(statistics.median(known))] if known else [])
 
 
+EDGES = [sign * (1 << bits) + step for bits in (18, 20, 21, 38, 42, 62) for sign in (1, -1)
+         for step in (-1, 0, 1)] + [-(2**63), 2**63 - 1, 0]
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.sampled_from(EDGES), min_size=1, max_size=9))
+def test_middle_values_at_bucket_edges(spark, values):
+    from stratalake.operators.medians import middle_units
+
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    got = middle_units(df, ["v"]).select("lower", "upper").first()
+    ordered, n = sorted(values), len(values)
+    assert tuple(got) == (ordered[(n - 1) // 2], ordered[n // 2])
+
+
+def test_buckets_ascend_and_refine(spark):
+    from stratalake.operators.medians import _bucket
+
+    df = spark.createDataFrame([(v,) for v in EDGES], "v bigint").select(
+        "v", *[_bucket(F.col("v"), level).alias(f"b{level}") for level in range(3)]
+    )
+    ranked = sorted(map(tuple, df.collect()))
+    for level in (1, 2):
+        starts = [row[level] for row in ranked]
+        assert starts == sorted(starts)
+    assert all(row[3] == row[0] for row in ranked)
+
+
+def test_everyday_amounts_need_one_pass(spark):
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 9 > 0, F.col("id") % 90).cast("int").alias("age"),
+        F.when(F.col("id") % 7 > 0, F.col("id") * 4 + 0.25).cast("decimal(10,2)").alias("total"),
+        F.col("id").cast("int").alias("key"),
+    ).repartition(4)
+    filled = median_impute(df)
+    filled.collect()
+    plan = filled._jdf.queryExecution().executedPlan().toString()
+    ran = plan.split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in plan and "BroadcastHashJoin" not in ran
+
+
 def test_median_with_one_value_in_a_third_of_rows(spark):
     df = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("v")
