@@ -103,7 +103,8 @@ def test_bronze_scans_and_shuffles_its_rows_once(spark, copies):
         ran = executed_lines(bronze)
         reused = [line for line in ran if "ReusedExchange" in line]
         scans = [line for line in ran if "FileScan" in line]
-        assert (len(scans), len(reused)) == (1, 2), "\n".join(line[:150] for line in ran)
+        # Rows, second pass and the first pass's histogram all take up an earlier shuffle.
+        assert (len(scans), len(reused)) == (1, 3), "\n".join(line[:150] for line in ran)
 
 
 # --- silver ------------------------------------------------------------------------------------
