@@ -123,9 +123,10 @@ def middle_units(
         F.count(F.lit(1)).alias("n")
     )
     whole = Window.partitionBy("column_id")
-    present = F.sum(F.when(F.col("start").isNotNull(), F.col("n"))).over(whole)
-    missing = F.sum(F.when(F.col("start").isNull(), F.col("n"))).over(whole)
-    counted = histogram.withColumn("present", present).withColumn("missing", missing)
+    counted = histogram.withColumns({
+        "present": F.sum(F.when(F.col("start").isNotNull(), F.col("n"))).over(whole),
+        "missing": F.sum(F.when(F.col("start").isNull(), F.col("n"))).over(whole),
+    })
     if only_incomplete:
         counted = counted.where(F.col("missing") > 0)
     located = _locate(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.context import RunContext
-from stratalake.operators.checks import require
+from stratalake.operators.checks import ConstraintViolation, require
 from stratalake.plans.bronze import build_bronze
 from stratalake.plans.gold import (
     build_dim_contract,
@@ -18,6 +18,7 @@ from stratalake.plans.gold import (
 )
 from stratalake.plans.silver import build_silver
 from stratalake.plans.validate import gold_not_empty
+from stratalake.schemas import GOLD_TABLES
 from stratalake.sources.layers import LayerStore
 from stratalake.sources.staging import Staging
 
@@ -40,19 +41,25 @@ def load_bronze(
     return [("bronze", "subscribers", seen["rows"], seen["read"] - seen["rows"])]
 
 
-def load_silver(store: LayerStore, ctx: RunContext) -> list[tuple]:
-    silver = build_silver(store.read("bronze", "subscribers"), ctx)
+def load_silver(
+    store: LayerStore, ctx: RunContext, bronze_version: str | None = None
+) -> list[tuple]:
+    """Silver of the given bronze version, by default the newest."""
+    silver = build_silver(store.read("bronze", "subscribers", bronze_version), ctx)
     seen = store.write(silver, "silver", "subscribers", ctx.version)
     return [("silver", "subscribers", seen["rows"], None)]
 
 
-def load_gold(store: LayerStore, ctx: RunContext) -> list[tuple]:
+def load_gold(
+    store: LayerStore, ctx: RunContext, silver_version: str | None = None
+) -> list[tuple]:
     """Publish the dimensions, then the fact built on the written dimensions.
 
+    Built on the given silver version, by default the newest.
     Readers take the newest version that all four tables have, so they see this one only once
     the fact is committed.
     """
-    silver = store.read("silver", "subscribers", row_id="_row_id")
+    silver = store.read("silver", "subscribers", silver_version, row_id="_row_id")
     metrics = []
 
     def publish(df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> None:
@@ -81,10 +88,16 @@ def run_layers(
 ) -> DataFrame:
     """Refresh every layer and validate gold; (stage, table_name, row_count, duplicates_removed).
 
-    Any failure propagates and leaves the previous versions as the newest ones.
+    Every stage reads what this run wrote, also when later versions exist already. Any failure
+    propagates and leaves the previous gold in place: a fact table that is not followed by a
+    passed validation is taken back.
     """
     metrics = load_bronze(raw, store, ctx, file_column)
-    metrics += load_silver(store, ctx)
-    metrics += load_gold(store, ctx)
-    require(gold_not_empty(store.gold()))
+    metrics += load_silver(store, ctx, ctx.version)
+    metrics += load_gold(store, ctx, ctx.version)
+    try:
+        require(gold_not_empty({t: store.read("gold", t, ctx.version) for t in GOLD_TABLES}))
+    except ConstraintViolation:
+        store.withdraw("gold", "fact_customer_churn", ctx.version)
+        raise
     return spark.createDataFrame(metrics, METRICS)

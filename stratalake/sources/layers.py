@@ -119,6 +119,10 @@ class LayerStore:
     def gold(self) -> dict[str, DataFrame]:
         return self.snapshot("gold", GOLD_TABLES)
 
+    def withdraw(self, layer: str, table: str, version: str) -> None:
+        """Take back one version, for instance one that failed its checks."""
+        remove_tree(self.spark, self.path(layer, table, version))
+
     def expire(self, layer: str, keep: int = 2) -> list[tuple[str, str]]:
         """Delete what is older than a layer's newest `keep` complete versions.
 
@@ -136,7 +140,7 @@ class LayerStore:
             for name in child_names(self.spark, f"{self.root}/{layer}/{t}") if name < kept[0]
         ]
         for table, version in old:
-            remove_tree(self.spark, self.path(layer, table, version))
+            self.withdraw(layer, table, version)
         return old
 
     def register(self, layer: str, tables: Sequence[str]) -> None:

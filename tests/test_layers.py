@@ -268,10 +268,15 @@ def test_metrics_and_cleanup(spark, store, tmp_path):
     assert set(os.listdir(shared)) == before
 
 
-def test_empty_source_fails_validation(spark, tmp_path):
-    empty = subscriber_raw(spark, SF_DIR).limit(0)
-    with pytest.raises(ConstraintViolation, match="is|not_empty"):
-        run_layers(spark, empty, LayerStore(spark, str(tmp_path / "lake")), CTX)
+def test_empty_source_fails_validation_and_is_taken_back(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    run_layers(spark, raw_rows(spark, {}), store, CTX)
+    later = replace(CTX, run_ts=CTX.run_ts + timedelta(hours=1))
+    empty = raw_rows(spark, {}).limit(0)
+    with pytest.raises(ConstraintViolation, match="fact_customer_churn: not_empty"):
+        run_layers(spark, empty, store, later)
+    assert store.versions("gold", "dim_customer")[-1] == later.version
+    assert store.gold()["fact_customer_churn"].count() == 1
 
 
 def test_failed_run_leaves_the_last_gold(spark, tmp_path):
@@ -289,6 +294,18 @@ def test_failed_run_leaves_the_last_gold(spark, tmp_path):
     assert gold["fact_customer_churn"].count() == good == gold["dim_customer"].count()
 
 
+def test_backfill_reads_its_own_layers(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    run_layers(spark, subscriber_raw(spark, SF_DIR), store, CTX)
+    earlier = replace(CTX, run_ts=CTX.run_ts - timedelta(days=1))
+    metrics = run_layers(spark, raw_rows(spark, {}, {"CustomerID": 2}), store, earlier)
+    assert {r["table_name"]: r["row_count"] for r in metrics.collect()} == {
+        "subscribers": 2, "dim_customer": 2, "dim_service": 1, "dim_contract": 1,
+        "fact_customer_churn": 2,
+    }
+    assert store.gold()["fact_customer_churn"].count() == 150
+
+
 def test_fact_partitioned_by_churn(spark, tmp_path):
     store = LayerStore(spark, str(tmp_path / "lake"))
     run_layers(
