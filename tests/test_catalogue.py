@@ -8,9 +8,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 from oracle_compare import connect, duckdb_result, first_differences, spark_result
+from stratalake.workload.oracle import ORACLE_SQL as ORACLE
+from stratalake.workload.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark):
