@@ -7,17 +7,44 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.llm.lang_id import identify_documents
+from stratalake.llm.line_dedup import dedup_report
+from stratalake.llm.mixing import mix
+from stratalake.llm.ngram_join import join_documents
+from stratalake.llm.packing import pack_documents
+from stratalake.llm.workers import reach_workers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_documents(_table(spark, sf_dir, "documents"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_documents(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mixing": op1_source_mixing,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op8_line_dedup": op8_line_dedup,
     "op10_language_id": op10_language_id,
 }
 
