@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalake.llm.embedding_dedup import link_embeddings
 from stratalake.llm.lang_id import identify_documents
 from stratalake.llm.line_dedup import dedup_report
 from stratalake.llm.mixing import mix
 from stratalake.llm.ngram_join import join_documents
 from stratalake.llm.packing import pack_documents
+from stratalake.llm.quality_rules import judge_documents
 from stratalake.llm.workers import reach_workers
 
 
@@ -32,10 +34,18 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_report(_table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_documents(_table(spark, sf_dir, "documents"))
 
@@ -44,7 +54,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op7_quality_rules": op7_quality_rules,
     "op8_line_dedup": op8_line_dedup,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_language_id": op10_language_id,
 }
 
