@@ -110,13 +110,13 @@ def _round_tree(units: DataFrame, params: MixParams, staging: Staging) -> DataFr
     keys = ["doc_id", "row_hash", "copy_no"]
     schema = units.schema
 
-    def node(level: int, last: bool):
+    def node(level: int, last: bool, drop: list[str]):
         def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             rows = rows.sort_values(["size", *keys], ascending=[False, True, True, True], kind="stable", ignore_index=True)
             rng = np.random.default_rng([params.seed, level, int(key[0]), int(key[1])])
             p = _settle(rows["size"].to_numpy(dtype=float), rows["p"].to_numpy(), rng, last)
             p[p < _EDGE], p[p > 1 - _EDGE] = 0.0, 1.0
-            return rows.assign(p=p)
+            return rows.assign(p=p).drop(columns=drop)
 
         return run
 
@@ -135,17 +135,16 @@ def _round_tree(units: DataFrame, params: MixParams, staging: Staging) -> DataFr
         solved = staging.table(
             open_units.where(~waits).withColumn("_node", F.expr(f"_group div {span}"))
             .groupBy("source_no", "_node")
-            .applyInPandas(lambda k, r, f=node(level, False): f(k, r).drop(columns="_node"), open_schema)
+            .applyInPandas(node(level, False, ["_node"]), open_schema)
         )
         is_open = (F.col("p") > 0) & (F.col("p") < 1)
         settled.append(solved.where(~is_open).drop("_group"))
         passed = solved.where(is_open).withColumn("_group", F.expr(f"_group - _group % {above}"))
         open_units = open_units.where(waits).unionByName(passed)
         level, span = level + 1, above
-    root = node(level, True)
     final = (
         open_units.withColumn("_node", F.lit(0).cast("long")).groupBy("source_no", "_node")
-        .applyInPandas(lambda k, r: root(k, r).drop(columns=["_node", "_group"]), schema)
+        .applyInPandas(node(level, True, ["_node", "_group"]), schema)
     )
     for part in settled:
         final = final.unionByName(part)
