@@ -6,9 +6,11 @@ hash of their place, and each group is packed by best-two-fit: a bin takes the l
 and then, again and again, the longest that fits; while a gap remains, the bin's smallest piece is
 exchanged for the two pieces left that fill the widened gap most tightly.
 
-Tokenizing: a tokenizer that never joins text across white space gives a document the ids of its
-words in order. Every distinct word is encoded once and then looked up by its hash, for a whole
-chunk of text at a time.
+Tokenizing: this tokenizer lower-cases, drops white space and never joins letters with punctuation,
+so a document has the ids of its units in order: words, cut between plain letters and ASCII
+punctuation other than the apostrophe. Every distinct unit is encoded once and then looked up by
+its hash, for a whole chunk of text at a time. A chunk in which a special token might be spelt out
+is cut at white space only, with its case kept.
 
 Defined cases: a null or empty text is the end id alone. Repeated rows are packed once each. Null
 ids are kept as null. Equal pieces are ordered by id, so reruns place the same rows alike. An empty
@@ -22,6 +24,7 @@ import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -46,12 +49,36 @@ class PackingParams:
     end_id: int = 0
     # Pieces that one task packs together, on average.
     group_size: int = 16_384
-    # Distinct words remembered by one worker; beyond it the memory starts anew.
-    cached_words: int = 600_000
+    # Distinct units remembered by one worker, about 40 bytes each; beyond it the memory starts anew.
+    cached_units: int = 1_500_000
 
 
-class WordTokens:
-    """Ids of words, by word hash."""
+# Classes of bytes: plain letters with the lead byte of U+00C0 to U+00FF, and ASCII punctuation.
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123), 0xC3]] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = True
+
+
+def units(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """Starts and ends of a chunk's units, the first unit of each row, and whether case is free."""
+    data, found = chunk.data, words(chunk)
+    if b"<|" in data.tobytes():
+        return found.starts, found.ends, found.first, False
+    letter, mark = _LETTER[data], _MARK[data]
+    # The second byte of those letters; the signs for times and division are none.
+    second = np.flatnonzero(data[:-1] == 0xC3) + 1
+    letter[second] = (data[second] != 0x97) & (data[second] != 0xB7)
+    cut = np.flatnonzero(letter[:-1] & mark[1:] | mark[:-1] & letter[1:]) + 1
+    cut = cut[~np.isin(cut, chunk.bounds, assume_unique=False)]
+    # The lead byte of a sign is not a letter either.
+    cut = cut[~((data[cut] == 0xC3) & np.isin(data[np.minimum(cut + 1, len(data) - 1)], (0x97, 0xB7)))]
+    starts, ends = np.sort(np.concatenate([found.starts, cut])), np.sort(np.concatenate([found.ends, cut]))
+    return starts, ends, np.searchsorted(starts, chunk.bounds), True
+
+
+class UnitTokens:
+    """Ids of units, by hash."""
 
     def __init__(self, path: str, limit: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,63 +89,64 @@ class WordTokens:
 
     def _reset(self) -> None:
         self.keys = np.zeros(0, dtype=np.uint64)
-        self.at = np.zeros(0, dtype=np.int64)
-        self.size = np.zeros(0, dtype=np.int64)
+        self.at = np.zeros(0, dtype=np.uint32)
+        self.size = np.zeros(0, dtype=np.uint32)
         self.ids = np.zeros(0, dtype=np.uint32)
         self.used = 0
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
+    def _learn(self, keys: np.ndarray, place: np.ndarray, texts: list[str]) -> None:
+        """`place`: where the sorted new keys belong among the known ones."""
         found = [e.ids for e in self.encoder.encode_batch(texts, add_special_tokens=False)]
-        size = np.array([len(x) for x in found], dtype=np.int64)
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         total = int(size.sum())
         if self.used + total > len(self.ids):
-            grown = np.zeros(2 * (self.used + total), dtype=np.uint32)
+            grown = np.zeros(self.used + total + len(self.ids) // 2, dtype=np.uint32)
             grown[: self.used] = self.ids[: self.used]
             self.ids = grown
-        self.ids[self.used : self.used + total] = [i for x in found for i in x]
-        keys_all = np.concatenate([self.keys, keys])
-        order = np.argsort(keys_all, kind="stable")
-        self.keys = keys_all[order]
-        self.at = np.concatenate([self.at, self.used + np.cumsum(size) - size])[order]
-        self.size = np.concatenate([self.size, size])[order]
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.keys = np.insert(self.keys, place, keys)
+        self.at = np.insert(self.at, place, self.used + np.cumsum(size) - size)
+        self.size = np.insert(self.size, place, size)
         self.used += total
 
+    def _known(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), dtype=bool)
+        inside = place < len(self.keys)
+        known[inside] = self.keys[place[inside]] == keys[inside]
+        return place, known
+
     def encode(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a chunk and the number of ids of each row."""
-        found = words(chunk)
-        if not len(found.starts):
+        starts, ends, first, lower = units(chunk)
+        if not len(starts):
             return np.zeros(0, dtype=np.uint32), np.zeros(chunk.rows, dtype=np.int64)
-        hashes = span_hashes(chunk, found.starts, found.ends)
-        keys, example, of_word = np.unique(hashes, return_index=True, return_inverse=True)
+        hashes = span_hashes(chunk, starts, ends, lower=lower) + np.uint64(lower)
+        keys, example, of_unit = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) + len(keys) > self.limit:
             self._reset()
-        place = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), dtype=bool)
-        inside = place < len(self.keys)
-        known[inside] = self.keys[place[inside]] == keys[inside]
+        place, known = self._known(keys)
         if not known.all():
-            data = chunk.data.tobytes()
-            new = example[~known]
-            self._learn(keys[~known], [
-                data[a:b].decode("utf-8", "replace")
-                for a, b in zip(found.starts[new].tolist(), found.ends[new].tolist())
+            data, new = chunk.data.tobytes(), example[~known]
+            self._learn(keys[~known], place[~known], [
+                data[a:b].decode("utf-8", "replace") for a, b in zip(starts[new].tolist(), ends[new].tolist())
             ])
-            place = np.searchsorted(self.keys, keys)
-        at, size = self.at[place][of_word], self.size[place][of_word]
-        ends = np.cumsum(size)
-        ids = self.ids[np.repeat(at - (ends - size), size) + np.arange(ends[-1])]
-        before = np.concatenate([[0], ends])
-        return ids, np.diff(before[found.first])
+            place, _ = self._known(keys)
+        at, size = self.at[place][of_unit].astype(np.int64), self.size[place][of_unit]
+        until = np.cumsum(size, dtype=np.int64)
+        ids = self.ids[np.repeat(at - (until - size), size) + np.arange(until[-1])]
+        before = np.concatenate([[0], until])
+        return ids, np.diff(before[first])
 
 
-_WORD_TOKENS: dict[tuple[str, int], WordTokens] = {}
+_UNIT_TOKENS: dict[tuple[str, int], UnitTokens] = {}
 
 
-def word_tokens(path: str, limit: int) -> WordTokens:
+def unit_tokens(path: str, limit: int) -> UnitTokens:
     """One per worker process, kept between tasks."""
-    if (path, limit) not in _WORD_TOKENS:
-        _WORD_TOKENS[path, limit] = WordTokens(path, limit)
-    return _WORD_TOKENS[path, limit]
+    if (path, limit) not in _UNIT_TOKENS:
+        _UNIT_TOKENS[path, limit] = UnitTokens(path, limit)
+    return _UNIT_TOKENS[path, limit]
 
 
 def closed_ids(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +171,7 @@ def token_pieces(
     ] + [T.StructField("ids", T.BinaryType())] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_tokens(path, params.cached_words)
+        encoder = unit_tokens(path, params.cached_units)
         for batch in batches:
             for chunk in chunks(batch.column(1)):
                 ids, bounds = closed_ids(*encoder.encode(chunk), params.end_id)
