@@ -7,7 +7,7 @@ unchanged, until one copy is whole; the other is paired with the next. Documents
 groups of bounded size, each group leaves one residual, and residuals meet in a tree: a share of
 the documents waits for every level, so that residuals always meet many fresh documents. Within a
 group long documents come first; the residual thus shrinks to the size of a short document, and
-only that last one is rounded alone.
+only that last one is rounded alone, to the nearer side.
 
 Defined cases: a null or empty text has size 0 and is taken 0 times; null is a source of its own,
 last in order; a source without words has target 0. Repeated rows are separate units. Null ids are
@@ -81,7 +81,7 @@ def source_targets(sizes: DataFrame, params: MixParams = MixParams()) -> DataFra
 
 def _settle(size: np.ndarray, p: np.ndarray, rng: np.random.Generator, last: bool) -> np.ndarray:
     """Pair the copies in order; all come back whole but one, and with `last` that one too."""
-    p, draws = p.copy(), rng.random(len(p) + 1)
+    p, draws = p.copy(), rng.random(len(p))
     i = 0
     for j in range(1, len(p)):
         # Words that can move from i to j, and from j to i.
@@ -98,7 +98,7 @@ def _settle(size: np.ndarray, p: np.ndarray, rng: np.random.Generator, last: boo
         if i_whole:
             i = j
     if last and len(p):
-        p[i] = 1.0 if draws[0] < p[i] else 0.0
+        p[i] = np.floor(p[i] + 0.5)
     return p
 
 

@@ -13,6 +13,7 @@ from stratalake.llm.mixing import mix
 from stratalake.llm.ngram_join import join_documents
 from stratalake.llm.packing import pack_documents
 from stratalake.llm.quality_rules import judge_documents
+from stratalake.llm.warc import round_trip
 from stratalake.llm.workers import reach_workers
 
 
@@ -34,6 +35,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_warc_round_trip": op5_warc_round_trip,
     "op7_quality_rules": op7_quality_rules,
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
