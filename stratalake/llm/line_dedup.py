@@ -91,6 +91,11 @@ def segment_keys(line: Column, chars: Column, tau: int) -> tuple[list[Column], l
     return own, probes
 
 
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once: a lambda's argument is, a repeated expression not."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def banded_distance(a: Column, b: Column, tau: int) -> Column:
     """Edit distance of two texts, or tau + 1 where it is larger. `a` is the longer one.
 
@@ -101,38 +106,49 @@ def banded_distance(a: Column, b: Column, tau: int) -> Column:
     """
     band = (1 << (2 * tau + 1)) - 1
 
-    def walk(long_chars: Column, short_chars: Column) -> Column:
-        apart = F.size(long_chars) - F.size(short_chars)
-        last_diagonal = F.shiftleft(F.lit(1).cast("long"), 0) * F.pow(F.lit(2), apart + tau).cast("long")
-
-        def step(state: Column, j: Column) -> Column:
-            up, down, cost = state["up"], state["down"], state["cost"]
-            char = F.get(short_chars, j)
-            match = sum(
-                (F.when(F.get(long_chars, j + (d - tau)) == char, 1 << d).otherwise(0) for d in range(2 * tau + 1)),
-                F.lit(0),
-            ).cast("long")
+    def inverse(bits: Column) -> Column:
+        return bits.bitwiseXOR(F.lit(band))
+
+    def step(state: Column, j: Column, texts: Column) -> Column:
+        up, down, cost = state["up"], state["down"], state["cost"]
+        matches = F.get(texts["b"], j)
+        match = sum(
+            (F.when(F.get(texts["a"], j + (d - tau)) == matches, 1 << d).otherwise(0) for d in range(2 * tau + 1)),
+            F.lit(0),
+        )
+
+        def same_bits(match: Column) -> Column:
             carried = match.bitwiseAND(up) + up
-            same = carried.bitwiseXOR(up).bitwiseOR(match).bitwiseOR(down).bitwiseAND(F.lit(band))
-            right_up = down.bitwiseOR(F.bitwise_not(same.bitwiseOR(up)).bitwiseAND(F.lit(band)))
-            right_down = same.bitwiseAND(up)
+            return carried.bitwiseXOR(up).bitwiseOR(match).bitwiseOR(down).bitwiseAND(F.lit(band))
+
+        def moved(same: Column) -> Column:
             slid = F.shiftright(same, 1)
-            return F.struct(
-                right_down.bitwiseOR(F.bitwise_not(slid.bitwiseOR(right_up)).bitwiseAND(F.lit(band))).cast("long").alias("up"),
-                slid.bitwiseAND(right_up).cast("long").alias("down"),
-                (cost + F.when(same.bitwiseAND(last_diagonal) == 0, 1).otherwise(0)).cast("int").alias("cost"),
-            )
+            return _let(down.bitwiseOR(inverse(same.bitwiseOR(up))), lambda right_up: F.struct(
+                same.bitwiseAND(up).bitwiseOR(inverse(slid.bitwiseOR(right_up))).alias("up"),
+                slid.bitwiseAND(right_up).alias("down"),
+                (cost + F.when(same.bitwiseAND(texts["last"]) == 0, 1).otherwise(0)).alias("cost"),
+            ))
+
+        return _let(match, lambda bits: _let(same_bits(bits), moved))
 
+    def walk(texts: Column) -> Column:
         start = F.struct(
-            F.lit(band ^ ((1 << tau) - 1)).cast("long").alias("up"), F.lit(0).cast("long").alias("down"),
-            apart.cast("int").alias("cost"),
+            F.lit(band ^ ((1 << tau) - 1)).alias("up"), F.lit(0).alias("down"),
+            (F.size(texts["a"]) - F.size(texts["b"])).alias("cost"),
+        )
+        columns = F.when(F.size(texts["b"]) > 0, F.sequence(F.lit(0), F.size(texts["b"]) - 1))
+        walked = F.aggregate(
+            F.coalesce(columns, F.array().cast("array<int>")), start,
+            lambda state, j: F.when(state["cost"] > tau, state).otherwise(step(state, j, texts)),
         )
-        places = F.when(F.size(short_chars) > 0, F.sequence(F.lit(0), F.size(short_chars) - 1)).otherwise(F.array().cast("array<int>"))
-        walked = F.aggregate(places, start, lambda s, j: F.when(s["cost"] > tau, s).otherwise(step(s, j)))
         return F.least(walked["cost"], F.lit(tau + 1))
 
-    far = (F.char_length(a) - F.char_length(b)) > tau
-    return F.when(far, tau + 1).otherwise(walk(F.split(a, ""), F.split(b, "")))
+    apart = F.char_length(a) - F.char_length(b)
+    texts = F.struct(
+        F.split(a, "").alias("a"), F.split(b, "").alias("b"),
+        F.pow(F.lit(2), apart + tau).cast("int").alias("last"),
+    )
+    return F.when(apart > tau, tau + 1).otherwise(_let(texts, walk))
 
 
 def _with_texts(lines: DataFrame, wanted: DataFrame, params: LineDedupParams) -> DataFrame:
