@@ -86,19 +86,20 @@ def set_hashes(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def documents_with_sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, set_hash, n_shingles of every row."""
-    schema = docs.select("doc_id").schema.add("set_hash", "long").add("n_shingles", "long")
+    """The columns of `docs` other than its text, with set_hash and n_shingles."""
+    kept = [c for c in docs.columns if c != "text"]
+    schema = docs.select(kept).schema.add("set_hash", "long").add("n_shingles", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(batch.column("text")):
                 tokens, bounds = shingle_sets(chunk, size)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(chunk.first_row, chunk.rows),
+                    *(batch.column(c).slice(chunk.first_row, chunk.rows) for c in kept),
                     pa.array(set_hashes(tokens, bounds)), pa.array(np.diff(bounds).astype(np.int64)),
-                ], names=["doc_id", "set_hash", "n_shingles"])
+                ], names=[*kept, "set_hash", "n_shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 # ---- frequent shingles ----
@@ -421,20 +422,49 @@ def set_components(docs: DataFrame, params: NgramJoinParams, staging: Staging) -
     return labels
 
 
+def _with_components(docs: DataFrame, params: NgramJoinParams, staging: Staging) -> DataFrame:
+    """Rows of `docs` without their text, with set_hash, n_shingles and component (of sets)."""
+    rows = staging.table(documents_with_sets(docs, params.shingle))
+    labels = set_components(docs.select("text"), params, staging)
+    # Equal sets may be a large share of all rows; adaptive execution splits them.
+    return rows.join(labels.withColumnRenamed("node", "set_hash"), "set_hash", "left").withColumn(
+        "component", F.when(F.col("set_hash") != 0, F.coalesce("component", "set_hash"))
+    )
+
+
 def join_documents(docs: DataFrame, params: NgramJoinParams = NgramJoinParams()) -> DataFrame:
     """doc_id, n_shingles and component_id of every row: the least id reachable by links."""
     staging = Staging(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
-    rows = staging.table(documents_with_sets(docs, params.shingle))
-    labels = set_components(docs, params, staging)
-    classes = rows.where("set_hash <> 0").groupBy("set_hash").agg(F.min("doc_id").alias("_first"))
-    named = classes.join(labels.withColumnRenamed("node", "set_hash"), "set_hash", "left").withColumn(
-        "component", F.coalesce("component", "set_hash")
-    )
-    firsts = named.groupBy("component").agg(F.min("_first").alias("_least"))
-    answer = named.join(firsts, "component").select("set_hash", "_least")
-    # Equal sets may be a large share of all rows; adaptive execution splits them.
-    return rows.join(answer, "set_hash", "left").select(
+    rows = staging.table(_with_components(docs.select("doc_id", "text"), params, staging))
+    least = rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("_least"))
+    return rows.join(least, "component", "left").select(
         "doc_id", "n_shingles",
-        F.when(F.col("set_hash") == 0, F.col("doc_id")).otherwise(F.col("_least")).alias("component_id"),
+        F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("_least")).alias("component_id"),
+    )
+
+
+def keep_one_per_group(docs: DataFrame, params: NgramJoinParams = NgramJoinParams()) -> DataFrame:
+    """`docs` with one row of each group of linked documents: the one with the least id, null ids
+    last. Rows without shingles all stay."""
+    staging = Staging(docs.sparkSession)
+    keyed = docs.withColumn("_row_key", F.xxhash64("doc_id", "text"))
+    rows = staging.table(_with_components(keyed.select("doc_id", "_row_key", "text"), params, staging))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row_key")
+    first = rows.where("component is not null").groupBy("component").agg(F.min(place).alias("_first"))
+    stays = staging.table(
+        first.select(F.col("_first.doc_id").alias("_id"), F.col("_first._row_key").alias("_key"))
+    )
+    alone = (F.col("_row_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    repeated = rows.groupBy("doc_id", "_row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        F.col("_row_key").alias("_key")
+    ).distinct()
+    empty = rows.where("component is null").select(F.col("_row_key").alias("_key")).distinct()
+    # Rows alike in id and text are in one group: one of them stays, for which they meet.
+    once = stays.join(repeated, "_key", "left_anti")
+    several = stays.join(repeated, "_key", "left_semi")
+    return (
+        keyed.join(once, alone, "left_semi")
+        .unionByName(keyed.join(several, alone, "left_semi").dropDuplicates(["doc_id", "_row_key"]))
+        .unionByName(keyed.join(empty, F.col("_row_key") == F.col("_key"), "left_semi"))
+        .select(*docs.columns)
     )

@@ -12,7 +12,9 @@ from stratalake.llm.line_dedup import dedup_report
 from stratalake.llm.mixing import mix
 from stratalake.llm.ngram_join import join_documents
 from stratalake.llm.packing import pack_documents
+from stratalake.llm.quality_cotraining import score_documents
 from stratalake.llm.quality_rules import judge_documents
+from stratalake.llm.token_counts import count_tokens
 from stratalake.llm.warc import round_trip
 from stratalake.llm.workers import reach_workers
 
@@ -27,6 +29,10 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op2_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_documents(_table(spark, sf_dir, "documents"))
 
@@ -39,6 +45,10 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(_table(spark, sf_dir, "documents"))
 
@@ -57,9 +67,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_quality_cotraining": op2_quality_cotraining,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_warc_round_trip": op5_warc_round_trip,
+    "op6_token_counts": op6_token_counts,
     "op7_quality_rules": op7_quality_rules,
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
