@@ -168,7 +168,8 @@ def _with_texts(lines: DataFrame, wanted: DataFrame, params: LineDedupParams) ->
         .join(F.broadcast(marks), F.col("_word") == F.col("_word_of"))
         .where(F.col("_mask").bitwiseAND(bit) != 0)
     )
-    return thinned.join(wanted, "line_hash", "left_semi").groupBy("line_hash").agg(F.min("line").alias("line"))
+    # An inner join: a semi join would be pushed below the filter and shuffle every line.
+    return thinned.join(wanted, "line_hash").groupBy("line_hash").agg(F.min("line").alias("line"))
 
 
 def line_classes(docs: DataFrame, params: LineDedupParams, staging: Staging) -> DataFrame:
