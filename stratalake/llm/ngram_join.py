@@ -13,8 +13,12 @@ first e + 1 under any global order. Three things make that cheap:
   has about as many pairs as tokens; documents at the edge of a size class index under both.
 * Classes of equal sets are one node of the join, whatever their number.
 
-Documents in one bucket of the index are candidates. They are verified in rounds: first each with
-one centre of its bucket; links found are closed to components; then only buckets that still hold
+Documents in one bucket of the index are candidates. Before their sets are compared, they must
+share as many signatures as two sets of their sizes cannot do without: of a prefix of p tokens at
+most n - o are unmatched if o tokens of n must be shared. That takes the signatures alone and drops
+nearly all pairs that share a phrase by chance. Only sets of pairs that remain are gathered.
+
+Pairs are verified in rounds: first each document with one centre of its bucket; links found are closed to components; then only buckets that still hold
 several components go on, at first with another centre and in the last round with all pairs between
 different components. No pair that could join two components is left out, and copies of one text
 are never expanded to pairs.
@@ -34,7 +38,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.components import components
@@ -231,28 +235,32 @@ def _pairs_needed(tokens: np.ndarray, classes: int, need: int, scheme: int) -> n
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, similarity: Fraction) -> np.ndarray:
-    """Index entries of one set, given sorted tokens and which of them are frequent."""
+def signatures(
+    tokens: np.ndarray, frequent: np.ndarray, similarity: Fraction
+) -> tuple[np.ndarray, bool]:
+    """Index entries of one set, given sorted tokens and which of them are frequent, and whether
+    they are single tokens only."""
     n = len(tokens)
     spare = n - -(-similarity.numerator * n // similarity.denominator)
     if n * similarity.denominator < (n + 1) * similarity.numerator:
-        return tokens[:0]  # only an equal set is that similar
+        return tokens[:0], True  # only an equal set is that similar
     rare, common = tokens[~frequent], tokens[frequent]
     single = rare[: spare + 1]
     need = spare + 1 - len(single)
     if need <= 0:
-        return single
+        return single, True
     scheme = n.bit_length() - 1
     schemes = [scheme]
     # A larger partner may be in the next size class.
     if n * similarity.denominator >= similarity.numerator << (scheme + 1):
         schemes.append(scheme + 1)
     pairs = [_pairs_needed(common, max(1, 1 << s >> 2), need, s) for s in schemes]
-    return np.concatenate([single, *pairs])
+    return np.concatenate([single, *pairs]), False
 
 
 def index_entries(docs: DataFrame, bitmap, params: NgramJoinParams) -> DataFrame:
-    """(signature, set_hash, n) rows; sets alike within a task enter once."""
+    """(signature, set_hash, n) rows; sets alike within a task enter once. n is the size of the set,
+    negative if pairs are among its signatures."""
     size, bits, similarity = params.shingle, params.bitmap_bits, params.similarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,17 +271,18 @@ def index_entries(docs: DataFrame, bitmap, params: NgramJoinParams) -> DataFrame
                 tokens, bounds = shingle_sets(chunk, size)
                 frequent = _is_frequent(tokens, own_bitmap, bits)
                 hashes = set_hashes(tokens, bounds)
-                entries, owner = [], []
+                entries, owner, sizes = [], [], np.zeros(chunk.rows, dtype=np.int32)
                 for i in np.flatnonzero(_first_seen(hashes, seen)):
                     a, b = bounds[i], bounds[i + 1]
-                    found = signatures(tokens[a:b], frequent[a:b], similarity)
+                    found, single = signatures(tokens[a:b], frequent[a:b], similarity)
                     entries.append(found)
                     owner.append((i, len(found)))
+                    sizes[i] = b - a if single else a - b
                 if entries:
                     of = np.repeat([x for x, _ in owner], [n for _, n in owner]).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.concatenate(entries).view(np.int64)), pa.array(hashes[of]),
-                        pa.array(np.diff(bounds)[of].astype(np.int32)),
+                        pa.array(sizes[of]),
                     ], names=["signature", "set_hash", "n"])
 
     return docs.select("text").mapInArrow(run, "signature long, set_hash long, n int")
@@ -369,63 +378,109 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFra
 
 # ---- the join ----
 
-def _similar_sizes(similarity: Fraction, a: str, b: str):
-    least, most = F.least(a, b), F.greatest(a, b)
+def _members(found: DataFrame) -> DataFrame:
+    """(signature, set_hash, n) of all sets in buckets, centres included."""
+    centres = found.select("signature", F.col("centre").alias("set_hash"), F.col("n_centre").alias("n"))
+    return found.select("signature", "set_hash", "n").unionByName(centres.distinct())
+
+
+def _similar_sizes(similarity: Fraction, a: str, b: str) -> Column:
+    least, most = F.least(F.abs(a), F.abs(b)), F.greatest(F.abs(a), F.abs(b))
     return least * similarity.denominator >= most * similarity.numerator
 
 
-def _open_buckets(found: DataFrame, labels: DataFrame, staging: Staging) -> DataFrame:
-    """(signature, set_hash, n, component) of the buckets that hold several components."""
-    members = found.select("signature", "set_hash", "n").unionByName(
-        found.select("signature", F.col("centre").alias("set_hash"), F.col("n_centre").alias("n")).distinct()
-    )
-    named = members.join(labels.withColumnRenamed("node", "set_hash"), "set_hash", "left").withColumn(
-        "component", F.coalesce("component", "set_hash")
-    )
-    several = named.groupBy("signature").agg(F.min("component").alias("_x"), F.max("component").alias("_y"))
-    return staging.table(named.join(several.where("_x <> _y").select("signature"), "signature"))
-
-
-def set_components(docs: DataFrame, params: NgramJoinParams, staging: Staging) -> DataFrame:
-    """(node, component) of the sets linked to another one."""
-    spark, similarity = docs.sparkSession, params.similarity
-    bitmap = spark.sparkContext.broadcast(frequent_bitmap(docs, params))
-    found = staging.table(buckets(index_entries(docs, bitmap, params)))
-    members = found.select("set_hash").unionByName(found.select(F.col("centre").alias("set_hash"))).distinct()
-
-    def pairs_of(rows: DataFrame, a: str, b: str, n_a: str, n_b: str) -> DataFrame:
-        return rows.where(_similar_sizes(similarity, n_a, n_b)).select(
-            F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
-        ).where("a <> b").distinct()
-
-    tested = staging.table(pairs_of(found, "centre", "set_hash", "n_centre", "n"))
-    sets = staging.table(token_rows(docs, members, params))
-    links = staging.table(verified(tested, sets, similarity))
-    labels = components(links, "a", "b", staging)
-    for last in (False, True):
-        rows = _open_buckets(found, labels, staging)
-        if last:
-            other = rows.select("signature", *(F.col(c).alias(f"_{c}") for c in ("set_hash", "n", "component")))
-            met = rows.join(other, "signature").where("set_hash < _set_hash")
-        else:
-            centre = rows.groupBy("signature").agg(
-                F.min_by(F.struct("set_hash", "n", "component"), F.xxhash64("set_hash", "signature")).alias("c")
-            ).select("signature", F.col("c.set_hash").alias("_set_hash"), F.col("c.n").alias("_n"), F.col("c.component").alias("_component"))
-            met = rows.join(centre, "signature")
-        fresh = pairs_of(met.where("component <> _component"), "set_hash", "_set_hash", "n", "_n")
-        fresh = staging.table(fresh.join(tested, ["a", "b"], "left_anti"))
-        more = staging.table(verified(fresh, sets, similarity))
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = components(links, "a", "b", staging)
-        tested = tested.unionByName(fresh)
-    return labels
+def _share_enough(similarity: Fraction) -> Column:
+    """Whether sets with signatures _sa and _sb, of sizes _na and _nb, can be similar enough.
+
+    For sets with single tokens only: of a's prefix at most n - o tokens are not in b, where o
+    tokens must be shared, and those that are lie in b's prefix if a's ends first.
+    """
+    p, q = similarity.numerator, similarity.denominator
+    both = F.col("_na") + F.col("_nb")
+    shared = F.expr(f"({p} * (_na + _nb) + {p + q - 1}) div {p + q}")
+
+    def needed(n: str) -> Column:
+        spare = F.expr(f"{n} - ({p} * {n} + {q - 1}) div {q}")
+        return spare + 1 - F.col(n) + shared
+
+    single = (F.col("_na") > 0) & (F.col("_nb") > 0) & (both > 0)
+    least = F.least(needed("_na"), needed("_nb"))
+    return F.when(single, F.size(F.array_intersect("_sa", "_sb")) >= least).otherwise(True)
+
+
+class _Join:
+    """The rounds of verification and what they have in common."""
+
+    def __init__(self, docs: DataFrame, params: NgramJoinParams, staging: Staging):
+        self.docs, self.params, self.staging = docs, params, staging
+        spark = docs.sparkSession
+        bitmap = spark.sparkContext.broadcast(frequent_bitmap(docs, params))
+        self.found = staging.table(buckets(index_entries(docs, bitmap, params)))
+        self.held = staging.table(
+            _members(self.found).groupBy("set_hash").agg(
+                F.first("n").alias("n"), F.collect_list("signature").alias("signatures")
+            )
+        )
+        empty = spark.createDataFrame([], "a long, b long")
+        self.tested, self.links = empty, empty
+        self.sets = spark.createDataFrame([], "set_hash long, tokens array<long>")
+        self.labels = spark.createDataFrame([], "node long, component long")
+
+    def verify(self, met: DataFrame) -> bool:
+        """Test the pairs (set_hash, n, _set_hash, _n) not tested before; whether any link came."""
+        fresh = met.where(_similar_sizes(self.params.similarity, "n", "_n")).select(
+            F.least("set_hash", "_set_hash").alias("a"), F.greatest("set_hash", "_set_hash").alias("b")
+        ).where("a <> b").distinct().join(self.tested, ["a", "b"], "left_anti")
+
+        def side(name: str) -> DataFrame:
+            return self.held.select(
+                F.col("set_hash").alias(name), F.col("n").alias(f"_n{name}"), F.col("signatures").alias(f"_s{name}")
+            )
+
+        likely = fresh.join(side("a"), "a").join(side("b"), "b").where(_share_enough(self.params.similarity))
+        likely = self.staging.table(likely.select("a", "b"))
+        if likely.isEmpty():
+            return False
+        self.tested = self.tested.unionByName(likely)
+        wanted = likely.select(F.explode(F.array("a", "b")).alias("set_hash")).distinct()
+        missing = self.staging.table(wanted.join(self.sets.select("set_hash"), "set_hash", "left_anti"))
+        if not missing.isEmpty():
+            gathered = self.staging.table(token_rows(self.docs, missing, self.params))
+            self.sets = self.sets.unionByName(gathered)
+        links = self.staging.table(verified(likely, self.sets, self.params.similarity))
+        if links.isEmpty():
+            return False
+        self.links = self.links.unionByName(links)
+        self.labels = components(self.links, "a", "b", self.staging)
+        return True
+
+    def open_buckets(self) -> DataFrame:
+        """(signature, set_hash, n, component) of the buckets that hold several components."""
+        named = _members(self.found).join(
+            self.labels.withColumnRenamed("node", "set_hash"), "set_hash", "left"
+        ).withColumn("component", F.coalesce("component", "set_hash"))
+        several = named.groupBy("signature").agg(F.min("component").alias("_x"), F.max("component").alias("_y"))
+        return self.staging.table(named.join(several.where("_x <> _y").select("signature"), "signature"))
+
+    def run(self) -> DataFrame:
+        """(node, component) of the sets linked to another one."""
+        other = [F.col(c).alias(f"_{c}") for c in ("set_hash", "n", "component")]
+        self.verify(self.found.select("set_hash", "n", F.col("centre").alias("_set_hash"), F.col("n_centre").alias("_n")))
+        rows = self.open_buckets()
+        centre = rows.groupBy("signature").agg(
+            F.min_by(F.struct("set_hash", "n", "component"), F.xxhash64("set_hash", "signature")).alias("c")
+        ).select("signature", F.col("c.set_hash").alias("_set_hash"), F.col("c.n").alias("_n"), F.col("c.component").alias("_component"))
+        if self.verify(rows.join(centre, "signature").where("component <> _component")):
+            rows = self.open_buckets()
+        met = rows.join(rows.select("signature", *other), "signature")
+        self.verify(met.where("set_hash < _set_hash and component <> _component"))
+        return self.labels
 
 
 def _with_components(docs: DataFrame, params: NgramJoinParams, staging: Staging) -> DataFrame:
     """Rows of `docs` without their text, with set_hash, n_shingles and component (of sets)."""
     rows = staging.table(documents_with_sets(docs, params.shingle))
-    labels = set_components(docs.select("text"), params, staging)
+    labels = _Join(docs.select("text"), params, staging).run()
     # Equal sets may be a large share of all rows; adaptive execution splits them.
     return rows.join(labels.withColumnRenamed("node", "set_hash"), "set_hash", "left").withColumn(
         "component", F.when(F.col("set_hash") != 0, F.coalesce("component", "set_hash"))

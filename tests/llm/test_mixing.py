@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from conftest import WORD
+from stratalake.llm.mixing import MixParams, mix, take_mix
+
+
+def _targets(rows, weights=(5, 2, 1), share=1.5, most=2.0):
+    size = defaultdict(int)
+    for _, text, _, source in rows:
+        size[source] += len(WORD.findall(text or ""))
+    order = sorted(size, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    left, free, out = share * sum(size.values()), set(order), {}
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if level * weight[s] > most * size[s]}
+        if not over:
+            out |= {s: level * weight[s] for s in free}
+            break
+        out |= {s: most * size[s] for s in over}
+        left -= sum(most * size[s] for s in over)
+        free -= over
+    return size, out
+
+
+def _corpus(n, seed=1, sources=("a", "b", "c", "d", None)):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        words = int(rng.paretovariate(1.1) * 5)
+        source = sources[0] if rng.random() < 0.4 else rng.choice(sources)
+        rows.append((i, " ".join(["w"] * min(words, 400)), "en", source))
+    return rows
+
+
+@pytest.mark.parametrize("params", [MixParams(), MixParams(group_size=32, fan_in=4)])
+def test_targets_and_copies(spark, docs, params):
+    rows = _corpus(700)
+    size, target = _targets(rows)
+    got = mix(docs(rows), params).collect()
+    assert len(got) == len(rows)
+    taken = Counter()
+    for r in got:
+        assert r["source_size"] == size[r["source"]]
+        assert r["target"] == pytest.approx(target[r["source"]], rel=1e-12)
+        times = r["target"] / r["source_size"]
+        if r["size"]:
+            assert int(times + 1e-9) <= r["copies"] <= min(2, int(times + 1e-9) + 1)
+        assert r["taken"] == r["copies"] * r["size"] <= 2 * r["size"]
+        taken[r["source"]] += r["taken"]
+    for source in size:
+        assert taken[source] == pytest.approx(target[source], rel=0.03, abs=25)
+
+
+def test_reruns_agree_whatever_the_partitions(spark, docs):
+    table, params = docs(_corpus(300)), MixParams(group_size=32, fan_in=4)
+    a = sorted((r["doc_id"], r["taken"]) for r in mix(table, params).collect())
+    b = sorted((r["doc_id"], r["taken"]) for r in mix(table.repartition(5), params).collect())
+    assert a == b
+
+
+def test_expectation_is_the_fraction(spark, docs):
+    rows = [(i, "w " * 10, "en", "a") for i in range(40)] + [(100 + i, "w " * 30, "en", "b") for i in range(40)]
+    _, target = _targets(rows)
+    times, n = Counter(), 8
+    for seed in range(n):
+        for r in mix(docs(rows), MixParams(seed=seed)).collect():
+            times[r["source"]] += r["copies"]
+    for source, size in (("a", 400), ("b", 1200)):
+        assert times[source] / n / 40 == pytest.approx(target[source] / size, abs=0.05)
+
+
+def test_odd_rows(spark, docs):
+    rows = [
+        (1, None, "en", "a"), (2, "", "en", "a"), (None, "one two", "en", "a"), (4, "\x0b \x0c", "en", "z"),
+        (5, "x y z", "en", None), (6, "x y z", "en", None), (6, "x y z", "en", None), (2**62 + 1, "q", "en", "a"),
+        (7, "w " * 50_000, "en", "b"),
+    ]
+    got = mix(docs(rows)).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
+    size = {r["doc_id"]: r["size"] for r in got}
+    assert size[1] == size[2] == size[4] == 0 and size[7] == 50_000 and size[None] == 2
+    assert all(r["taken"] == 0 for r in got if r["size"] == 0)
+    assert all(r["target"] == 0 for r in got if r["source"] == "z")
+    assert mix(docs([])).count() == 0 and take_mix(docs([])).count() == 0
+
+
+def test_the_mix_holds_each_row_as_often_as_it_is_taken(spark, docs):
+    rows = _corpus(120) + [(500, "a b c", "en", "b")] * 3
+    table = docs(rows)
+    plan = Counter()
+    for r in take_mix(table).collect():
+        plan[r["doc_id"]] += 1
+    assert take_mix(table).columns == table.columns
+    from pyspark.sql import functions as F
+
+    parts = F.xxhash64(*table.columns)
+    expected = Counter()
+    for r in mix(table, row_hash=parts).collect():
+        expected[r["doc_id"]] += r["copies"]
+    assert plan == +expected

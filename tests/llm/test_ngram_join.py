@@ -1,0 +1,141 @@
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from conftest import WORD
+from stratalake.llm.ngram_join import NgramJoinParams, join_documents, keep_one_per_group, signatures
+
+
+def _set(text, size=5):
+    words = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in WORD.findall(text or "")]
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def _brute(rows):
+    """Expected (doc_id, n_shingles, component_id) rows; ids are unique or null."""
+    sets = [_set(text) for _, text in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in combinations(range(len(rows)), 2):
+        shared = len(sets[i] & sets[j])
+        if shared and 100 * shared >= 75 * len(sets[i] | sets[j]):
+            parent[find(i)] = find(j)
+    groups = defaultdict(list)
+    for i in range(len(rows)):
+        groups[find(i)].append(rows[i][0])
+    least = {g: min((x for x in ids if x is not None), default=None) for g, ids in groups.items()}
+    return Counter((rows[i][0], len(sets[i]), least[find(i)]) for i in range(len(rows)))
+
+
+def _edit(words, rng, share):
+    out = []
+    for w in words:
+        x = rng.random()
+        if x < share / 3:
+            continue
+        out.append(f"new{rng.randrange(9999)}" if x < share else w)
+    return out
+
+
+def _corpus(seed, families=12, size=10):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(300)]
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    rows = []
+    for f in range(families):
+        base = [rng.choice(vocabulary) for _ in range(rng.randrange(4, 200))]
+        for _ in range(rng.randrange(1, size)):
+            own = _edit(base, rng, rng.choice([0, 0, 0.005, 0.02, 0.04, 0.08]))
+            if rng.random() < 0.3:
+                own = own + passage
+            if rng.random() < 0.2:
+                own = [w.upper() for w in own]
+            rows.append((len(rows), " ".join(own)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed, frequent", [(1, 16), (2, 0), (3, 1), (4, 2), (5, 0)])
+def test_equals_brute_force(spark, docs, seed, frequent):
+    """With few or no rare shingles the index is made of pairs."""
+    rows = _corpus(seed)
+    got = join_documents(docs(rows), NgramJoinParams(frequent=frequent, bitmap_bits=20)).collect()
+    assert Counter(map(tuple, got)) == _brute(rows)
+
+
+def test_one_large_family_of_near_copies(spark, docs):
+    """Sharing a base, but many pairs too far apart: links only close through others."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(120)]
+    rows = [(i, " ".join(_edit(base, rng, 0.03))) for i in range(120)]
+    got = join_documents(docs(rows), NgramJoinParams(bitmap_bits=20)).collect()
+    assert Counter(map(tuple, got)) == _brute(rows)
+
+
+def test_odd_rows(spark, docs):
+    rows = [
+        (1, None), (2, ""), (3, " \n\t"), (4, "a b"), (5, "A  B"), (6, "a b c d e"), (7, "a b c d e"),
+        (None, "a b c d e"), (None, "only here with no id at all"), (8, "x y z"), (9, "w " * 40_000), (10, "w " * 39_000),
+        (11, " ".join(map(str, range(20_000)))), (12, " ".join(map(str, range(100, 20_000)))),
+        (2**60, "Äpfel a b c d"), (2**60 + 1, "äpfel a b c d"),
+    ]
+    got = join_documents(docs(rows)).collect()
+    assert Counter(map(tuple, got)) == _brute(rows)
+    assert join_documents(docs([])).count() == 0
+
+
+def test_pairs_at_the_edge_pass_the_count_of_shared_signatures(spark, docs):
+    """Sets of all sizes whose similarity is the least that links."""
+    rng = random.Random(12)
+    rows = []
+    for n in range(6, 90):
+        base = [f"{n}v{i}" for i in range(n)]
+        for cut in (n // 8, n // 5, n // 4):
+            own = base[cut:] if rng.random() < 0.5 else [*base[cut:], *(f"{n}x{i}" for i in range(rng.randrange(cut + 1)))]
+            rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(own))]
+    got = join_documents(docs(rows), NgramJoinParams(bitmap_bits=20)).collect()
+    assert Counter(map(tuple, got)) == _brute(rows)
+
+
+def test_one_row_of_a_group_stays(spark, docs):
+    rows = _corpus(6) + [(1000, None), (1001, ""), (1001, "")]
+    rows += [rows[0], rows[0], rows[3]]
+    table = docs(rows)
+    kept = keep_one_per_group(table)
+    assert kept.columns == table.columns
+    unique = list(dict.fromkeys(rows))
+    expected = [i for i, n, c in _brute(unique).elements() if i == c]
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(expected) + Counter([1001])
+    assert keep_one_per_group(docs([])).count() == 0
+
+
+def test_similar_sets_share_a_signature():
+    """The guarantee itself, at the edge of the similarity and with any share of frequent tokens."""
+    rng = np.random.default_rng(4)
+    similarity = NgramJoinParams().similarity
+    for _ in range(400):
+        n = int(rng.integers(1, 120))
+        shared = rng.choice(1 << 40, n, replace=False).astype(np.uint64)
+        extra = int(n / 0.75) - n
+        left = int(rng.integers(0, extra + 1))
+        more = (rng.choice(1 << 40, extra, replace=False) + (1 << 41)).astype(np.uint64)
+        a, b = np.sort(np.concatenate([shared, more[:left]])), np.sort(np.concatenate([shared, more[left:]]))
+        if len(a) == len(b) == n:
+            continue
+        share = rng.choice([0, 0.3, 0.7, 1.0])
+        frequent = lambda x: (x % np.uint64(1000)) < np.uint64(1000 * share)  # noqa: E731, B023
+        found = [set(signatures(x, frequent(x), similarity)[0].tolist()) for x in (a, b)]
+        assert found[0] & found[1], (n, left, extra, share)
+        assert max(len(f) / max(1, len(x)) for f, x in zip(found, (a, b))) <= 8
