@@ -18,10 +18,11 @@ share as many signatures as two sets of their sizes cannot do without: of a pref
 most n - o are unmatched if o tokens of n must be shared. That takes the signatures alone and drops
 nearly all pairs that share a phrase by chance. Only sets of pairs that remain are gathered.
 
-Pairs are verified in rounds: first each document with one centre of its bucket; links found are closed to components; then only buckets that still hold
-several components go on, at first with another centre and in the last round with all pairs between
-different components. No pair that could join two components is left out, and copies of one text
-are never expanded to pairs.
+Pairs are verified in two rounds. In the first, each document meets the first document of each of
+its buckets and, in a sixteenth of its buckets, another one drawn by hash, so that large families
+hang together although few of their pairs were tested. Links are closed to components. The second
+round tests all pairs between different components of a bucket. No pair that could join two
+components is left out, and copies of one text are never expanded to pairs.
 
 Defined cases: null, empty or wordless texts have an empty set and link with nothing; with fewer
 words than a shingle, the whole sequence is the one shingle. Rows with equal ids are separate
@@ -51,11 +52,13 @@ class NgramJoinParams:
     shingle: int = 5
     similarity: Fraction = Fraction(3, 4)
     # A shingle held by more sets than this is frequent.
-    frequent: int = 16
+    frequent: int = 4
     # Bits of the bitmap of frequent shingles: 8 MB, whatever the corpus.
     bitmap_bits: int = 26
     # Bits of a document filter: 1 MB.
     filter_bits: int = 23
+    # Ranges in which shingles are counted, one task each: a power of two.
+    ranges: int = 512
 
 
 # ---- sets ----
@@ -108,9 +111,8 @@ def documents_with_sets(docs: DataFrame, size: int) -> DataFrame:
 
 # ---- frequent shingles ----
 
-_PARTS = 64
-# Shingles are counted by their top 40 bits: cells of a fixed fineness.
-_CELL_SHIFT = 24
+# Within its range, a shingle is counted by the next 32 bits.
+_CELL_BITS = 32
 
 
 def frequent_bitmap(docs: DataFrame, params: NgramJoinParams) -> np.ndarray:
@@ -120,7 +122,9 @@ def frequent_bitmap(docs: DataFrame, params: NgramJoinParams) -> np.ndarray:
     every range is added up by one task, which returns its slice of the bitmap. Sets alike within
     a task count once. Gaps between cells travel byte plane by byte plane, which compresses well.
     """
-    size, bits, limit = params.shingle, params.bitmap_bits, params.frequent
+    size, bits, limit, ranges = params.shingle, params.bitmap_bits, params.frequent, params.ranges
+    range_bits = ranges.bit_length() - 1
+    shift = np.uint64(64 - range_bits - _CELL_BITS)
     cells_schema = "part int, cells binary, counts binary"
     flush = 1 << 22
 
@@ -131,17 +135,17 @@ def frequent_bitmap(docs: DataFrame, params: NgramJoinParams) -> np.ndarray:
 
         def send() -> pa.RecordBatch:
             own, counts = np.unique(np.concatenate(held), return_counts=True)
-            edges = np.searchsorted(own, np.arange(_PARTS + 1, dtype=np.uint64) << np.uint64(64 - _CELL_SHIFT - 6))
-            # Within a part of 2^34 cells, four bytes hold a cell less its two lowest bits.
-            low = ((own >> np.uint64(2)) & np.uint64(0xFFFFFFFF)).astype("<u4")
-            gaps, wide = [], np.minimum(counts, 65_535).astype(np.uint16)
-            for a, b in zip(edges[:-1], edges[1:]):
-                gap = np.diff(low[a:b], prepend=np.zeros(1, "<u4"))
-                gaps.append(gap.view(np.uint8).reshape(-1, 4).T.tobytes())
+            edges = np.searchsorted(own, np.arange(ranges + 1, dtype=np.uint64) << np.uint64(_CELL_BITS))
+            low = (own & np.uint64((1 << _CELL_BITS) - 1)).astype("<u4")
+            wide = np.minimum(counts, 65_535).astype(np.uint16)
+            gaps = [
+                np.diff(low[a:b], prepend=np.zeros(1, "<u4")).view(np.uint8).reshape(-1, 4).T.tobytes()
+                for a, b in zip(edges[:-1], edges[1:])
+            ]
             tallies = [wide[a:b].tobytes() if (wide[a:b] > 1).any() else b"" for a, b in zip(edges[:-1], edges[1:])]
             held.clear()
             return pa.RecordBatch.from_pydict({
-                "part": pa.array(range(_PARTS), pa.int32()), "cells": pa.array(gaps, pa.binary()),
+                "part": pa.array(range(ranges), pa.int32()), "cells": pa.array(gaps, pa.binary()),
                 "counts": pa.array(tallies, pa.binary()),
             })
 
@@ -149,7 +153,7 @@ def frequent_bitmap(docs: DataFrame, params: NgramJoinParams) -> np.ndarray:
             for chunk in chunks(batch.column("text")):
                 tokens, bounds = shingle_sets(chunk, size)
                 fresh = _first_seen(set_hashes(tokens, bounds), seen)
-                held.append(tokens[np.repeat(fresh, np.diff(bounds))] >> np.uint64(_CELL_SHIFT))
+                held.append(tokens[np.repeat(fresh, np.diff(bounds))] >> shift)
                 n += len(held[-1])
                 if n >= flush:
                     yield send()
@@ -157,7 +161,7 @@ def frequent_bitmap(docs: DataFrame, params: NgramJoinParams) -> np.ndarray:
         if held:
             yield send()
 
-    slice_bits = (1 << bits) // _PARTS
+    slice_bits = (1 << bits) // ranges
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, tally = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
@@ -181,7 +185,7 @@ def frequent_bitmap(docs: DataFrame, params: NgramJoinParams) -> np.ndarray:
                     merge()
         merge()
         marked = np.zeros(slice_bits, dtype=bool)
-        marked[(own[tally > limit] >> np.uint32(32 - (bits - 6))).astype(np.int64)] = True
+        marked[(own[tally > limit] >> np.uint32(_CELL_BITS - (bits - range_bits))).astype(np.int64)] = True
         yield pa.RecordBatch.from_pydict({
             "part": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([np.packbits(marked).tobytes()], pa.binary()),
             "counts": pa.array([b""], pa.binary()),
@@ -259,8 +263,9 @@ def signatures(
 
 
 def index_entries(docs: DataFrame, bitmap, params: NgramJoinParams) -> DataFrame:
-    """(signature, set_hash, n) rows; sets alike within a task enter once. n is the size of the set,
-    negative if pairs are among its signatures."""
+    """(signature, set_hash, n, lead) rows; sets alike within a task enter once. n is the size of
+    the set, negative if pairs are among its signatures. `lead` marks the signatures one of which
+    any set shares that is as large or larger, and similar."""
     size, bits, similarity = params.shingle, params.bitmap_bits, params.similarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,28 +276,42 @@ def index_entries(docs: DataFrame, bitmap, params: NgramJoinParams) -> DataFrame
                 tokens, bounds = shingle_sets(chunk, size)
                 frequent = _is_frequent(tokens, own_bitmap, bits)
                 hashes = set_hashes(tokens, bounds)
-                entries, owner, sizes = [], [], np.zeros(chunk.rows, dtype=np.int32)
+                entries, owner, first, sizes = [], [], [], np.zeros(chunk.rows, dtype=np.int32)
                 for i in np.flatnonzero(_first_seen(hashes, seen)):
                     a, b = bounds[i], bounds[i + 1]
                     found, single = signatures(tokens[a:b], frequent[a:b], similarity)
                     entries.append(found)
                     owner.append((i, len(found)))
+                    first.append(np.arange(len(found)) < (_lead(b - a, similarity) if single else len(found)))
                     sizes[i] = b - a if single else a - b
                 if entries:
                     of = np.repeat([x for x, _ in owner], [n for _, n in owner]).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.concatenate(entries).view(np.int64)), pa.array(hashes[of]),
-                        pa.array(sizes[of]),
-                    ], names=["signature", "set_hash", "n"])
+                        pa.array(sizes[of]), pa.array(np.concatenate(first)),
+                    ], names=["signature", "set_hash", "n", "lead"])
 
-    return docs.select("text").mapInArrow(run, "signature long, set_hash long, n int")
+    return docs.select("text").mapInArrow(run, "signature long, set_hash long, n int, lead boolean")
+
+
+def _lead(n: int, similarity: Fraction) -> int:
+    """How far the first shared token of a set can lie, if the other set is as large or larger."""
+    p, q = similarity.numerator, similarity.denominator
+    return n - -(-2 * p * n // (p + q)) + 1
+
+
+_ENTRY = ["set_hash", "n", "lead"]
 
 
 def buckets(entries: DataFrame) -> DataFrame:
-    """Entries of signatures that two or more different sets have, once each, with the bucket's
-    `centre`, its least set, as a partner; the centre itself has no row."""
+    """Entries of signatures that two or more different sets have, once each, with two partners in
+    their bucket: its first set as `centre` and one drawn by hash as `other`. The centre itself has
+    no row."""
     laid = entries.repartition("signature").sortWithinPartitions("signature", "set_hash")
-    schema = "signature long, centre long, n_centre int, set_hash long, n int"
+    schema = "signature long" + "".join(
+        f", {prefix}set_hash long, {prefix}n int, {prefix}lead boolean" for prefix in ("", "c_", "o_")
+    )
+    names = ["signature", *(f"{prefix}{c}" for prefix in ("", "c_", "o_") for c in _ENTRY)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The last entry of the batches so far, and the centre of its bucket.
@@ -300,26 +319,35 @@ def buckets(entries: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig, own, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            sig, *entry = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
             carried = last is not None
             if carried:
-                sig, own, n = (np.concatenate([[x], y]) for x, y in zip(last[:3], (sig, own, n)))
+                sig = np.concatenate([[last[0]], sig])
+                entry = [np.concatenate([[x], y]) for x, y in zip(last[1], entry)]
+            own = entry[0]
             opens = np.concatenate([[True], sig[1:] != sig[:-1]])
-            first = np.maximum.accumulate(np.where(opens, np.arange(len(sig)), 0))
-            centre, n_centre = own[first], n[first]
+            start = np.flatnonzero(opens)
+            bucket = np.cumsum(opens) - 1
+            centre = [e[start][bucket] for e in entry]
             if carried:
-                centre[first == 0], n_centre[first == 0] = last[3], last[4]
+                for c, known in zip(centre, last[2]):
+                    c[bucket == 0] = known
+            # The other partner is drawn from what this batch holds of the bucket.
+            draw = mix(own.view(np.uint64) ^ mix(sig.view(np.uint64)))
+            order = np.lexsort((draw, bucket))
+            other = [e[order[start]][bucket] for e in entry]
             fresh = np.concatenate([[not carried], (own[1:] != own[:-1]) | opens[1:]])
-            keep = fresh & (own != centre)
-            last = (sig[-1], own[-1], n[-1], centre[-1], n_centre[-1])
+            keep = fresh & (own != centre[0])
+            last = (sig[-1], [e[-1] for e in entry], [c[-1] for c in centre])
             if keep.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig[keep]), pa.array(centre[keep]), pa.array(n_centre[keep].astype(np.int32)),
-                     pa.array(own[keep]), pa.array(n[keep].astype(np.int32))],
-                    names=["signature", "centre", "n_centre", "set_hash", "n"],
-                )
+                columns = [pa.array(sig[keep])]
+                for values in (entry, centre, other):
+                    columns += [
+                        pa.array(v[keep].astype(kind)) for v, kind in zip(values, (np.int64, np.int32, bool))
+                    ]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return laid.mapInArrow(run, schema)
+    return laid.select("signature", *_ENTRY).mapInArrow(run, schema)
 
 
 # ---- verification ----
@@ -379,14 +407,18 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFra
 # ---- the join ----
 
 def _members(found: DataFrame) -> DataFrame:
-    """(signature, set_hash, n) of all sets in buckets, centres included."""
-    centres = found.select("signature", F.col("centre").alias("set_hash"), F.col("n_centre").alias("n"))
-    return found.select("signature", "set_hash", "n").unionByName(centres.distinct())
+    """(signature, set_hash, n, lead) of all sets in buckets, centres included."""
+    centres = found.select("signature", *(F.col(f"c_{c}").alias(c) for c in _ENTRY))
+    return found.select("signature", *_ENTRY).unionByName(centres.distinct())
 
 
-def _similar_sizes(similarity: Fraction, a: str, b: str) -> Column:
-    least, most = F.least(F.abs(a), F.abs(b)), F.greatest(F.abs(a), F.abs(b))
-    return least * similarity.denominator >= most * similarity.numerator
+def _may_meet(similarity: Fraction) -> Column:
+    """Whether two entries of a bucket can be of similar sets, by their sizes and because the first
+    token they share leads the smaller set."""
+    a, b = F.abs("n"), F.abs("_n")
+    sizes = F.least(a, b) * similarity.denominator >= F.greatest(a, b) * similarity.numerator
+    leads = F.when(a < b, F.col("lead")).when(a > b, F.col("_lead")).otherwise(F.col("lead") | F.col("_lead"))
+    return (F.col("set_hash") != F.col("_set_hash")) & sizes & leads
 
 
 def _share_enough(similarity: Fraction) -> Column:
@@ -418,7 +450,7 @@ class _Join:
         self.found = staging.table(buckets(index_entries(docs, bitmap, params)))
         self.held = staging.table(
             _members(self.found).groupBy("set_hash").agg(
-                F.first("n").alias("n"), F.collect_list("signature").alias("signatures")
+                F.first("n").alias("n"), F.collect_set("signature").alias("signatures")
             )
         )
         empty = spark.createDataFrame([], "a long, b long")
@@ -426,11 +458,9 @@ class _Join:
         self.sets = spark.createDataFrame([], "set_hash long, tokens array<long>")
         self.labels = spark.createDataFrame([], "node long, component long")
 
-    def verify(self, met: DataFrame) -> bool:
-        """Test the pairs (set_hash, n, _set_hash, _n) not tested before; whether any link came."""
-        fresh = met.where(_similar_sizes(self.params.similarity, "n", "_n")).select(
-            F.least("set_hash", "_set_hash").alias("a"), F.greatest("set_hash", "_set_hash").alias("b")
-        ).where("a <> b").distinct().join(self.tested, ["a", "b"], "left_anti")
+    def verify(self, pairs: DataFrame) -> bool:
+        """Test pairs of sets (a, b) not tested before; whether any link came."""
+        fresh = pairs.distinct().join(self.tested, ["a", "b"], "left_anti")
 
         def side(name: str) -> DataFrame:
             return self.held.select(
@@ -454,8 +484,14 @@ class _Join:
         self.labels = components(self.links, "a", "b", self.staging)
         return True
 
+    def _pairs(self, met: DataFrame) -> DataFrame:
+        """(a, b), ordered, of entries that meet and can be of similar sets."""
+        return met.where(_may_meet(self.params.similarity)).select(
+            F.least("set_hash", "_set_hash").alias("a"), F.greatest("set_hash", "_set_hash").alias("b")
+        )
+
     def open_buckets(self) -> DataFrame:
-        """(signature, set_hash, n, component) of the buckets that hold several components."""
+        """Members and their components, of the buckets that hold several components."""
         named = _members(self.found).join(
             self.labels.withColumnRenamed("node", "set_hash"), "set_hash", "left"
         ).withColumn("component", F.coalesce("component", "set_hash"))
@@ -464,16 +500,15 @@ class _Join:
 
     def run(self) -> DataFrame:
         """(node, component) of the sets linked to another one."""
-        other = [F.col(c).alias(f"_{c}") for c in ("set_hash", "n", "component")]
-        self.verify(self.found.select("set_hash", "n", F.col("centre").alias("_set_hash"), F.col("n_centre").alias("_n")))
+        def partner(prefix: str) -> DataFrame:
+            return self.found.select("signature", *_ENTRY, *(F.col(f"{prefix}{c}").alias(f"_{c}") for c in _ENTRY))
+
+        drawn = partner("o_").where(F.pmod(F.xxhash64("signature"), F.lit(16)) == 0)
+        self.verify(self._pairs(partner("c_").unionByName(drawn)))
         rows = self.open_buckets()
-        centre = rows.groupBy("signature").agg(
-            F.min_by(F.struct("set_hash", "n", "component"), F.xxhash64("set_hash", "signature")).alias("c")
-        ).select("signature", F.col("c.set_hash").alias("_set_hash"), F.col("c.n").alias("_n"), F.col("c.component").alias("_component"))
-        if self.verify(rows.join(centre, "signature").where("component <> _component")):
-            rows = self.open_buckets()
-        met = rows.join(rows.select("signature", *other), "signature")
-        self.verify(met.where("set_hash < _set_hash and component <> _component"))
+        others = rows.select("signature", *(F.col(c).alias(f"_{c}") for c in (*_ENTRY, "component")))
+        met = rows.join(others, "signature").where("set_hash < _set_hash and component <> _component")
+        self.verify(self._pairs(met))
         return self.labels
 
 
