@@ -21,8 +21,9 @@ nearly all pairs that share a phrase by chance. Only sets of pairs that remain a
 Pairs are verified in two rounds. In the first, each document meets the first document of each of
 its buckets and, in a sixteenth of its buckets, another one drawn by hash, so that large families
 hang together although few of their pairs were tested. Links are closed to components. The second
-round tests all pairs between different components of a bucket. No pair that could join two
-components is left out, and copies of one text are never expanded to pairs.
+round tests all pairs between different components of a bucket: as rows in a small bucket, in blocks
+of sets that one task compares as matrices where buckets are large. No pair that could join two
+components is left out, and neither copies of one text nor large families are expanded to pairs.
 
 Defined cases: null, empty or wordless texts have an empty set and link with nothing; with fewer
 words than a shingle, the whole sequence is the one shingle. Rows with equal ids are separate
@@ -59,6 +60,9 @@ class NgramJoinParams:
     filter_bits: int = 23
     # Ranges in which shingles are counted, one task each: a power of two.
     ranges: int = 512
+    # Buckets with more members are compared in blocks of that many sets.
+    small_bucket: int = 8
+    block: int = 256
 
 
 # ---- sets ----
@@ -263,9 +267,10 @@ def signatures(
 
 
 def index_entries(docs: DataFrame, bitmap, params: NgramJoinParams) -> DataFrame:
-    """(signature, set_hash, n, lead) rows; sets alike within a task enter once. n is the size of
-    the set, negative if pairs are among its signatures. `lead` marks the signatures one of which
-    any set shares that is as large or larger, and similar."""
+    """(signature, set_hash, n, lead, rare) rows; sets alike within a task enter once. n is the
+    size of the set, negative if pairs are among its signatures. `lead` marks the signatures one of
+    which any set shares that is as large or larger, and similar. `rare` counts the set's rare
+    tokens: in a family of near copies, the one with the fewest is nearest to all others."""
     size, bits, similarity = params.shingle, params.bitmap_bits, params.similarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,6 +281,8 @@ def index_entries(docs: DataFrame, bitmap, params: NgramJoinParams) -> DataFrame
                 tokens, bounds = shingle_sets(chunk, size)
                 frequent = _is_frequent(tokens, own_bitmap, bits)
                 hashes = set_hashes(tokens, bounds)
+                common = np.concatenate([[0], np.cumsum(frequent)])[bounds]
+                rare = (np.diff(bounds) - np.diff(common)).astype(np.int32)
                 entries, owner, first, sizes = [], [], [], np.zeros(chunk.rows, dtype=np.int32)
                 for i in np.flatnonzero(_first_seen(hashes, seen)):
                     a, b = bounds[i], bounds[i + 1]
@@ -288,10 +295,10 @@ def index_entries(docs: DataFrame, bitmap, params: NgramJoinParams) -> DataFrame
                     of = np.repeat([x for x, _ in owner], [n for _, n in owner]).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.concatenate(entries).view(np.int64)), pa.array(hashes[of]),
-                        pa.array(sizes[of]), pa.array(np.concatenate(first)),
-                    ], names=["signature", "set_hash", "n", "lead"])
+                        pa.array(sizes[of]), pa.array(np.concatenate(first)), pa.array(rare[of]),
+                    ], names=["signature", "set_hash", "n", "lead", "rare"])
 
-    return docs.select("text").mapInArrow(run, "signature long, set_hash long, n int, lead boolean")
+    return docs.select("text").mapInArrow(run, "signature long, set_hash long, n int, lead boolean, rare int")
 
 
 def _lead(n: int, similarity: Fraction) -> int:
@@ -305,9 +312,9 @@ _ENTRY = ["set_hash", "n", "lead"]
 
 def buckets(entries: DataFrame) -> DataFrame:
     """Entries of signatures that two or more different sets have, once each, with two partners in
-    their bucket: its first set as `centre` and one drawn by hash as `other`. The centre itself has
-    no row."""
-    laid = entries.repartition("signature").sortWithinPartitions("signature", "set_hash")
+    their bucket: the one with the fewest rare tokens as centre (c_) and one drawn by hash (o_). The
+    centre itself has no row."""
+    laid = entries.repartition("signature").sortWithinPartitions("signature", "rare", "set_hash")
     schema = "signature long" + "".join(
         f", {prefix}set_hash long, {prefix}n int, {prefix}lead boolean" for prefix in ("", "c_", "o_")
     )
@@ -458,8 +465,15 @@ class _Join:
         self.sets = spark.createDataFrame([], "set_hash long, tokens array<long>")
         self.labels = spark.createDataFrame([], "node long, component long")
 
-    def verify(self, pairs: DataFrame) -> bool:
-        """Test pairs of sets (a, b) not tested before; whether any link came."""
+    def gather(self, wanted: DataFrame) -> None:
+        """Add the tokens of sets that are not held yet."""
+        missing = self.staging.table(wanted.join(self.sets.select("set_hash"), "set_hash", "left_anti"))
+        if not missing.isEmpty():
+            gathered = self.staging.table(token_rows(self.docs, missing, self.params))
+            self.sets = self.sets.unionByName(gathered)
+
+    def verify(self, pairs: DataFrame) -> None:
+        """Test pairs of sets (a, b) not tested before."""
         fresh = pairs.distinct().join(self.tested, ["a", "b"], "left_anti")
 
         def side(name: str) -> DataFrame:
@@ -470,19 +484,13 @@ class _Join:
         likely = fresh.join(side("a"), "a").join(side("b"), "b").where(_share_enough(self.params.similarity))
         likely = self.staging.table(likely.select("a", "b"))
         if likely.isEmpty():
-            return False
+            return
         self.tested = self.tested.unionByName(likely)
-        wanted = likely.select(F.explode(F.array("a", "b")).alias("set_hash")).distinct()
-        missing = self.staging.table(wanted.join(self.sets.select("set_hash"), "set_hash", "left_anti"))
-        if not missing.isEmpty():
-            gathered = self.staging.table(token_rows(self.docs, missing, self.params))
-            self.sets = self.sets.unionByName(gathered)
+        self.gather(likely.select(F.explode(F.array("a", "b")).alias("set_hash")).distinct())
         links = self.staging.table(verified(likely, self.sets, self.params.similarity))
-        if links.isEmpty():
-            return False
-        self.links = self.links.unionByName(links)
-        self.labels = components(self.links, "a", "b", self.staging)
-        return True
+        if not links.isEmpty():
+            self.links = self.links.unionByName(links)
+            self.labels = components(self.links, "a", "b", self.staging)
 
     def _pairs(self, met: DataFrame) -> DataFrame:
         """(a, b), ordered, of entries that meet and can be of similar sets."""
@@ -491,12 +499,55 @@ class _Join:
         )
 
     def open_buckets(self) -> DataFrame:
-        """Members and their components, of the buckets that hold several components."""
+        """Members, their components and their number, of buckets that hold several components."""
         named = _members(self.found).join(
             self.labels.withColumnRenamed("node", "set_hash"), "set_hash", "left"
         ).withColumn("component", F.coalesce("component", "set_hash"))
-        several = named.groupBy("signature").agg(F.min("component").alias("_x"), F.max("component").alias("_y"))
-        return self.staging.table(named.join(several.where("_x <> _y").select("signature"), "signature"))
+        several = named.groupBy("signature").agg(
+            F.min("component").alias("_x"), F.max("component").alias("_y"), F.count(F.lit(1)).alias("members")
+        )
+        return self.staging.table(named.join(several.where("_x <> _y").drop("_x", "_y"), "signature"))
+
+    def verify_families(self, rows: DataFrame) -> None:
+        """Link the sets that meet in large buckets, across components.
+
+        Sets that meet there, directly or through others, are a family. What lies outside the
+        family's largest component is compared with all of it, block against block.
+        """
+        if rows.isEmpty():
+            return
+        first = rows.groupBy("signature").agg(F.min("set_hash").alias("first"))
+        meets = rows.join(first, "signature").select("set_hash", "first").distinct()
+        family = components(meets, "set_hash", "first", self.staging).select(
+            F.col("node").alias("set_hash"), F.col("component").alias("family")
+        )
+        members = self.staging.table(rows.select("set_hash", "component").distinct().join(family, "set_hash"))
+        shares = members.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
+        totals = shares.groupBy("family").agg(
+            F.sum("n").alias("_all"), F.max("n").alias("_most"), F.max_by("component", F.struct("n", "component")).alias("_largest")
+        )
+
+        def blocks(count: Column) -> Column:
+            return F.ceil(count / self.params.block).cast("int")
+
+        def dealt(own: Column, others: Column, side: int) -> DataFrame:
+            at = F.pmod(F.xxhash64("set_hash"), own).cast("int")
+            each = F.explode(F.sequence(F.lit(0), others - 1))
+            place = [at.alias("i"), each.alias("j")] if side == 0 else [each.alias("i"), at.alias("j")]
+            return counted.where((F.col("component") != F.col("_largest")) | F.lit(side == 1)).select(
+                "family", *place, F.lit(side).alias("side"), "set_hash", "component"
+            )
+
+        counted = members.join(totals, "family")
+        outside, whole = blocks(F.col("_all") - F.col("_most")), blocks(F.col("_all"))
+        self.gather(members.select("set_hash").distinct())
+        sides = dealt(outside, whole, 0).unionByName(dealt(whole, outside, 1))
+        # A set that several tasks met is held several times.
+        sets = self.sets.join(members.select("set_hash"), "set_hash", "left_semi").dropDuplicates(["set_hash"])
+        found = self.staging.table(_block_links(sides.join(sets, "set_hash"), self.params.similarity))
+        if not found.isEmpty():
+            self.links = self.links.unionByName(found)
+            self.labels = components(self.links, "a", "b", self.staging)
 
     def run(self) -> DataFrame:
         """(node, component) of the sets linked to another one."""
@@ -506,12 +557,83 @@ class _Join:
         drawn = partner("o_").where(F.pmod(F.xxhash64("signature"), F.lit(16)) == 0)
         self.verify(self._pairs(partner("c_").unionByName(drawn)))
         rows = self.open_buckets()
-        others = rows.select("signature", *(F.col(c).alias(f"_{c}") for c in (*_ENTRY, "component")))
-        met = rows.join(others, "signature").where("set_hash < _set_hash and component <> _component")
+        small = rows.where(F.col("members") <= self.params.small_bucket)
+        others = small.select("signature", *(F.col(c).alias(f"_{c}") for c in (*_ENTRY, "component")))
+        met = small.join(others, "signature").where("set_hash < _set_hash and component <> _component")
         self.verify(self._pairs(met))
+        self.verify_families(rows.where(F.col("members") > self.params.small_bucket))
         return self.labels
 
 
+def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of x with all sets of y, some thousand shared tokens
+    at a time."""
+    def flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(t) for t in sets])
+
+    (xt, xr), (yt, yr) = flat(x), flat(y)
+    shared = np.intersect1d(xt, yt)
+    out = np.zeros((len(x), len(y)), dtype=np.float32)
+    for at in range(0, len(shared), 4096):
+        own = shared[at : at + 4096]
+
+        def incidence(tokens: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+            place = np.minimum(np.searchsorted(own, tokens), len(own) - 1)
+            hit = own[place] == tokens
+            matrix = np.zeros((n, len(own)), dtype=np.float32)
+            matrix[row[hit], place[hit]] = 1
+            return matrix
+
+        out += incidence(xt, xr, len(x)) @ incidence(yt, yr, len(y)).T
+    return out.astype(np.int64)
+
+
+def _block_links(sides: DataFrame, similarity: Fraction) -> DataFrame:
+    """(a, b): for every set of side 0 one link into each component of side 1 that it links with."""
+    place = ["family", "i", "j"]
+    laid = sides.repartition(*place).sortWithinPartitions(*place, "side")
+
+    def links(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        side, own, component = (block.column(n).to_numpy() for n in ("side", "set_hash", "component"))
+        tokens = [t.values.to_numpy() for t in block.column("tokens")]
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(x) or not len(y):
+            return own[:0], own[:0]
+        size = np.array([len(t) for t in tokens])
+        both = _overlaps([tokens[k] for k in x], [tokens[k] for k in y])
+        either = size[x][:, None] + size[y][None, :] - both
+        alike = both * similarity.denominator >= either * similarity.numerator
+        alike &= component[x][:, None] != component[y][None, :]
+        a, b = np.nonzero(alike)
+        _, one = np.unique(np.stack([a, component[y][b]]), axis=1, return_index=True)
+        return own[x][a[one]], own[y][b[one]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def solved(table: pa.Table, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for s, e in zip(edges[:-1], edges[1:]):
+                a, b = links(table.slice(s, e - s).combine_chunks())
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            more = pa.Table.from_batches([batch])
+            held = more if held is None else pa.concat_tables([held, more])
+            places = [held.column(n).to_numpy() for n in place]
+            changes = np.flatnonzero(np.any([c[1:] != c[:-1] for c in places], axis=0)) + 1
+            # The last block may go on in the next batch.
+            yield from solved(held, np.concatenate([[0], changes]))
+            if len(changes):
+                held = held.slice(changes[-1])
+        if held is not None:
+            yield from solved(held, np.array([0, held.num_rows]))
+
+    return laid.mapInArrow(run, "a long, b long")
+
+
 def _with_components(docs: DataFrame, params: NgramJoinParams, staging: Staging) -> DataFrame:
     """Rows of `docs` without their text, with set_hash, n_shingles and component (of sets)."""
     rows = staging.table(documents_with_sets(docs, params.shingle))
