@@ -5,7 +5,8 @@ alike within `distance` edits. A line within tau edits of another holds at least
 tau + 1 even segments unchanged, near where it lies there: every line indexes its segments under
 (length, segment number, content) and probes the few substrings of its own that can match a
 segment of a line of the same length or up to tau shorter, with the positions cut from both ends.
-Candidates are verified by edit distance in a band of 2 * tau + 1 diagonals, one bit each.
+Lines that share a key must agree in their counts of letters, up to two per edit, to be a candidate
+pair; candidates are verified by edit distance in a band of 2 * tau + 1 diagonals, one bit each.
 
 Of equal lines the first by (doc_id, line number) stays. A line is dropped, too, if a line alike
 has its first occurrence earlier. Shorter lines always stay.
@@ -20,7 +21,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.sources.staging import Staging
@@ -151,6 +152,41 @@ def banded_distance(a: Column, b: Column, tau: int) -> Column:
     return F.when(apart > tau, tau + 1).otherwise(_let(texts, walk))
 
 
+# Letters counted together, the frequent ones of European languages apart.
+_LETTER_GROUPS = ("e", "a", "i", "n", "s", "t", "r", "o", "h", "l", "d", "u", "cm", "gpbfwvykzxjq", " ", "0-9")
+
+
+def letter_counts(line: Column) -> Column:
+    """Counts of groups of letters modulo 16, four bits each."""
+    packed = F.lit(0).cast("long")
+    for i, group in enumerate(_LETTER_GROUPS):
+        count = F.regexp_count(line, F.lit(f"[{group}{group.upper() if group.isalpha() else ''}]")).cast("long")
+        packed = packed.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(15)), 4 * i))
+    return packed
+
+
+def letters_apart(a: Column, b: Column) -> Column:
+    """At least this many counts differ by one: twice the edit distance or less."""
+    total = F.lit(0).cast("long")
+    for i in range(len(_LETTER_GROUPS)):
+        own, other = (F.shiftright(x, 4 * i).bitwiseAND(F.lit(15)) for x in (a, b))
+        apart = F.abs(own - other)
+        total = total + F.least(apart, 16 - apart)
+    return total
+
+
+def _crowded_keys(classes: DataFrame, own: list[str], probes: list[str]) -> DataFrame:
+    """(key, line_hash, own) of the keys that several lines have and at least one as its own."""
+    rows = classes.select("line_hash", F.explode(F.array(
+        *(F.struct(F.col(c).alias("key"), F.lit(c in own).alias("own")) for c in (*own, *probes))
+    )).alias("_entry")).select("line_hash", "_entry.*")
+    key = Window.partitionBy("key")
+    several = rows.withColumns({
+        "_least": F.min("line_hash").over(key), "_most": F.max("line_hash").over(key), "_indexed": F.max("own").over(key),
+    }).where("_least <> _most and _indexed")
+    return several.groupBy("key", "line_hash").agg(F.max("own").alias("own"))
+
+
 def _with_texts(lines: DataFrame, wanted: DataFrame, params: LineDedupParams) -> DataFrame:
     """(line_hash, line) of the wanted lines, one row each.
 
@@ -185,15 +221,19 @@ def line_classes(docs: DataFrame, params: LineDedupParams, staging: Staging) ->
         ).groupBy("line_hash", "chars").agg(F.min("first").alias("first"), *(F.min(n).alias(n) for n in names))
     )
 
-    def keyed(columns: list[str], line: str) -> DataFrame:
-        return classes.select(F.explode(F.array_distinct(F.array(*columns))).alias("key"), F.col("line_hash").alias(line))
-
-    found = keyed(names[: len(own)], "_a").join(keyed(names, "_b"), "key").where("_a <> _b")
-    pairs = staging.table(found.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct())
-    wanted = pairs.select(F.col("a").alias("line_hash")).unionByName(pairs.select(F.col("b").alias("line_hash"))).distinct()
+    crowded = staging.table(_crowded_keys(classes, names[: len(own)], names[len(own) :]))
+    wanted = crowded.select("line_hash").distinct()
     texts = staging.table(
         _with_texts(lines, wanted, params).join(classes.select("line_hash", "first"), "line_hash")
+        .withColumn("letters", letter_counts(F.col("line")))
     )
+    # Only lines that share a key get this far: usually few.
+    met = staging.table(crowded.join(texts.select("line_hash", "letters"), "line_hash"))
+    indexed = met.where("own").select("key", F.col("line_hash").alias("_a"), F.col("letters").alias("_la"))
+    probing = met.select("key", F.col("line_hash").alias("_b"), F.col("letters").alias("_lb"))
+    near = letters_apart(F.col("_la"), F.col("_lb")) <= 2 * params.distance
+    found = indexed.join(probing, "key").where((F.col("_a") != F.col("_b")) & near)
+    pairs = staging.table(found.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct())
 
     def side(name: str) -> DataFrame:
         return texts.select(
