@@ -26,8 +26,9 @@ class RunContext:
     hash_salt: str | None = None
     # Match NULL natural keys of facts and dimensions instead of losing those fact rows.
     null_safe_lookup: bool = False
-    # What a customer key with several dimension rows does to its facts: fanout, error or pick.
-    on_conflict: str = "fanout"
+    # Which dimension row a fact gets where a customer has several: its own (the one with the
+    # fact's attributes), all of them (fanout), the longest tenure's (pick), or none (error).
+    on_conflict: str = "own"
     fact_partition_by: tuple[str, ...] = ()
 
     @property

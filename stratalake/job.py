@@ -10,17 +10,19 @@ from __future__ import annotations
 
 import argparse
 import json
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from datetime import datetime
 
 from pyspark.sql import SparkSession
 
 from stratalake.context import RunContext
-from stratalake.operators.checks import require
 from stratalake.plans.report import churn_rate_report
-from stratalake.plans.run import load_bronze, load_gold, load_silver, run_layers
-from stratalake.plans.validate import NATURAL_KEY_CHECK, gold_constraints
+from stratalake.plans.run import (
+    METRICS, Store, load_bronze, load_gold, load_silver, run_layers, validate_gold,
+)
 from stratalake.sources.csv import read_csv_raw
 from stratalake.sources.layers import LayerStore
+from stratalake.sources.relational import RelationalStore
 
 STAGES = ["all", "bronze", "silver", "gold", "validate", "report"]
 
@@ -28,55 +30,78 @@ STAGES = ["all", "bronze", "silver", "gold", "validate", "report"]
 def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("stage", choices=STAGES)
-    parser.add_argument("--store", required=True, help="root folder of the layer tables")
+    parser.add_argument("--store", help="root folder of the layer tables")
+    parser.add_argument("--jdbc-url", help="database of the layer tables, instead of --store")
+    parser.add_argument(
+        "--jdbc-option", action="append", default=[], metavar="NAME=VALUE",
+        help="driver, user and the like; passwords are better kept in the driver's own files",
+    )
     parser.add_argument("--source", help="CSV file or folder (stages all and bronze)")
     parser.add_argument(
         "--record-files", action="store_true",
         help="record each row's own file instead of the source's name",
     )
     parser.add_argument("--run-id", help="recorded with every bronze row")
+    parser.add_argument(
+        "--run-ts", type=datetime.fromisoformat,
+        help="ISO time of the run: the same for all its stages and for their repeats",
+    )
+    parser.add_argument(
+        "--on-bad", choices=["error", "null"], default="error",
+        help="what unreadable numbers and over-long rows of the source do",
+    )
     parser.add_argument(
         "--keep-null", nargs="*", default=(), metavar="COLUMN",
         help="numeric columns whose gaps are not filled with the median",
     )
-    parser.add_argument("--on-conflict", choices=["fanout", "error", "pick"], default="fanout")
+    parser.add_argument("--on-conflict", choices=["own", "fanout", "error", "pick"], default="own")
     parser.add_argument("--null-safe", action="store_true", help="match NULL natural keys")
     parser.add_argument("--hash-salt", help="salt of the customer pseudonyms")
     args = parser.parse_args(argv)
     if args.stage in ("all", "bronze") and not args.source:
         parser.error(f"stage {args.stage} needs --source")
+    if bool(args.store) == bool(args.jdbc_url):
+        parser.error("give either --store or --jdbc-url")
+    if any("=" not in option for option in args.jdbc_option):
+        parser.error("--jdbc-option takes NAME=VALUE")
     return args
 
 
-def run(spark: SparkSession, args: argparse.Namespace) -> list[dict]:
+def store_of(spark: SparkSession, args: argparse.Namespace) -> Store:
+    if args.store:
+        return LayerStore(spark, args.store)
+    options = dict(option.split("=", 1) for option in args.jdbc_option)
+    return RelationalStore(spark, {"url": args.jdbc_url, **options})
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> Iterable[dict]:
     """Do the stage; returns its metrics, failed or passed checks, or report rows."""
-    settings = {"run_id": args.run_id} if args.run_id else {}
+    given = {"run_id": args.run_id, "run_ts": args.run_ts}
+    settings = {name: value for name, value in given.items() if value}
     ctx = RunContext(
         **settings, source_file=args.source or "", impute_exclude=tuple(args.keep_null),
         on_conflict=args.on_conflict, null_safe_lookup=args.null_safe, hash_salt=args.hash_salt,
     )
-    store = LayerStore(spark, args.store)
+    store = store_of(spark, args)
     files = "source_file" if args.record_files else None
 
     def metrics(rows: list[tuple]) -> list[dict]:
-        names = ("stage", "table_name", "row_count", "duplicates_removed")
-        return [dict(zip(names, row)) for row in rows]
+        return [dict(zip(METRICS.names, row)) for row in rows]
 
     if args.stage == "all":
-        raw = read_csv_raw(spark, args.source, file_column=files)
+        raw = read_csv_raw(spark, args.source, file_column=files, on_bad=args.on_bad)
         return [r.asDict() for r in run_layers(spark, raw, store, ctx, files).collect()]
     if args.stage == "bronze":
-        raw = read_csv_raw(spark, args.source, file_column=files)
+        raw = read_csv_raw(spark, args.source, file_column=files, on_bad=args.on_bad)
         return metrics(load_bronze(raw, store, ctx, files))
     if args.stage == "silver":
         return metrics(load_silver(store, ctx))
     if args.stage == "gold":
         return metrics(load_gold(store, ctx))
     if args.stage == "validate":
-        # Conflicting customer records are a property of the source: reported, not refused.
-        rows = require(gold_constraints(store.gold()), warn_only=[NATURAL_KEY_CHECK])
-        return [r.asDict() for r in rows]
-    return [r.asDict() for r in churn_rate_report(store.gold()).collect()]
+        return [r.asDict() for r in validate_gold(store)]
+    # One row for each pair of labels; labels are free text, so row by row.
+    return (r.asDict() for r in churn_rate_report(store.gold()).toLocalIterator())
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -117,6 +118,14 @@ def union_reports(reports: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+def warn(report: DataFrame) -> None:
+    """Log the failed checks of a report."""
+    for r in report.where("violations > 0").collect():
+        logging.getLogger(__name__).warning(
+            "%s: %s has %d violations", r["table"], r["check"], r["violations"]
+        )
+
+
 def require(report: DataFrame, warn_only: Sequence[str] = ()) -> list:
     """Raise if a check failed; give back the report's rows, one per check.
 

@@ -24,14 +24,30 @@ def fits_broadcast(
     One distributed aggregate over the table: call it on a written table, with the columns that
     would be sent.
     """
+    return all_fit_broadcast([df], max_rows, max_bytes)[0]
+
+
+def _measure(df: DataFrame, number: int) -> DataFrame:
     width = reduce(
         lambda a, b: a + b,
         [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns],
     )
-    measured = df.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")
-    ).first()
-    return measured["n"] <= max_rows and measured["size"] <= max_bytes
+    return df.agg(
+        F.lit(number).alias("number"), F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(width), F.lit(0)).alias("size"),
+    )
+
+
+def all_fit_broadcast(
+    tables: Sequence[DataFrame], max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
+) -> list[bool]:
+    """`fits_broadcast` of several tables, measured in one job."""
+    measures = reduce(DataFrame.unionByName, [_measure(t, i) for i, t in enumerate(tables)])
+    return [
+        row["n"] <= max_rows and row["size"] <= max_bytes
+        for row in sorted(measures.collect(), key=lambda row: row["number"])
+    ]
 
 
 def _one_per_key(

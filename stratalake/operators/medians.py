@@ -9,13 +9,15 @@ all distinct (ids) cost the same.
 
 Buckets are single units near zero, so ages, months and everyday amounts are settled by the first
 histogram; adaptive execution then drops the later passes. Otherwise integers and decimals of up
-to ten digits take a second pass, and wider types may take a third.
+to ten digits take a second pass, and wider types may take a third, which reads those types only.
+Decimals of 19 to 38 digits go seven digits a pass.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,10 +42,13 @@ def _is_narrow(dtype: T.DataType) -> bool:
     return isinstance(dtype, _NARROW_TYPES)
 
 
+def _is_wide(dtype: T.DataType) -> bool:
+    """Whether a value counts more units than a BIGINT holds."""
+    return isinstance(dtype, T.DecimalType) and dtype.precision > 18
+
+
 def _units(name: str, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DecimalType):
-        if dtype.precision > 18:
-            raise TypeError(f"{name}: at most 18 digits, not {dtype.simpleString()}")
         return (F.col(name) * F.lit(10 ** dtype.scale)).cast("bigint")
     if isinstance(dtype, T.IntegralType):
         return F.col(name).cast("bigint")
@@ -76,104 +81,218 @@ def _is_exact(start: Column, level: int) -> Column:
     return _within(start, (_FIRST_EXACT, _SECOND_EXACT)[level])
 
 
-def _locate(counted: DataFrame) -> DataFrame:
+def _coarse(start: Column, level: int) -> Column:
+    """Start of a group of about a thousand buckets, ascending with the buckets."""
+    def floor(bits: int) -> Column:
+        return F.shiftleft(F.shiftright(start, bits), bits)
+
+    def above(bits: int, least: int) -> Column:
+        return F.when(start > 0, F.greatest(floor(bits), F.lit(least))).otherwise(floor(bits))
+
+    if level == 0:
+        return (
+            F.when(_within(start, _FIRST_EXACT), floor(10))
+            .when(_within(start, _SECOND_EXACT), above(28, _FIRST_EXACT))
+            .otherwise(above(52, _SECOND_EXACT))
+        )
+    if level == 1:
+        return F.when(_within(start, _SECOND_EXACT), floor(9)).otherwise(floor(31))
+    return floor(10)
+
+
+def _locate(counted: DataFrame, coarse: Column) -> DataFrame:
     """The buckets in which the sought ranks fall: (column_id, start, lower, upper).
 
     `counted` has the histogram (start, n) of each column's open buckets and the ranks sought
     within each, NULL if there is none. At most two rows per column remain, each with the ranks
-    that are left to find inside its bucket.
+    that are left to find inside its bucket. Buckets are summed in groups first, so that no task
+    orders more than the groups of one column or the buckets of one group.
     """
-    upwards = Window.partitionBy("column_id", "lower", "upper").orderBy("start")
-    upto = F.sum("n").over(upwards.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    def holding(rows: DataFrame, place: str, *within: str) -> DataFrame:
+        upwards = Window.partitionBy("column_id", *within).orderBy(place)
+        upto = F.sum("n").over(upwards.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+        def left(rank: str) -> Column:
+            reached = F.col(rank) - (F.col("upto") - F.col("n"))
+            return F.when(reached.between(1, F.col("n")), reached).alias(rank)
+
+        found = rows.withColumn("upto", upto).select("column_id", place, left("lower"), left("upper"))
+        return found.where(F.col("lower").isNotNull() | F.col("upper").isNotNull())
+
+    grouped = counted.withColumn("_group", coarse)
+    groups = grouped.groupBy("column_id", "lower", "upper", "_group").agg(F.sum("n").alias("n"))
+    # Groups lie inside one sought bucket, so a column has two rows here at most.
+    near = holding(groups, "_group", "lower", "upper")
+    inside = grouped.drop("lower", "upper").join(F.broadcast(near), ["column_id", "_group"])
+    return holding(inside, "start", "_group")
+
+
+def _ranks(histogram: DataFrame, only_incomplete: bool) -> DataFrame:
+    """The histogram's buckets with the middle ranks of their column."""
+    # One row per column.
+    totals = histogram.groupBy("column_id").agg(
+        F.sum(F.when(F.col("start").isNotNull(), F.col("n"))).alias("present"),
+        F.sum(F.when(F.col("start").isNull(), F.col("n"))).alias("missing"),
+    )
+    if only_incomplete:
+        totals = totals.where(F.col("missing") > 0)
+    return histogram.where(F.col("start").isNotNull()).join(F.broadcast(totals), "column_id").select(
+        "column_id", "start", "n",
+        F.expr("(present + 1) div 2").alias("lower"), F.expr("present div 2 + 1").alias("upper"),
+    )
 
-    def left(rank: str) -> Column:
-        reached = F.col(rank) - (F.col("upto") - F.col("n"))
-        return F.when(reached.between(1, F.col("n")), reached).alias(rank)
 
+def _named_units(located: DataFrame, columns: Sequence[str]) -> DataFrame:
+    def unit(rank: str) -> Column:
+        return F.max(F.when(F.col(rank).isNotNull(), F.col("start"))).cast(_ANY).alias(rank)
+
+    names = F.array(*map(F.lit, columns))
     return (
-        counted.withColumn("upto", upto)
-        .select("column_id", "start", left("lower"), left("upper"))
-        .where(F.col("lower").isNotNull() | F.col("upper").isNotNull())
+        located.groupBy("column_id").agg(unit("lower"), unit("upper"))
+        .select(names[F.col("column_id")].alias("column_name"), "lower", "upper")
     )
 
 
-def middle_units(
-    df: DataFrame, columns: Sequence[str], only_incomplete: bool = False
-) -> DataFrame:
-    """(column_name, lower, upper): units of the two middle values of each column.
+def _stacked(df: DataFrame, units: Mapping[int, Column]) -> DataFrame:
+    """(column_id, units): one row for each value. A number, not the name, tells columns apart:
+    cheaper to hash for every value."""
+    named = df.select(*[u.alias(f"_u{i}") for i, u in units.items()])
+    pairs = [x for i in units for x in (F.lit(i), F.col(f"_u{i}"))]
+    return named.select(F.stack(F.lit(len(units)), *pairs).alias("column_id", "units"))
 
-    Columns without any value give no row; with `only_incomplete` neither do columns without
-    NULLs, for which the later passes then read nothing.
-    """
+
+def _middle_narrow(df: DataFrame, columns: Sequence[str], only_incomplete: bool) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema}
-    passes = 2 if all(_is_narrow(types[c]) for c in columns) else 3
+    units = {i: _units(c, types[c]) for i, c in enumerate(columns)}
+    # Only types that can need the third histogram are read for it.
+    deep = {i: u for i, u in units.items() if not _is_narrow(types[columns[i]])}
 
     def place(start: Column, level: int) -> Column:
         # Column and bucket as one number, the quickest join key. Single units share numbers,
         # but only with each other and never with a wider bucket, the only ones sought.
         return F.shiftright(start, (18, 21)[level]) * len(columns) + F.col("column_id")
 
-    # A number, not the name, tells columns apart: cheaper to hash for every value.
-    pairs = [x for i, c in enumerate(columns) for x in (F.lit(i), F.col(c))]
-    long = df.select(*[_units(c, types[c]).alias(c) for c in columns]).select(
-        F.stack(F.lit(len(columns)), *pairs).alias("column_id", "units")
-    )
-
+    long = _stacked(df, units)
     histogram = long.groupBy("column_id", _bucket(F.col("units"), 0).alias("start")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    whole = Window.partitionBy("column_id")
-    counted = histogram.withColumns({
-        "present": F.sum(F.when(F.col("start").isNotNull(), F.col("n"))).over(whole),
-        "missing": F.sum(F.when(F.col("start").isNull(), F.col("n"))).over(whole),
-    })
-    if only_incomplete:
-        counted = counted.where(F.col("missing") > 0)
-    located = _locate(
-        counted.where(F.col("start").isNotNull()).select(
-            "column_id", "start", "n",
-            F.expr("(present + 1) div 2").alias("lower"), F.expr("present div 2 + 1").alias("upper"),
-        )
-    )
-    for level in range(1, passes):
+    located = _locate(_ranks(histogram, only_incomplete), _coarse(F.col("start"), 0))
+    for level in range(1, 3 if deep else 2):
         settled = _is_exact(F.col("start"), level - 1)
         # Two buckets per column at most, so the broadcast side has 2 * len(columns) rows.
         sought = located.where(~settled).select(
             place(F.col("start"), level - 1).alias("place"), "lower", "upper"
         )
+        rows = long if level == 1 else _stacked(df, deep)
         inside = (
-            long.withColumn("place", place(_bucket(F.col("units"), level - 1), level - 1))
+            rows.withColumn("place", place(_bucket(F.col("units"), level - 1), level - 1))
             .join(F.broadcast(sought), "place")
             .groupBy("column_id", "lower", "upper", _bucket(F.col("units"), level).alias("start"))
             .agg(F.count(F.lit(1)).alias("n"))
         )
-        located = located.where(settled).unionByName(_locate(inside))
+        located = located.where(settled).unionByName(_locate(inside, _coarse(F.col("start"), level)))
+    return _named_units(located, columns)
 
-    def unit(rank: str) -> Column:
-        return F.max(F.when(F.col(rank).isNotNull(), F.col("start"))).alias(rank)
 
-    names = F.array(*map(F.lit, columns))
-    return (
-        located.groupBy("column_id").agg(unit("lower"), unit("upper"))
-        .select(names[F.col("column_id")].alias("column_name"), "lower", "upper")
-    )
+# Bucket widths of decimals beyond a BIGINT, and how many buckets a group has.
+_WIDE_WIDTHS = (10**31, 10**24, 10**17, 10**10, 10**3, 1)
+_WIDE_GROUP = 10**4
+_ANY = "decimal(38,0)"
+
+
+def _wide_units(name: str, scale: int) -> Column:
+    """Count of smallest units; whole part and fraction apart, as their product has 38 digits."""
+    whole = F.floor(name)
+    fraction = ((F.col(name) - whole) * F.lit(Decimal(10) ** scale)).cast(_ANY)
+    return (whole.cast(_ANY) * F.lit(Decimal(10) ** scale).cast(_ANY)).cast(_ANY) + fraction
+
+
+def _wide_floor(units: Column, width: int) -> Column:
+    """Start of the bucket; the lowest one of all starts at the least number of the type."""
+    if width == 1:
+        return units
+    wide = F.lit(Decimal(width)).cast(_ANY)
+    start = F.try_subtract(units, F.pmod(units, wide).cast(_ANY)).cast(_ANY)
+    least = F.lit(Decimal(1 - 10**38)).cast(_ANY)
+    return F.when(units.isNotNull(), F.coalesce(start, least))
+
 
+def _middle_wide(df: DataFrame, columns: Sequence[str], only_incomplete: bool) -> DataFrame:
+    """The same for decimals of up to 38 digits: seven digits a pass."""
+    types = {f.name: f.dataType for f in df.schema}
+    long = _stacked(df, {i: _wide_units(c, types[c].scale).cast(_ANY) for i, c in enumerate(columns)})
+    located = None
+    for level, width in enumerate(_WIDE_WIDTHS):
+        start = _wide_floor(F.col("units"), width).alias("start")
+        if located is None:
+            histogram = long.groupBy("column_id", start).agg(F.count(F.lit(1)).alias("n"))
+            counted = _ranks(histogram, only_incomplete)
+        else:
+            # Two buckets per column at most.
+            sought = located.withColumnRenamed("start", "place")
+            counted = (
+                long.withColumn("place", _wide_floor(F.col("units"), _WIDE_WIDTHS[level - 1]))
+                .join(F.broadcast(sought), ["column_id", "place"])
+                .groupBy("column_id", "lower", "upper", start).agg(F.count(F.lit(1)).alias("n"))
+            )
+        located = _locate(counted, _wide_floor(F.col("start"), width * _WIDE_GROUP))
+    return _named_units(located, columns)
+
+
+def middle_units(
+    df: DataFrame, columns: Sequence[str], only_incomplete: bool = False
+) -> DataFrame:
+    """(column_name, lower, upper): units of the two middle values of each column.
 
-def _twice_midpoint() -> Column:
-    return F.col("lower").cast("decimal(20,0)") + F.col("upper").cast("decimal(20,0)")
+    Columns without any value give no row; with `only_incomplete` neither do columns without
+    NULLs, for which the later passes then read nothing.
+    """
+    types = {f.name: f.dataType for f in df.schema}
+    wide = [c for c in columns if _is_wide(types[c])]
+    narrow = [c for c in columns if c not in wide]
+    parts = [
+        middle(df, own, only_incomplete)
+        for middle, own in ((_middle_narrow, narrow), (_middle_wide, wide)) if own
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _exact_midpoint(dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return (rank_to_double(F.col("lower")) + rank_to_double(F.col("upper"))) / 2
-    return _twice_midpoint().cast("double") / 2.0 / 10.0 ** _scale(dtype)
+        return (_double(F.col("lower")) + _double(F.col("upper"))) / 2
+    if _is_wide(dtype):
+        # Both halves of the sum, which may have 39 digits.
+        halves = F.col("lower").cast("double") / 2.0 + F.col("upper").cast("double") / 2.0
+        return halves / F.lit(10.0 ** _scale(dtype))
+    total = F.col("lower").cast("decimal(20,0)") + F.col("upper").cast("decimal(20,0)")
+    return total.cast("double") / 2.0 / 10.0 ** _scale(dtype)
+
+
+def _double(rank: Column) -> Column:
+    return rank_to_double(rank.cast("bigint"))
 
 
 def _midpoint_in_type(dtype: T.DataType) -> Column:
+    """Half up, in units, without a sum that could overflow."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return _exact_midpoint(dtype).cast(dtype)
-    units = F.round(_twice_midpoint() / 2, 0).cast("decimal(19,0)")
-    return (units * F.lit(Decimal(1).scaleb(-_scale(dtype)))).cast(dtype)
+    two = F.lit(Decimal(2)).cast("decimal(1,0)")
+    odd = [F.pmod(F.col(c), two) for c in ("lower", "upper")]
+    low, high = (((F.col(c) - o) / two).cast(_ANY) for c, o in zip(("lower", "upper"), odd))
+    whole, left = (low + high).cast(_ANY), odd[0] + odd[1]
+    up = F.when((left == 2) | (left == 1) & (whole >= 0), 1).otherwise(0)
+    units = (whole + up).cast(_ANY)
+    if not _scale(dtype):
+        return units.cast(dtype)
+    if not _is_wide(dtype):
+        return (units.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-_scale(dtype)))).cast(dtype)
+    ten = F.lit(Decimal(10) ** _scale(dtype)).cast(_ANY)
+    fraction = F.pmod(units, ten).cast(_ANY)
+    whole_part = ((units - fraction) / ten).cast(T.DecimalType(38 - _scale(dtype), 0))
+    return (
+        whole_part.cast(dtype)
+        + (fraction.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-_scale(dtype)))).cast(dtype)
+    ).cast(dtype)
 
 
 def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from stratalake.functions import base_name
 from stratalake.operators.columns import lowercase_names, text_columns
 from stratalake.operators.dedupe import dedupe_exact
 from stratalake.operators.impute import constant_impute, median_impute
+from stratalake.schemas import LONG_ROW_COLUMN
 
 
 def build_bronze(
@@ -21,7 +22,7 @@ def build_bronze(
     file comes from that column (the first by name, if copies lie in several files).
     """
     distinct = dedupe_exact(raw, copies, keep_min=[file_column] if file_column else ())
-    technical = {c for c in (copies, file_column) if c}
+    technical = {c for c in (copies, file_column, LONG_ROW_COLUMN) if c}
     # Medians and rows come from the same shuffle, provided that both ask it for the same
     # columns: the condition, always true, keeps `copies` from being pruned for the medians.
     measured = distinct.where(F.col(copies) > 0) if copies else distinct

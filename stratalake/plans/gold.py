@@ -17,8 +17,8 @@ from stratalake.functions import (
     rounded_product,
 )
 from stratalake.operators.columns import conform
-from stratalake.operators.dimensions import distinct_attributes, with_derived
-from stratalake.operators.joins import fits_broadcast, lookup_key
+from stratalake.operators.dimensions import distinct_attributes
+from stratalake.operators.joins import all_fit_broadcast, lookup_key
 from stratalake.operators.keys import key_by_hex_prefix, key_by_range, key_labels
 from stratalake.sources.staging import Staging
 
@@ -67,7 +67,7 @@ def build_dim_customer(silver: DataFrame, ctx: RunContext) -> DataFrame:
         "tenure": "tenure_months",
     })
     keyed = key_by_hex_prefix(rows, attributes, "customer_sk")
-    return conform(with_derived(keyed, {
+    return conform(keyed.withColumns({
         "tenure_category": tenure_category(F.col("tenure_months")),
         "effective_date": ctx.now(),
         "is_current": F.lit(True),
@@ -84,7 +84,7 @@ def build_dim_service(silver: DataFrame, staging: Staging) -> DataFrame:
     attributes = ["internet_service", "tech_support"]
     rows = distinct_attributes(silver, {c: c for c in attributes})
     keyed = key_labels(rows, attributes, "service_sk", staging)
-    return conform(with_derived(keyed, {
+    return conform(keyed.withColumns({
         "service_bundle_type": service_bundle(*map(F.col, attributes)),
     }), S.DIM_SERVICE)
 
@@ -93,36 +93,64 @@ def build_dim_contract(silver: DataFrame, staging: Staging) -> DataFrame:
     """Contract dimension of silver, or of its staged `label_rows`."""
     rows = distinct_attributes(silver, {"contract_type": "contract_type"})
     keyed = key_labels(rows, ["contract_type"], "contract_sk", staging)
-    return conform(with_derived(keyed, {
+    return conform(keyed.withColumns({
         "contract_duration_months": contract_months(F.col("contract_type")),
     }), S.DIM_CONTRACT)
 
 
+def _with_customer(
+    fact: DataFrame, dim: DataFrame, ctx: RunContext, staging: Staging
+) -> DataFrame:
+    """customer_sk of each fact, and `_first`, which marks one row of each fact that has any."""
+    key = ["customer_id_anonymized"]
+    if ctx.on_conflict == "own":
+        # The dimension is the distinct rows of these attributes of the same silver: every fact
+        # has exactly one, also where they are NULL, and a hot id is spread by its attributes.
+        attributes = [*key, "age", "gender", "tenure"]
+        side = dim.withColumnRenamed("tenure_months", "tenure")
+        found = lookup_key(fact, side, attributes, "customer_sk", null_safe=True)
+        return found.withColumn("_first", F.lit(True))
+    if ctx.on_conflict == "fanout":
+        first = dim.groupBy(*key).agg(F.min("customer_sk").alias("customer_sk"))
+        marked = dim.select(*key, "customer_sk").join(
+            first.select("customer_sk", F.lit(True).alias("_first")), "customer_sk", "left"
+        )
+        side = staging.table(marked.withColumn("_entry", F.struct("customer_sk", "_first")))
+        found = lookup_key(fact, side, key, "_entry", null_safe=ctx.null_safe_lookup)
+        return found.select(
+            *fact.columns, F.col("_entry.customer_sk").alias("customer_sk"),
+            F.coalesce(F.col("_entry._first"), F.lit(False)).alias("_first"),
+        )
+    found = lookup_key(
+        fact, dim, key, "customer_sk", null_safe=ctx.null_safe_lookup, on_conflict=ctx.on_conflict,
+        # The longest tenure is a customer's most recent record.
+        prefer=F.col("tenure_months") if ctx.on_conflict == "pick" else None, staging=staging,
+    )
+    return found.withColumn("_first", F.lit(True))
+
+
 def fact_rows(
     silver: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, staging: Staging
 ) -> DataFrame:
     """Fact measures with the dimensions' keys, not yet numbered; silver's other columns stay.
 
-    The label dimensions are broadcast if they measure small and are shuffled otherwise. The
-    customer dimension grows with the data and is always joined by shuffle, where adaptive
-    execution splits an id that holds too many rows.
+    The label dimensions are measured together, broadcast if they are small and shuffled
+    otherwise. The customer dimension grows with the data and is always joined by shuffle, where
+    adaptive execution splits an id that holds too many rows.
+
+    `_first` marks one fact of each silver row that has any, so that facts lost and added can be
+    counted.
     """
     fact = silver
-    for table, keys, sk in (
-        ("dim_service", ["internet_service", "tech_support"], "service_sk"),
-        ("dim_contract", ["contract_type"], "contract_sk"),
-    ):
-        dim = dims[table].select(*keys, sk)
-        fact = lookup_key(
-            fact, dim, keys, sk, null_safe=ctx.null_safe_lookup, broadcast=fits_broadcast(dim)
-        )
-    fact = lookup_key(
-        fact, dims["dim_customer"], ["customer_id_anonymized"], "customer_sk",
-        null_safe=ctx.null_safe_lookup, on_conflict=ctx.on_conflict,
-        # The longest tenure is a customer's most recent record.
-        prefer=F.col("tenure_months") if ctx.on_conflict == "pick" else None,
-        staging=staging,
-    )
+    labels = [
+        (dims["dim_service"], ["internet_service", "tech_support"], "service_sk"),
+        (dims["dim_contract"], ["contract_type"], "contract_sk"),
+    ]
+    sides = [dim.select(*keys, sk) for dim, keys, sk in labels]
+    small = all_fit_broadcast(sides)
+    for side, fits, (_, keys, sk) in zip(sides, small, labels):
+        fact = lookup_key(fact, side, keys, sk, null_safe=ctx.null_safe_lookup, broadcast=fits)
+    fact = _with_customer(fact, dims["dim_customer"], ctx, staging)
     churned = is_churned(F.col("churn"))
     return fact.withColumns({
         "total_revenue": rounded_product(F.col("tenure"), F.col("monthly_charges")),
@@ -133,21 +161,25 @@ def fact_rows(
 
 def build_fact(
     silver: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, staging: Staging,
-    row_id: str | None = None,
+    row_id: str | None = None, marked: bool = False,
 ) -> DataFrame:
     """The numbered churn fact. `dims` should be written tables.
 
     `row_id` names a column of silver that tells its rows apart (see LayerStore.read); without
-    it a hash of the row does, which cannot split rows equal in every column.
+    it a hash of the row does, which cannot split rows equal in every column. The joined rows are
+    written before they are ordered: range bounds are sampled, and the sample would evaluate the
+    joins once more. With `marked`, `_first` of fact_rows() stays as a column.
     """
     tag = F.col(row_id) if row_id else F.xxhash64(*silver.columns)
     tagged = silver.withColumn("_tag", tag)
-    rows = fact_rows(tagged, dims, ctx, staging).select(*FACT_ORDER, "_tag")
+    rows = staging.table(fact_rows(tagged, dims, ctx, staging).select(*FACT_ORDER, "_tag", "_first"))
     keyed = key_by_range(
         rows, FACT_ORDER, "fact_sk", staging, spread_by=["_tag"], drop=["_tag"]
     )
-    return conform(keyed.withColumns({
+    fact = keyed.withColumns({
         "date_sk": F.lit(S.DATE_SK),
         "created_timestamp": ctx.now(),
         "updated_timestamp": ctx.now(),
-    }), S.FACT)
+    })
+    named = conform(fact, S.FACT)
+    return fact.select(*named.columns, "_first") if marked else named

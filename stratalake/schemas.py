@@ -67,6 +67,9 @@ NA_TOKENS = (
 )
 UNKNOWN_TEXT = "Unknown"
 
+# Text of scanned rows that have more fields than their header; never filled.
+LONG_ROW_COLUMN = "unparsed_row"
+
 # Labels, band edges, bundle names and scores of the gold model.
 TENURE_BANDS = [(12, "0-12 months"), (24, "13-24 months"), (48, "25-48 months")]
 TENURE_OPEN_BAND = "49+ months"

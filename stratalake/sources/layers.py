@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.schemas import GOLD_TABLES, TABLES
-from stratalake.sources.filesystem import child_names, exists, remove_tree
+from stratalake.sources.filesystem import child_names, exists, remove_tree, touch
 
 OPEN_LAYERS = ("bronze",)
 
@@ -42,12 +42,13 @@ class LayerStore:
 
     def write(
         self, df: DataFrame, layer: str, table: str, version: str,
-        partition_by: Sequence[str] = (), metrics: Mapping | None = None,
+        partition_by: Sequence[str] = (), metrics: Mapping | None = None, publish: bool = True,
     ) -> dict[str, int]:
         """Write one version; returns what was counted on the way.
 
         `rows` is always counted; `metrics` adds aggregates over df. Counting rides on the write,
-        so nothing is computed twice.
+        so nothing is computed twice. Without `publish` the version stays invisible to readers
+        that do not name it, until publish() is called.
         """
         schema = self.tables[(layer, table)]
         counted = Observation(f"{layer}.{table}")
@@ -58,12 +59,25 @@ class LayerStore:
         ]
         if layer in OPEN_LAYERS:
             written += [c for c in df.columns if c not in schema.names and not c.startswith("_")]
-        writer = observed.select(*written).write.mode("overwrite")
+        writer = observed.select(*written).write.mode("overwrite").option(
+            "mapreduce.fileoutputcommitter.marksuccessfuljobs", str(publish).lower()
+        )
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(layer, table, version))
         return dict(counted.get)
 
+    def begin(self, layer: str, table: str, version: str) -> None:
+        """Nothing to prepare: a version is invisible until it is published."""
+
+    def publish(self, layer: str, table: str, version: str) -> None:
+        """Show a version that was written without."""
+        touch(self.spark, f"{self.path(layer, table, version)}/_SUCCESS")
+
+    def unpublish(self, layer: str, table: str, version: str) -> None:
+        """Hide a version; its files stay for inspection."""
+        remove_tree(self.spark, f"{self.path(layer, table, version)}/_SUCCESS")
+
     def reset(self, layer: str, table: str, version: str) -> None:
         """Publish an empty table of the declared schema."""
         empty = self.spark.createDataFrame([], self.tables[(layer, table)])
@@ -105,7 +119,7 @@ class LayerStore:
         """Versions that all the tables have, oldest first."""
         return sorted(set.intersection(*[set(self.versions(layer, t)) for t in tables]))
 
-    def _newest_shared(self, layer: str, tables: Sequence[str]) -> str:
+    def newest_shared(self, layer: str, tables: Sequence[str]) -> str:
         shared = self.shared_versions(layer, tables)
         if not shared:
             raise FileNotFoundError(f"{layer} has no version with all of {list(tables)}")
@@ -113,7 +127,7 @@ class LayerStore:
 
     def snapshot(self, layer: str, tables: Sequence[str]) -> dict[str, DataFrame]:
         """The newest version that all the tables have, so that their keys belong together."""
-        version = self._newest_shared(layer, tables)
+        version = self.newest_shared(layer, tables)
         return {t: self.read(layer, t, version) for t in tables}
 
     def gold(self) -> dict[str, DataFrame]:
@@ -149,7 +163,7 @@ class LayerStore:
         Database and tables live in the session's catalog; the tables are external, so dropping
         or replacing them leaves the files alone.
         """
-        version = self._newest_shared(layer, tables)
+        version = self.newest_shared(layer, tables)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
         for table in tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")

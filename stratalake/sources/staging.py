@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,12 +28,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Folders of this process that were not cleared yet.
+_LEFT: dict[str, SparkSession] = {}
+
+
 class Staging:
-    """Staged tables of one unit of work, removed together when it is left."""
+    """Staged tables of one unit of work, removed together when it is left.
+
+    Where a result is returned that still reads them, whoever consumes it calls clear_staged().
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
+        _LEFT[self.path] = spark
 
     def table(self, df: DataFrame) -> DataFrame:
         path = f"{self.path}/{uuid.uuid4().hex}"
@@ -44,9 +54,29 @@ class Staging:
 
     def clear(self) -> None:
         remove_tree(self.spark, self.path)
+        _LEFT.pop(self.path, None)
 
     def __enter__(self) -> Staging:
         return self
 
     def __exit__(self, *exc_info) -> None:
         self.clear()
+
+
+def clear_staged() -> None:
+    """Remove everything this process has staged; call it once results have been consumed."""
+    for path, spark in list(_LEFT.items()):
+        remove_tree(spark, path)
+        del _LEFT[path]
+
+
+@contextmanager
+def staged_results() -> Iterator[None]:
+    """Clear on leaving what is staged inside: consume results before the end of the block."""
+    before = set(_LEFT)
+    try:
+        yield
+    finally:
+        for path in [p for p in _LEFT if p not in before]:
+            remove_tree(_LEFT[path], path)
+            del _LEFT[path]

@@ -2,37 +2,80 @@
 
 Silver is row-local, so the batch builder serves a stream unchanged. Bronze medians and dense
 gold keys depend on the whole table and are refreshed by run_layers.
+
+The source is a folder to which new bronze files are added. The versions of a LayerStore are no
+such folder: each is a full rewrite, and streaming over all of them would append every record
+again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.context import RunContext
 from stratalake.operators.columns import conform
 from stratalake.plans.silver import build_silver
-from stratalake.schemas import BRONZE, SILVER
+from stratalake.schemas import SILVER
+
+
+class SchemaDrift(ValueError):
+    """A bronze file has other columns than the folder's first file."""
+
+
+def _columns(schema: T.StructType) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in schema}
+
+
+def bronze_schema(spark: SparkSession, bronze_path: str) -> T.StructType:
+    """The columns of the written bronze, which all its files must share.
+
+    Footers are read by Spark: all of them for columns that only some files have, and the first
+    file's of every folder for columns that a folder lacks.
+    """
+    every = spark.read.option("mergeSchema", True).parquet(bronze_path)
+    schema = every.schema
+    # One row per folder of files.
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    firsts = every.groupBy(folder.alias("folder")).agg(F.min("_metadata.file_path").alias("file"))
+    for row in firsts.toLocalIterator():
+        own = spark.read.parquet(row["file"]).schema
+        if _columns(own) != _columns(schema):
+            differing = set(_columns(own).items()) ^ set(_columns(schema).items())
+            raise SchemaDrift(f"{row['file']}: differs in {sorted(differing)}")
+    return schema
 
 
 def silver_stream(
-    spark: SparkSession, bronze_path: str, ctx: RunContext, schema: T.StructType = BRONZE
+    spark: SparkSession, bronze_path: str, ctx: RunContext, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Streaming silver records of the files that appear below `bronze_path`."""
+    """Streaming silver records of the files that appear below `bronze_path`.
+
+    Without a schema it is that of the files already there; columns that drifted are kept and
+    find their way to silver as in a batch.
+    """
+    schema = schema or bronze_schema(spark, bronze_path)
     bronze = spark.readStream.schema(schema).parquet(bronze_path)
     return conform(build_silver(bronze, ctx), SILVER)
 
 
 def refresh_silver(
-    spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str, ctx: RunContext
+    spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str, ctx: RunContext,
+    schema: T.StructType | None = None,
 ) -> None:
     """Append the silver records of all files not seen before, then stop.
 
     Call it as often as a refresh is due; `checkpoint` remembers the files already done, and
-    the file sink commits each batch once.
+    the file sink commits each batch once. A file with other columns than the rest is refused
+    before any file of the refresh is read; with a `schema`, files must have exactly its columns.
     """
+    found = bronze_schema(spark, bronze_path)
+    if schema is not None and _columns(found) != _columns(schema):
+        differing = set(_columns(found).items()) ^ set(_columns(schema).items())
+        raise SchemaDrift(f"{bronze_path}: differs in {sorted(differing)}")
     query = (
-        silver_stream(spark, bronze_path, ctx)
+        silver_stream(spark, bronze_path, ctx, found)
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -34,6 +34,11 @@ _RAW_CORRECTED = _RAW.replace(
     "select * exclude (delivery) replace (cast(age + delivery as int) as age) from delivered",
 )
 
+_RAW_MISSING_IDS = _RAW.replace(
+    "select * exclude (delivery) from delivered",
+    "select * exclude (delivery) replace (case when customerid%10<>0 then customerid end as customerid) from delivered",
+)
+
 _DISTINCT = """,
 unique_raw as (select distinct * from subscriber_raw)"""
 
@@ -112,7 +117,13 @@ dim_contract as (
   from (select distinct contract_type from silver))"""
 
 
-def _fact(equals: str = "=", dim: str = "dim_customer") -> str:
+# Each silver row meets the dimension row with its own attributes.
+_OWN = """s.customer_id_anonymized is not distinct from d.customer_id_anonymized
+      and s.age is not distinct from d.age and s.gender is not distinct from d.gender
+      and s.tenure is not distinct from d.tenure_months"""
+
+
+def _fact(equals: str = "=", dim: str = "dim_customer", customer: str = "") -> str:
     return f""",
 measured as (
   select d.customer_sk, v.service_sk, c.contract_sk,
@@ -122,7 +133,7 @@ measured as (
     coalesce(s.churn = 'yes', false) as is_churned,
     cast(case when s.churn = 'yes' then 1.0 when s.tenure < 12 then 0.7 else 0.3 end as double)
       as churn_risk_score
-  from silver s join {dim} d on s.customer_id_anonymized {equals} d.customer_id_anonymized
+  from silver s join {dim} d on {customer or f"s.customer_id_anonymized {equals} d.customer_id_anonymized"}
     join dim_service v on s.internet_service {equals} v.internet_service
       and s.tech_support {equals} v.tech_support
     join dim_contract c on s.contract_type {equals} c.contract_type),
@@ -314,12 +325,52 @@ def _unimputed(equals: str) -> str:
     return _RAW + _DISTINCT + _silver("unique_raw", 0) + _DIMS + _fact(equals)
 
 
+_MISSING_IDS = _RAW_MISSING_IDS + _BRONZE + _SILVER + _DIMS
+# The id's gaps are left open, all others are filled.
+_MISSING_IDS_KEPT = _RAW_MISSING_IDS + _BRONZE.replace(
+    "coalesce(customerid, id_m)", "customerid"
+) + _SILVER + _DIMS
+
+
+def _wide_median(value: str, name: str) -> str:
+    """In ten-thousandths, exactly."""
+    return f"""
+        select '{name}' as column_name, cast((max(v) filter (where i = (n + 1) // 2)
+            + max(v) filter (where i = n // 2 + 1)) as double) / 2 / 10000 as median
+        from (select v, row_number() over (order by v) as i, count(*) over () as n
+              from (select {value} as v from lineitem) where v is not null)"""
+
+
 _CORRECTED = _RAW_CORRECTED + _BRONZE + _SILVER + _DIMS
 
+_METRICS = """
+select 'bronze' as stage, 'subscribers' as table_name, (select count(*) from unique_raw) as row_count,
+  (select count(*) from subscriber_raw) - (select count(*) from unique_raw) as duplicates_removed,
+  null::bigint as facts_lost, null::bigint as facts_added
+union all select 'silver', 'subscribers', (select count(*) from silver), null, null, null
+union all select 'gold', 'dim_customer', (select count(*) from dim_customer), null, null, null
+union all select 'gold', 'dim_service', (select count(*) from dim_service), null, null, null
+union all select 'gold', 'dim_contract', (select count(*) from dim_contract), null, null, null
+union all select 'gold', 'fact_customer_churn', (select count(*) from fact), null, 0,
+  (select count(*) from fact) - (select count(*) from silver)"""
+
 ORACLE_SQL: dict[str, str] = {
     "subscriber_raw": _with(_RAW, _RAW_SHOWN),
     "csv_na_scan": _with(_RAW, _RAW_SHOWN),
     "csv_inferred_scan": _with(_RAW, _RAW_SHOWN),
+    "csv_long_rows": '''
+        select c_custkey as id,
+          case when c_custkey%10=0 then 'a,"b"' when c_custkey%7=0 then 'short' else 'x,y' end as note,
+          case when c_custkey%10=0 then 'c' when c_custkey%7<>0 then c_mktsegment end as segment,
+          case when c_custkey%10=0 then c_custkey || ',"a,""b""",c,extra' end as unparsed_row,
+          (select count(*) from customer where c_custkey%10=0) as long_rows
+        from customer''',
+    "csv_inferred_decimals": """
+        select cast(c_custkey as int) as id, cast(c_custkey as int) as whole,
+          cast(c_custkey + 0.5 as double) as half,
+          cast('1.' || lpad(cast(c_custkey as varchar), 12, '0') as double) as fine,
+          cast(c_custkey%5 + 1 as int) as zeros
+        from customer""",
     "dedupe_exact": _with(_RAW + _DISTINCT, f"select * {_DOUBLE_MONEY} from unique_raw"),
     "dedupe_removed": _with(_RAW + _DISTINCT, """
         select (select count(*) from subscriber_raw) as rows_read,
@@ -345,6 +396,12 @@ ORACLE_SQL: dict[str, str] = {
         _double_median("lineitem", "l_extendedprice"), _double_median("lineitem", "l_tax"),
         _double_median("events", "value"), _double_median("customer", "c_acctbal"),
     ]),
+    "wide_decimal_medians": _union([
+        _wide_median("(cast(l_orderkey as hugeint) * 100000000000000 + l_linenumber) * 10000", "high"),
+        _wide_median("cast(10000000000000000000000000000 as hugeint) * 10000 "
+                     "- cast(cast(l_extendedprice as decimal(10,2)) * 10000 as hugeint)", "low"),
+        _wide_median("case when l_linenumber > 1 then cast(-l_orderkey as hugeint) * 1250 end", "negative"),
+    ]),
     "impute_median": _with(_RAW + _BRONZE, f"""
         select customerid, age, tenure, cast(monthlycharges as double) as monthlycharges,
           cast(totalcharges as double) as totalcharges from bronze"""),
@@ -385,6 +442,7 @@ ORACLE_SQL: dict[str, str] = {
         from subscriber_raw"""),
     "silver": _with(_RAW + _BRONZE + _SILVER, _SILVER_SHOWN),
     "silver_drifted": _with(_RAW + _silver("subscriber_raw", 0), _SILVER_SHOWN),
+    "silver_streamed_drifted": _with(_RAW + _silver("subscriber_raw", 0), _SILVER_SHOWN),
     "silver_streamed": _with(_RAW + _BRONZE + _SILVER, _SILVER_SHOWN),
     "tenure_category": _with(_RAW + _CLEAN, """
         select customerid, tenure,
@@ -428,6 +486,10 @@ ORACLE_SQL: dict[str, str] = {
     "fact_nullsafe_lookup": _with(_unimputed("is not distinct from"), _FACT_SHOWN),
     "fact_null_keys_dropped": _with(_unimputed("="), _FACT_SHOWN),
     "fact_fanout": _with(_CORRECTED + _fact(), _FACT_SHOWN),
+    "fact_conflict_own": _with(_CORRECTED + _fact(customer=_OWN), _FACT_SHOWN),
+    "fact_missing_ids": _with(_MISSING_IDS + _fact(customer=_OWN), _FACT_SHOWN),
+    "fact_missing_ids_kept": _with(_MISSING_IDS_KEPT + _fact(customer=_OWN), _FACT_SHOWN),
+    "fact_missing_ids_fanout": _with(_MISSING_IDS + _fact(), _FACT_SHOWN),
     "fact_conflict_pick": _with(_CORRECTED + _PICKED + _fact(dim="picked_customer"), _FACT_SHOWN),
     "churn_rate_report": _with(_GOLD, _REPORT),
     "churn_rate_report_sql": _with(_GOLD, _REPORT),
@@ -464,15 +526,7 @@ ORACLE_SQL: dict[str, str] = {
         select 'written' as step, cast(count(*) as bigint) as row_count from unique_raw
         union all select 'reset', 0::bigint
         union all select 'rewritten', cast(count(*) as bigint) from unique_raw"""),
-    "stage_metrics": _with(_GOLD, """
-        select 'bronze' as stage, 'subscribers' as table_name,
-          (select count(*) from unique_raw) as row_count,
-          (select count(*) from subscriber_raw) - (select count(*) from unique_raw)
-            as duplicates_removed
-        union all select 'silver', 'subscribers', (select count(*) from silver), null
-        union all select 'gold', 'dim_customer', (select count(*) from dim_customer), null
-        union all select 'gold', 'dim_service', (select count(*) from dim_service), null
-        union all select 'gold', 'dim_contract', (select count(*) from dim_contract), null
-        union all select 'gold', 'fact_customer_churn', (select count(*) from fact), null"""),
+    "stage_metrics": _with(_GOLD, _METRICS),
+    "run_missing_ids": _with(_MISSING_IDS + _fact(), _METRICS),
     "end_to_end_report": _with(_GOLD, _REPORT),
 }

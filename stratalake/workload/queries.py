@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from stratalake import schemas as S
 from stratalake.context import RunContext
-from stratalake.functions import normalize_text, pseudonymize, rounded_product, safe_ratio
+from stratalake.functions import case_rules, normalize_text, pseudonymize, rounded_product, safe_ratio
 from stratalake.operators import checks as C
 from stratalake.operators.columns import (
     fallback_column,
@@ -124,6 +124,40 @@ def q_csv_inferred_scan(spark, d):
     return comparable(lowercase_names(read_csv_raw(spark, _csv_folder(spark, d), types="infer")))
 
 
+def _text_csv(rows: DataFrame, header: str, staging: Staging) -> str:
+    """Lines of `rows` (one text column) as CSV, as they are, below one header per file."""
+    path = staging.folder()
+    rows.select(F.col(rows.columns[0]).alias(header)).write.options(
+        header=True, quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).option("sep", "\u0001").csv(path)
+    return path
+
+
+def q_csv_long_rows(spark, d):
+    """Every tenth customer's row has a field too many, every seventh's one too few."""
+    key = F.col("c_custkey")
+    line = case_rules([
+        (key % 10 == 0, F.concat_ws(",", key, F.lit('"a,""b"""'), F.lit("c"), F.lit("extra"))),
+        (key % 7 == 0, F.concat_ws(",", key, F.lit("short"))),
+    ], F.concat_ws(",", key, F.lit('"x,y"'), "c_mktsegment"))
+    path = _text_csv(table(spark, d, "customer").select(line.alias("line")), "id,note,segment", Staging(spark))
+    rows = read_csv_raw(spark, path, types={"id": T.LongType()}, on_bad="null")
+    long_rows = rows.agg(F.count(S.LONG_ROW_COLUMN)).scalar().alias("long_rows")
+    return rows.select("id", "note", "segment", S.LONG_ROW_COLUMN, long_rows)
+
+
+def q_csv_inferred_decimals(spark, d):
+    """Numbers with as many decimals as they need: none is rounded to fit a narrower type."""
+    key = F.col("c_custkey")
+    line = F.concat_ws(
+        ",", key, F.concat(key, F.lit(".000")), F.concat(key, F.lit(".50")),
+        F.concat(F.lit("1."), F.lpad(key.cast("string"), 12, "0")),
+        F.concat(key % 5 + 1, F.lit(".00000000000")),
+    )
+    path = _text_csv(table(spark, d, "customer").select(line.alias("line")), "id,whole,half,fine,zeros", Staging(spark))
+    return comparable(read_csv_raw(spark, path, types="infer"))
+
+
 # --- bronze ------------------------------------------------------------------------------------
 
 def q_dedupe_exact(spark, d):
@@ -162,6 +196,18 @@ def q_double_medians(spark, d):
     )
 
 
+def q_wide_decimal_medians(spark, d):
+    """Decimals of 38 digits that differ in their first, middle and last ones."""
+    lines = table(spark, d, "lineitem")
+    wide, key = T.DecimalType(38, 4), F.col("l_orderkey").cast("decimal(20,0)")
+    return column_medians(lines.select(
+        (key * F.lit(10**14).cast("decimal(15,0)") + F.col("l_linenumber")).cast(wide).alias("high"),
+        (F.lit(10**14).cast("decimal(15,0)") * F.lit(10**14).cast("decimal(15,0)")
+         - F.col("l_extendedprice").cast("decimal(10,2)")).cast(wide).alias("low"),
+        F.when(F.col("l_linenumber") > 1, -key / 8).cast(wide).alias("negative"),
+    ), ["high", "low", "negative"])
+
+
 def q_impute_median(spark, d):
     columns = ["customerid", "age", "tenure", "monthlycharges", "totalcharges"]
     return comparable(median_impute(dedupe_exact(_raw(spark, d))).select(*columns))
@@ -265,6 +311,17 @@ def q_silver_streamed(spark, d):
     return comparable(spark.read.schema(S.SILVER).parquet(silver))
 
 
+def q_silver_streamed_drifted(spark, d):
+    """The same drifted extract through the streamed refresh."""
+    staging = Staging(spark)
+    bronze, silver = staging.folder(), staging.folder()
+    _raw(spark, d).withColumnsRenamed(
+        {"contracttype": "contract", "age": "seniorcitizen"}
+    ).write.parquet(bronze)
+    refresh_silver(spark, bronze, silver, staging.folder(), RUN)
+    return comparable(spark.read.schema(S.SILVER).parquet(silver))
+
+
 # --- gold rules --------------------------------------------------------------------------------
 
 def _clean(spark, d):
@@ -364,6 +421,29 @@ def q_fact_null_keys_dropped(spark, d):
     return comparable(_gold(silver, staging)["fact_customer_churn"])
 
 
+def _missing_ids(spark, d, keep: bool, on_conflict: str = "own"):
+    """Facts of records of which every tenth lacks its id, filled with the median or kept NULL."""
+    staging = Staging(spark)
+    ctx = replace(RUN, on_conflict=on_conflict, impute_exclude=("customerid",) if keep else ())
+    raw = subscriber_raw(spark, d, missing_ids=True)
+    if keep:
+        raw = lowercase_names(raw)
+    silver = staging.table(build_silver(build_bronze(raw, ctx), ctx))
+    return comparable(_gold(silver, staging, ctx)["fact_customer_churn"])
+
+
+def q_fact_missing_ids(spark, d):
+    return _missing_ids(spark, d, keep=False)
+
+
+def q_fact_missing_ids_kept(spark, d):
+    return _missing_ids(spark, d, keep=True)
+
+
+def q_fact_missing_ids_fanout(spark, d):
+    return _missing_ids(spark, d, keep=False, on_conflict="fanout")
+
+
 def _conflicting_gold(spark, d, on_conflict):
     staging, ctx = Staging(spark), replace(RUN, on_conflict=on_conflict)
     raw = subscriber_raw(spark, d, corrected=True)
@@ -380,6 +460,11 @@ def q_fact_conflict_pick(spark, d):
     return comparable(_conflicting_gold(spark, d, "pick")["fact_customer_churn"])
 
 
+def q_fact_conflict_own(spark, d):
+    """Customers with two dimension rows: each fact meets the one it comes from."""
+    return comparable(_conflicting_gold(spark, d, "own")["fact_customer_churn"])
+
+
 # --- reports -----------------------------------------------------------------------------------
 
 def q_churn_rate_report(spark, d):
@@ -472,6 +557,12 @@ def q_layer_roundtrip(spark, d):
     return comparable(store.read("gold", "fact_customer_churn"))
 
 
+def q_run_missing_ids(spark, d):
+    """Facts lost and added, when every customer key meets all its dimension rows."""
+    store, ctx = LayerStore(spark, Staging(spark).folder()), replace(RUN, on_conflict="fanout")
+    return run_layers(spark, subscriber_raw(spark, d, missing_ids=True), store, ctx)
+
+
 def q_layer_reset(spark, d):
     """Rows of the newest version after a write, after a reset and after the next write."""
     store = LayerStore(spark, Staging(spark).folder())

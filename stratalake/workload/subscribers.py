@@ -17,8 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def subscriber_raw(spark: SparkSession, sf_dir: str, corrected: bool = False) -> DataFrame:
-    """The raw records; with `corrected`, a second delivery states a known age one year higher."""
+def subscriber_raw(
+    spark: SparkSession, sf_dir: str, corrected: bool = False, missing_ids: bool = False
+) -> DataFrame:
+    """The raw records. With `corrected`, a second delivery states a known age one year higher;
+    with `missing_ids`, every tenth customer has no id."""
     spend = (
         table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast(MONEY)).alias("total"))
@@ -52,4 +55,6 @@ def subscriber_raw(spark: SparkSession, sf_dir: str, corrected: bool = False) ->
     delivered = rows.withColumn("_delivery", F.explode(F.sequence(F.lit(1), deliveries)))
     if corrected:
         delivered = delivered.withColumn("Age", F.col("Age") + F.col("_delivery") - 1)
+    if missing_ids:
+        delivered = delivered.withColumn("CustomerID", F.when(F.col("CustomerID") % 10 != 0, F.col("CustomerID")))
     return delivered.select(*RAW.names)

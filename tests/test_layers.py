@@ -14,11 +14,13 @@ from stratalake.operators.checks import ConstraintViolation
 from stratalake.plans import gold as G
 from stratalake.plans.bronze import build_bronze
 from stratalake.plans.report import churn_rate_report, churn_rate_report_sql
-from stratalake.plans.run import load_bronze, load_gold, load_silver, run_layers
+from stratalake.plans.run import (
+    load_bronze, load_gold, load_silver, run_layers, validate_gold,
+)
 from stratalake.plans.silver import build_silver
 from stratalake.sources.layers import LayerStore
-from stratalake.sources.staging import Staging
-from stratalake.streaming.refresh import refresh_silver
+from stratalake.sources.staging import Staging, clear_staged, staged_results
+from stratalake.streaming.refresh import SchemaDrift, refresh_silver
 from stratalake.workload.subscribers import subscriber_raw
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -204,7 +206,7 @@ def test_label_dimensions_beyond_the_bound_are_shuffled(spark, store, monkeypatc
     with Staging(spark) as staging:
         gold, silver = store.gold(), store.read("silver", "subscribers")
         usual = G.build_fact(silver, gold, CTX, staging).drop("fact_sk").collect()
-        monkeypatch.setattr(G, "fits_broadcast", lambda df: False)
+        monkeypatch.setattr(G, "all_fit_broadcast", lambda tables: [False] * len(tables))
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         try:
             assert "BroadcastHashJoin" not in plan_of(G.fact_rows(silver, gold, CTX, staging))
@@ -261,9 +263,9 @@ def test_metrics_and_cleanup(spark, store, tmp_path):
         spark, subscriber_raw(spark, SF_DIR), LayerStore(spark, str(tmp_path / "lake")), CTX
     )
     assert [tuple(r) for r in metrics.collect()] == [
-        ("bronze", "subscribers", 150, 14), ("silver", "subscribers", 150, None),
-        ("gold", "dim_customer", 150, None), ("gold", "dim_service", 9, None),
-        ("gold", "dim_contract", 4, None), ("gold", "fact_customer_churn", 150, None),
+        ("bronze", "subscribers", 150, 14, None, None), ("silver", "subscribers", 150, None, None, None),
+        ("gold", "dim_customer", 150, None, None, None), ("gold", "dim_service", 9, None, None, None),
+        ("gold", "dim_contract", 4, None, None, None), ("gold", "fact_customer_churn", 150, None, 0, 0),
     ]
     assert set(os.listdir(shared)) == before
 
@@ -279,6 +281,66 @@ def test_empty_source_fails_validation_and_is_taken_back(spark, tmp_path):
     assert store.gold()["fact_customer_churn"].count() == 1
 
 
+def test_no_reader_sees_a_version_before_it_is_checked(spark, tmp_path, monkeypatch):
+    """Gold is read while a failing run is at its checks, by stages and whole."""
+    import stratalake.plans.run as R
+
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    run_layers(spark, raw_rows(spark, {}), store, CTX)
+    seen, checks = [], R.gold_not_empty
+
+    def watched(gold):
+        seen.append((store.newest_shared("gold", S.GOLD_TABLES), store.gold()["fact_customer_churn"].count()))
+        return checks(gold)
+
+    monkeypatch.setattr(R, "gold_not_empty", watched)
+    for hours, whole in ((1, True), (2, False)):
+        later = replace(CTX, run_ts=CTX.run_ts + timedelta(hours=hours))
+        empty = raw_rows(spark, {}).limit(0)
+        with pytest.raises(ConstraintViolation):
+            if whole:
+                run_layers(spark, empty, store, later)
+            else:
+                load_bronze(empty, store, later)
+                load_silver(store, later)
+                load_gold(store, later)
+    assert seen == [(CTX.version, 1)] * 2
+    assert store.versions("gold", "fact_customer_churn") == [CTX.version]
+
+
+def test_validation_hides_a_version_that_fails(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    run_layers(spark, raw_rows(spark, {}), store, CTX)
+    assert all(r["violations"] == 0 for r in validate_gold(store))
+    later = replace(CTX, run_ts=CTX.run_ts + timedelta(hours=1))
+    run_layers(spark, raw_rows(spark, {}), store, later)
+    broken = store.read("gold", "fact_customer_churn", CTX.version).withColumn("service_sk", F.lit(99))
+    store.write(broken, "gold", "fact_customer_churn", later.version)
+    with pytest.raises(ConstraintViolation, match="foreign_key"):
+        validate_gold(store)
+    assert store.newest_shared("gold", S.GOLD_TABLES) == CTX.version
+
+
+def test_bronze_and_silver_checks_are_logged(spark, tmp_path, caplog):
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    run_layers(spark, raw_rows(spark, {"Gender": "x" * 30}, {"Age": 3}), store, CTX)
+    assert "bronze: domain(gender text(20)) has 1 violations" in caplog.text
+    assert "silver: unique(customer_id_anonymized) has 1 violations" in caplog.text
+
+
+@pytest.mark.parametrize("options, facts, lost, added", [
+    ({}, 4, 0, 0), ({"impute_exclude": ("CustomerID",)}, 4, 0, 0),
+    ({"on_conflict": "fanout"}, 16, 0, 12), ({"on_conflict": "pick"}, 4, 0, 0),
+    ({"on_conflict": "fanout", "impute_exclude": ("CustomerID",)}, 1, 3, 0),
+])
+def test_facts_of_records_without_ids(spark, tmp_path, options, facts, lost, added):
+    """Three records without an id, of which the median makes the customer of the fourth."""
+    raw = raw_rows(spark, {}, *({"CustomerID": None, "Age": age} for age in (20, 30, 31)))
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    fact = run_layers(spark, raw, store, replace(CTX, **options)).collect()[-1]
+    assert (fact["row_count"], fact["facts_lost"], fact["facts_added"]) == (facts, lost, added)
+
+
 def test_failed_run_leaves_the_last_gold(spark, tmp_path):
     store = LayerStore(spark, str(tmp_path / "lake"))
     run_layers(spark, subscriber_raw(spark, SF_DIR), store, CTX)
@@ -347,3 +409,43 @@ def test_streamed_silver_picks_up_new_files_once(spark, tmp_path):
     streamed = refresh()
     batch = build_silver(spark.read.schema(S.BRONZE).parquet(paths[0]), CTX)
     assert sorted(streamed.collect()) == sorted(batch.collect())
+
+
+def test_streamed_refresh_refuses_other_columns(spark, tmp_path):
+    paths = [str(tmp_path / name) for name in ("bronze", "silver", "checkpoint")]
+    bronze = build_bronze(raw_rows(spark, {}), CTX)
+    bronze.write.parquet(f"{paths[0]}/a")
+    refresh_silver(spark, f"{paths[0]}/a", *paths[1:], CTX)
+    for other in (bronze.withColumnRenamed("age", "seniorcitizen"), bronze.drop("churn"), bronze.withColumn("more", F.lit(1))):
+        folder = str(tmp_path / f"other{len(other.columns)}{other.columns[1]}")
+        bronze.write.parquet(f"{folder}/a")
+        other.write.parquet(f"{folder}/b")
+        with pytest.raises(SchemaDrift):
+            refresh_silver(spark, folder, *paths[1:], CTX)
+    with pytest.raises(SchemaDrift):
+        refresh_silver(spark, f"{paths[0]}/a", *paths[1:], CTX, schema=S.SILVER)
+    assert spark.read.schema(S.SILVER).parquet(paths[1]).count() == 1
+
+
+def test_staged_tables_are_cleared(spark):
+    import os
+
+    from stratalake.workload.queries import QUERIES
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    clear_staged()
+    with staged_results():
+        assert QUERIES["dense_key_distinct"](spark, SF_DIR).count() > 0
+        assert any(name.startswith("staged-") for name in os.listdir(shared))
+    assert not any(name.startswith("staged-") for name in os.listdir(shared))
+
+
+def test_the_fact_takes_few_jobs(spark, store):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("fact-jobs", "fact")
+    try:
+        with Staging(spark) as staging:
+            G.build_fact(store.read("silver", "subscribers", row_id="_r"), store.gold(), CTX, staging, row_id="_r").collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("fact-jobs")) <= 30

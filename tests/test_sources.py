@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake import schemas as S
 from stratalake.sources import jdbc
@@ -68,6 +69,40 @@ def test_csv_inferred_types(spark, tmp_path):
     }
 
 
+def test_csv_rows_of_other_lengths(spark, tmp_path):
+    path = write(
+        tmp_path / "in", "a.csv", "1,Male,a,b,Yes", '2,"x,""y""",c,No', "3,short", '4,"p,q",r,s,"t,u"',
+        header="CustomerID,Gender,Note,Churn",
+    )
+    with pytest.raises(PySparkException, match="more than 4 fields: (1|4)"):
+        read_csv_raw(spark, path).select("Note").collect()
+    df = read_csv_raw(spark, path, on_bad="null")
+    assert sorted(map(tuple, df.collect())) == [
+        (1, "Male", "a", "b", "1,Male,a,b,Yes"), (2, 'x,"y"', "c", "No", None),
+        (3, "short", None, None, None), (4, "p,q", "r", "s", '4,"p,q",r,s,"t,u"'),
+    ]
+    assert df.select("Gender").count() == 4
+    short = write(tmp_path / "short", "a.csv", "3,short", header="CustomerID,Gender,Note")
+    assert [tuple(r) for r in read_csv_raw(spark, short).collect()] == [(3, "short", None)]
+
+
+def test_csv_digits_are_never_rounded(spark, tmp_path):
+    path = write(
+        tmp_path / "in", "a.csv", "1.000000000004,0.00000000001,5.00,1.2300", "2,1,5e2,-.50", header="a,b,c,d"
+    )
+    df = read_csv_raw(spark, path, types="infer")
+    assert [f.dataType.simpleString() for f in df.schema] == ["double", "double", "int", "decimal(18,2)"]
+    assert sorted(map(tuple, df.collect())) == [
+        (1.000000000004, 1e-11, 5, Decimal("1.23")), (2.0, 1.0, 500, Decimal("-0.50")),
+    ]
+    for types, text in (({"a": T.IntegerType()}, "5.00000000001"), ({"a": T.DecimalType(10, 2)}, "5.001")):
+        path = write(tmp_path / text, "a.csv", text, "7", header="a")
+        with pytest.raises(PySparkException, match=f"a: not .*: {text}"):
+            read_csv_raw(spark, path, types=types).collect()
+        kept = read_csv_raw(spark, path, types=types, on_bad="null").select("a").collect()
+        assert [r["a"] is None for r in kept].count(True) == 1
+
+
 def test_csv_several_files(spark, tmp_path):
     row = "1,30,x,5,10.10,a,b,50.5,c,d"
     write(tmp_path / "in", "a.csv", row)
