@@ -11,7 +11,6 @@ again.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.context import RunContext
@@ -31,20 +30,17 @@ def _columns(schema: T.StructType) -> dict[str, str]:
 def bronze_schema(spark: SparkSession, bronze_path: str) -> T.StructType:
     """The columns of the written bronze, which all its files must share.
 
-    Footers are read by Spark: all of them for columns that only some files have, and the first
-    file's of every folder for columns that a folder lacks.
+    One footer is read for every file in the folder: move files away that were refreshed long ago.
     """
-    every = spark.read.option("mergeSchema", True).parquet(bronze_path)
-    schema = every.schema
-    # One row per folder of files.
-    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-    firsts = every.groupBy(folder.alias("folder")).agg(F.min("_metadata.file_path").alias("file"))
-    for row in firsts.toLocalIterator():
-        own = spark.read.parquet(row["file"]).schema
+    files = spark.read.parquet(bronze_path).select("_metadata.file_path").distinct().orderBy("file_path")
+    schema = None
+    for row in files.toLocalIterator():
+        own = spark.read.parquet(row["file_path"]).schema
+        schema = schema or own
         if _columns(own) != _columns(schema):
             differing = set(_columns(own).items()) ^ set(_columns(schema).items())
-            raise SchemaDrift(f"{row['file']}: differs in {sorted(differing)}")
-    return schema
+            raise SchemaDrift(f"{row['file_path']}: differs in {sorted(differing)}")
+    return schema or spark.read.parquet(bronze_path).schema
 
 
 def silver_stream(

@@ -414,16 +414,18 @@ def test_streamed_silver_picks_up_new_files_once(spark, tmp_path):
 def test_streamed_refresh_refuses_other_columns(spark, tmp_path):
     paths = [str(tmp_path / name) for name in ("bronze", "silver", "checkpoint")]
     bronze = build_bronze(raw_rows(spark, {}), CTX)
-    bronze.write.parquet(f"{paths[0]}/a")
-    refresh_silver(spark, f"{paths[0]}/a", *paths[1:], CTX)
-    for other in (bronze.withColumnRenamed("age", "seniorcitizen"), bronze.drop("churn"), bronze.withColumn("more", F.lit(1))):
-        folder = str(tmp_path / f"other{len(other.columns)}{other.columns[1]}")
-        bronze.write.parquet(f"{folder}/a")
-        other.write.parquet(f"{folder}/b")
+    bronze.write.parquet(paths[0])
+    refresh_silver(spark, *paths, CTX)
+    for n, other in enumerate((
+        bronze.withColumnRenamed("age", "seniorcitizen"), bronze.drop("churn"), bronze.withColumn("more", F.lit(1)),
+    )):
+        folder = str(tmp_path / f"other{n}")
+        bronze.write.parquet(folder)
+        other.write.mode("append").parquet(folder)
         with pytest.raises(SchemaDrift):
             refresh_silver(spark, folder, *paths[1:], CTX)
     with pytest.raises(SchemaDrift):
-        refresh_silver(spark, f"{paths[0]}/a", *paths[1:], CTX, schema=S.SILVER)
+        refresh_silver(spark, *paths, CTX, schema=S.SILVER)
     assert spark.read.schema(S.SILVER).parquet(paths[1]).count() == 1
 
 
