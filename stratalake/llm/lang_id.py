@@ -94,6 +94,8 @@ def _grams(chunk: Chunk, params: LangIdParams) -> tuple[np.ndarray, np.ndarray]:
 
 
 _PART = 1 << 12
+# Bytes of text at once: every one becomes an entry of each order and language.
+_CHUNK = 1 << 18
 
 
 def train(docs: DataFrame, text: str, lang: str, params: LangIdParams = LangIdParams()) -> LangIdModel:
@@ -110,7 +112,7 @@ def train(docs: DataFrame, text: str, lang: str, params: LangIdParams = LangIdPa
         n_docs: dict[str, int] = {}
         for batch in batches:
             names = batch.column("lang").to_pylist()
-            for chunk in chunks(batch.column("text")):
+            for chunk in chunks(batch.column("text"), _CHUNK):
                 here = names[chunk.first_row : chunk.first_row + chunk.rows]
                 own = sorted(set(here))
                 place = {name: i for i, name in enumerate(own)}
@@ -196,7 +198,7 @@ def identify(
         labels = np.array([*own.languages, UNDETERMINED], dtype=object)
         for batch in batches:
             best, scores = np.full(batch.num_rows, -1), np.zeros(batch.num_rows)
-            for chunk in chunks(batch.column(text)):
+            for chunk in chunks(batch.column(text), _CHUNK):
                 to = chunk.first_row + chunk.rows
                 best[chunk.first_row : to], scores[chunk.first_row : to] = _score_chunk(chunk, own)
             yield pa.RecordBatch.from_arrays(

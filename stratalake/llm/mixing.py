@@ -6,8 +6,9 @@ paired and words are moved between them at random, with the sum kept and each ex
 unchanged, until one copy is whole; the other is paired with the next. Documents are dealt into
 groups of bounded size, each group leaves one residual, and residuals meet in a tree: a share of
 the documents waits for every level, so that residuals always meet many fresh documents. Within a
-group long documents come first; the residual thus shrinks to the size of a short document, and
-only that last one is rounded alone, to the nearer side.
+group long documents come first, so that the residual shrinks. Only the last one of a source is
+rounded alone, to the nearer side; what that leaves over or short is evened out by giving or taking
+back single copies of the documents that fit best.
 
 Defined cases: a null or empty text has size 0 and is taken 0 times; null is a source of its own,
 last in order; a source without words has target 0. Repeated rows are separate units. Null ids are
@@ -98,10 +99,28 @@ def _settle(size: np.ndarray, p: np.ndarray, rng: np.random.Generator, last: boo
         if i_whole:
             i = j
     if last and len(p):
+        goal = float((p * size).sum())
         p[i] = np.floor(p[i] + 0.5)
+        _even_out(size, p, goal)
     return p
 
 
+def _even_out(size: np.ndarray, p: np.ndarray, goal: float) -> None:
+    """Give and take back whole copies, each time of the document that comes nearest to what is
+    missing or too much, as long as that helps. No document is touched twice."""
+    free = np.ones(len(p), dtype=bool)
+    while True:
+        over = float((p * size).sum()) - goal
+        usable = np.flatnonzero(free & (p == (1.0 if over > 0 else 0.0)))
+        if not len(usable):
+            return
+        best = usable[np.abs(size[usable] - abs(over)).argmin()]
+        if abs(abs(over) - size[best]) >= abs(over):
+            return
+        p[best] = 1.0 - p[best]
+        free[best] = False
+
+
 _EDGE = 1e-9
 
 

@@ -130,7 +130,7 @@ def frequent_bitmap(docs: DataFrame, params: NgramJoinParams) -> np.ndarray:
     range_bits = ranges.bit_length() - 1
     shift = np.uint64(64 - range_bits - _CELL_BITS)
     cells_schema = "part int, cells binary, counts binary"
-    flush = 1 << 22
+    flush = 1 << 21
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()

@@ -50,7 +50,7 @@ class PackingParams:
     # Pieces that one task packs together, on average.
     group_size: int = 16_384
     # Distinct units remembered by one worker, about 40 bytes each; beyond it the memory starts anew.
-    cached_units: int = 1_500_000
+    cached_units: int = 500_000
 
 
 # Classes of bytes: plain letters with the lead byte of U+00C0 to U+00FF, and ASCII punctuation.

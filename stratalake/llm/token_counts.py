@@ -40,7 +40,7 @@ def default_model() -> str:
 @dataclass(frozen=True)
 class TokenCountParams:
     # Distinct segments remembered by one worker; beyond it the memory starts anew.
-    cached_segments: int = 1_500_000
+    cached_segments: int = 1_000_000
 
 
 def read_pieces(path: str) -> list[tuple[str, float]]:

@@ -38,8 +38,12 @@ def _corpus(n, seed=1, sources=("a", "b", "c", "d", None)):
     return rows
 
 
-@pytest.mark.parametrize("params", [MixParams(), MixParams(group_size=32, fan_in=4)])
-def test_targets_and_copies(spark, docs, params):
+@pytest.mark.parametrize("params, near", [
+    (MixParams(), 0.002),
+    # The last group has few documents to even out with.
+    (MixParams(group_size=32, fan_in=4), 0.1),
+])
+def test_targets_and_copies(spark, docs, params, near):
     rows = _corpus(700)
     size, target = _targets(rows)
     got = mix(docs(rows), params).collect()
@@ -54,7 +58,7 @@ def test_targets_and_copies(spark, docs, params):
         assert r["taken"] == r["copies"] * r["size"] <= 2 * r["size"]
         taken[r["source"]] += r["taken"]
     for source in size:
-        assert taken[source] == pytest.approx(target[source], rel=0.03, abs=25)
+        assert taken[source] == pytest.approx(target[source], rel=near, abs=6)
 
 
 def test_reruns_agree_whatever_the_partitions(spark, docs):
