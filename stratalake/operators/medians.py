@@ -202,9 +202,12 @@ _ANY = "decimal(38,0)"
 
 def _wide_units(name: str, scale: int) -> Column:
     """Count of smallest units; whole part and fraction apart, as their product has 38 digits."""
-    whole = F.floor(name)
-    fraction = ((F.col(name) - whole) * F.lit(Decimal(10) ** scale)).cast(_ANY)
-    return (whole.cast(_ANY) * F.lit(Decimal(10) ** scale).cast(_ANY)).cast(_ANY) + fraction
+    # A remainder is exact; floor() would round to 34 digits.
+    if not scale:
+        return F.col(name).cast(_ANY)
+    rest = F.col(name) % F.lit(Decimal(1))
+    ten = F.lit(Decimal(10) ** scale)
+    return ((F.col(name) - rest).cast(_ANY) * ten.cast(_ANY)).cast(_ANY) + (rest * ten).cast(_ANY)
 
 
 def _wide_floor(units: Column, width: int) -> Column:
@@ -273,25 +276,27 @@ def _double(rank: Column) -> Column:
 
 
 def _midpoint_in_type(dtype: T.DataType) -> Column:
-    """Half up, in units, without a sum that could overflow."""
+    """Half up, in units. Fails for middle values of 37 digits or more, rather than round them."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return _exact_midpoint(dtype).cast(dtype)
-    two = F.lit(Decimal(2)).cast("decimal(1,0)")
-    odd = [F.pmod(F.col(c), two) for c in ("lower", "upper")]
-    low, high = (((F.col(c) - o) / two).cast(_ANY) for c, o in zip(("lower", "upper"), odd))
-    whole, left = (low + high).cast(_ANY), odd[0] + odd[1]
-    up = F.when((left == 2) | (left == 1) & (whole >= 0), 1).otherwise(0)
-    units = (whole + up).cast(_ANY)
-    if not _scale(dtype):
+    apart = (F.col("upper") - F.col("lower")).cast(_ANY)
+    odd = apart % F.lit(Decimal(2))
+    low = (F.col("lower") + ((apart - odd) * F.lit(Decimal("0.5"))).cast(_ANY)).cast(_ANY)
+    up = F.when((odd == 1) & (low >= 0), 1).otherwise(0)
+    units = (low + up).cast(_ANY)
+    scale = _scale(dtype)
+    if not scale:
         return units.cast(dtype)
     if not _is_wide(dtype):
-        return (units.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-_scale(dtype)))).cast(dtype)
-    ten = F.lit(Decimal(10) ** _scale(dtype)).cast(_ANY)
-    fraction = F.pmod(units, ten).cast(_ANY)
-    whole_part = ((units - fraction) / ten).cast(T.DecimalType(38 - _scale(dtype), 0))
-    return (
-        whole_part.cast(dtype)
-        + (fraction.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-_scale(dtype)))).cast(dtype)
+        return (units.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(dtype)
+    if scale <= 6:
+        return (units * F.lit(Decimal(1).scaleb(-scale))).cast(dtype)
+    ten = F.lit(Decimal(10) ** scale).cast(_ANY)
+    rest = (units % ten).cast(_ANY)
+    whole = ((units - rest) / ten).cast(T.DecimalType(38 - scale, 0)).cast(dtype)
+    return F.concat(
+        F.when((units < 0) & (whole == 0), "-").otherwise(""), whole.cast(T.DecimalType(38 - scale, 0)).cast("string"),
+        F.lit("."), F.lpad(F.abs(rest).cast("string"), scale, "0"),
     ).cast(dtype)
 
 
