@@ -8,12 +8,14 @@ segment of a line of the same length or up to tau shorter, with the positions cu
 Lines that share a key must agree in their counts of letters, up to two per edit, to be a candidate
 pair; candidates are verified by edit distance in a band of 2 * tau + 1 diagonals, one bit each.
 
-Of equal lines the first by (doc_id, line number) stays. A line is dropped, too, if a line alike
-has its first occurrence earlier. Shorter lines always stay.
-
-Defined cases: a null or empty text has no line that could be dropped. Rows that share a doc_id are
-one document: they keep lines with the same numbers. A null doc_id comes after all others. An empty
-table gives no rows. Lines of equal 64-bit hash and length are equal. Other columns pass unchanged.
+Of equal lines the first by (doc_id, hash of the text, line number) stays. A line is dropped, too, if
+a line alike has its first occurrence earlier. Shorter lines always stay.
+
+Defined cases: a null or empty text has no line that could be dropped. Rows that share a doc_id but
+not the text are different documents. Rows that share both are one document, and each of them keeps
+its lines, unless the id is null: then every row is a document of its own. Null ids come after all
+others. An empty table gives no rows. Lines of equal 64-bit hash and length are equal, and so are
+texts of one id with 61 equal bits of hash. Other columns pass unchanged.
 """
 
 from __future__ import annotations
@@ -35,35 +37,51 @@ class LineDedupParams:
     filter_bits: int = 23
 
 
-# Occurrences as one number: the id moved above zero, then ten digits of the line number.
-_LINE_DIGITS = 10
+# A document as one number: the id moved above zero, then bits of the hash of its text.
+_HASH_BITS = 61
 
 
 def _whole(value: int) -> Column:
     return F.lit(Decimal(value)).cast("decimal(20,0)")
 
 
-def _occurrence(doc_id: Column, line_no: Column) -> Column:
+def _document(doc_id: Column, text: Column) -> Column:
     place = F.coalesce(doc_id.cast("decimal(20,0)") + _whole(1 << 63), _whole(1 << 64))
-    return (place * F.lit(Decimal(10**_LINE_DIGITS)).cast("decimal(11,0)") + line_no).cast("decimal(34,0)")
+    return (place * _whole(1 << _HASH_BITS) + F.shiftrightunsigned(F.xxhash64(text), 64 - _HASH_BITS)).cast("decimal(38,0)")
+
+
+def _line_hash(line: Column) -> Column:
+    return F.xxhash64(line, F.char_length(line))
+
 
+def _split(text: Column) -> Column:
+    return F.split(text, "\n", -1)
 
-def _doc_of(occurrence: Column) -> Column:
-    digits = occurrence.cast("string")
-    place = F.substring(digits, F.lit(1), F.length(digits) - _LINE_DIGITS).cast("decimal(20,0)")
-    return F.when(place < _whole(1 << 64), (place - _whole(1 << 63)).cast("long"))
 
+def own_rows(docs: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame]:
+    """`docs` with _document and, where the id is null, a number _row; and (_document, _first_row).
 
-def _line_of(occurrence: Column) -> Column:
-    return F.substring(occurrence.cast("string"), -_LINE_DIGITS, _LINE_DIGITS).cast("int")
+    Rows without an id may have equal texts: the first of them is the one with the least hash of
+    its other columns. Rows alike in all columns are told apart by where they were staged.
+    """
+    numbered = docs.withColumn("_document", _document(F.col("doc_id"), F.col("text")))
+    known = numbered.where(F.col("doc_id").isNotNull()).withColumn("_row", F.lit(None).cast("long"))
+    unknown = staging.table(
+        numbered.where(F.col("doc_id").isNull()).withColumn("_row", F.monotonically_increasing_id())
+    )
+    hashed = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    first = staging.table(
+        unknown.groupBy("_document").agg(F.min_by("_row", F.xxhash64(*hashed)).alias("_first_row"))
+    )
+    return known.unionByName(unknown), first
 
 
-def long_lines(docs: DataFrame, params: LineDedupParams) -> DataFrame:
-    """(doc_id, line_no, line, chars, line_hash) of every line that is long enough."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+def long_lines(rows: DataFrame, params: LineDedupParams) -> DataFrame:
+    """(_document, line_no, line, chars, line_hash) of every line that is long enough."""
+    lines = rows.select("_document", F.posexplode(_split(F.col("text"))).alias("line_no", "line"))
     return lines.withColumn("chars", F.char_length("line")).where(
         F.col("chars") >= params.min_chars
-    ).withColumn("line_hash", F.xxhash64("line", "chars"))
+    ).withColumn("line_hash", _line_hash(F.col("line")))
 
 
 def segment_keys(line: Column, chars: Column, tau: int) -> tuple[list[Column], list[Column]]:
@@ -188,7 +206,7 @@ def _crowded_keys(classes: DataFrame, own: list[str], probes: list[str]) -> Data
 
 
 def _with_texts(lines: DataFrame, wanted: DataFrame, params: LineDedupParams) -> DataFrame:
-    """(line_hash, line) of the wanted lines, one row each.
+    """(line_hash, line, first) of the wanted lines, one row each; first is (document, line number).
 
     The filter has a row for each 64 places at most: its size is fixed, whatever the corpus.
     """
@@ -199,24 +217,26 @@ def _with_texts(lines: DataFrame, wanted: DataFrame, params: LineDedupParams) ->
         .agg(F.bit_or(bit).alias("_mask"))
     )
     thinned = (
-        lines.select("line_hash", "line", place.alias("_place"))
+        lines.select("line_hash", "line", "_document", "line_no", place.alias("_place"))
         .withColumn("_word_of", F.shiftright("_place", 6))
         .join(F.broadcast(marks), F.col("_word") == F.col("_word_of"))
         .where(F.col("_mask").bitwiseAND(bit) != 0)
     )
     # An inner join: a semi join would be pushed below the filter and shuffle every line.
-    return thinned.join(wanted, "line_hash").groupBy("line_hash").agg(F.min("line").alias("line"))
+    return thinned.join(wanted, "line_hash").groupBy("line_hash").agg(
+        F.min("line").alias("line"), F.min(F.struct("_document", "line_no")).alias("first")
+    )
 
 
-def line_classes(docs: DataFrame, params: LineDedupParams, staging: Staging) -> DataFrame:
-    """Different long lines: line_hash, chars, first (occurrence), keep."""
-    lines = long_lines(docs, params)
+def line_classes(rows: DataFrame, params: LineDedupParams, staging: Staging) -> DataFrame:
+    """Different long lines: line_hash, chars, first (document that holds it), keep."""
+    lines = long_lines(rows, params)
     own, probes = segment_keys(F.col("line"), F.col("chars"), params.distance)
     names = [f"_k{i}" for i in range(len(own) + len(probes))]
     # Equal lines have equal keys: any aggregate that fits a hash table will do.
     classes = staging.table(
         lines.select(
-            "line_hash", "chars", _occurrence(F.col("doc_id"), F.col("line_no")).alias("first"),
+            "line_hash", "chars", F.col("_document").alias("first"),
             *(k.alias(n) for k, n in zip([*own, *probes], names)),
         ).groupBy("line_hash", "chars").agg(F.min("first").alias("first"), *(F.min(n).alias(n) for n in names))
     )
@@ -224,8 +244,7 @@ def line_classes(docs: DataFrame, params: LineDedupParams, staging: Staging) ->
     crowded = staging.table(_crowded_keys(classes, names[: len(own)], names[len(own) :]))
     wanted = crowded.select("line_hash").distinct()
     texts = staging.table(
-        _with_texts(lines, wanted, params).join(classes.select("line_hash", "first"), "line_hash")
-        .withColumn("letters", letter_counts(F.col("line")))
+        _with_texts(lines, wanted, params).withColumn("letters", letter_counts(F.col("line")))
     )
     # Only lines that share a key get this far: usually few.
     met = staging.table(crowded.join(texts.select("line_hash", "letters"), "line_hash"))
@@ -254,25 +273,43 @@ def line_classes(docs: DataFrame, params: LineDedupParams, staging: Staging) ->
     ).withColumn("keep", F.col("_later").isNull()).drop("_later")
 
 
-def kept_lines(docs: DataFrame, params: LineDedupParams, staging: Staging) -> DataFrame:
-    """(doc_id, kept): the numbers of the long lines that stay."""
-    kept = line_classes(docs, params, staging).where("keep")
-    return staging.table(
-        kept.select(_doc_of(F.col("first")).alias("_kept_id"), _line_of(F.col("first")).alias("line_no"))
-        .groupBy("_kept_id").agg(F.sort_array(F.collect_list("line_no")).alias("_kept"))
+def kept_lines(rows: DataFrame, first: DataFrame, params: LineDedupParams, staging: Staging) -> DataFrame:
+    """(_document, _kept, _first_row): the hashes of the long lines that stay in a document."""
+    kept = line_classes(rows, params, staging).where("keep").groupBy(F.col("first").alias("_document")).agg(
+        F.collect_list("line_hash").alias("_kept")
+    )
+    return staging.table(kept.join(first, "_document", "left"))
+
+
+def _hashes(params: LineDedupParams) -> Column:
+    """Of the lines of a text in order, null for a short one."""
+    return F.transform(
+        _split(F.col("text")), lambda line: F.when(F.char_length(line) >= params.min_chars, _line_hash(line))
+    )
+
+
+def _with_kept(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """Of rows without an id that have equal texts only the first keeps lines."""
+    none = F.array().cast("array<bigint>")
+    again = F.coalesce(F.col("_row") != F.col("_first_row"), F.lit(False))
+    return rows.join(kept, "_document", "left").withColumn(
+        "_kept", F.when(again, none).otherwise(F.coalesce("_kept", none))
     )
 
 
-def _stays(params: LineDedupParams, chars: Column, number: Column) -> Column:
-    return (chars < params.min_chars) | F.array_contains(F.coalesce("_kept", F.array().cast("array<int>")), number)
+def _stays(hashes: Column, number: Column) -> Column:
+    """A short line stays, and a kept one where it stands first in its document."""
+    own = F.get(hashes, number)
+    return own.isNull() | (F.array_contains("_kept", own) & (F.array_position(hashes, own) == number + 1))
 
 
 def dedup_lines(docs: DataFrame, params: LineDedupParams = LineDedupParams()) -> DataFrame:
     """`docs` with the lines that stay; documents that lose all their words go."""
-    kept = kept_lines(docs, params, Staging(docs.sparkSession))
-    lines = F.split("text", "\n", -1)
-    left = F.filter(lines, lambda line, i: _stays(params, F.char_length(line), i))
-    joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left")
+    staging = Staging(docs.sparkSession)
+    rows, first = own_rows(docs, staging)
+    lines = _split(F.col("text"))
+    left = _let(_hashes(params), lambda hashes: F.filter(lines, lambda line, i: _stays(hashes, i)))
+    joined = _with_kept(rows, kept_lines(rows, first, params, staging))
     cut = joined.withColumn("_left", left).withColumn("_lost", F.size(lines) - F.size("_left"))
     text = F.when(F.col("_lost") > 0, F.array_join("_left", "\n")).otherwise(F.col("text"))
     emptied = (F.col("_lost") > 0) & ~F.coalesce(F.rlike(F.col("_text"), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
@@ -283,12 +320,12 @@ def dedup_lines(docs: DataFrame, params: LineDedupParams = LineDedupParams()) ->
 
 def dedup_report(docs: DataFrame, params: LineDedupParams = LineDedupParams()) -> DataFrame:
     """doc_id, n_lines, n_dropped and the numbers of the dropped lines, per document."""
-    kept = kept_lines(docs, params, Staging(docs.sparkSession))
-    sizes = F.transform(F.split("text", "\n", -1), F.char_length)
-    rows = docs.select("doc_id", F.coalesce(sizes, F.array().cast("array<int>")).alias("_sizes"))
-    joined = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left")
-    numbered = F.transform("_sizes", lambda n, i: F.when(~_stays(params, n, i), i))
-    return joined.withColumn("dropped_lines", F.array_compact(numbered)).select(
-        "doc_id", F.size("_sizes").cast("long").alias("n_lines"),
+    staging = Staging(docs.sparkSession)
+    rows, first = own_rows(docs.select("doc_id", "text"), staging)
+    kept = kept_lines(rows, first, params, staging)
+    hashed = rows.withColumn("_hashes", F.coalesce(_hashes(params), F.array().cast("array<bigint>")))
+    numbered = F.transform("_hashes", lambda own, i: F.when(~_stays(F.col("_hashes"), i), i))
+    return _with_kept(hashed.drop("text"), kept).withColumn("dropped_lines", F.array_compact(numbered)).select(
+        "doc_id", F.size("_hashes").cast("long").alias("n_lines"),
         F.size("dropped_lines").cast("long").alias("n_dropped"), "dropped_lines",
     )

@@ -111,6 +111,22 @@ def test_texts_without_the_dropped_lines(spark, docs):
     assert dedup_lines(table).columns == table.columns
 
 
+def test_rows_without_an_id_are_documents_of_their_own(spark, docs):
+    rng = random.Random(9)
+    base = ["".join(rng.choice("abcdefgh ij") for _ in range(40)) for _ in range(40)]
+    rows = [(i if i % 3 else None, "\n".join(rng.choice(base) for _ in range(5))) for i in range(60)]
+    rows += [(None, rows[0][1])] * 3 + [(2, base[0]), (2, f"{base[1]}\n{base[0]}")]
+    lines = Counter(x for _, text in rows for x in text.split("\n"))
+    left = Counter(x for r in dedup_lines(docs(rows)).collect() for x in r["text"].split("\n"))
+    assert left == Counter(list(lines))
+    report = dedup_report(docs(rows)).collect()
+    assert Counter(r["doc_id"] for r in report) == Counter(i for i, _ in rows)
+    assert sum(r["n_dropped"] for r in report) == sum(lines.values()) - len(lines)
+    only = [(None, "\n".join(base[:3]))] * 5
+    assert sorted(r["n_dropped"] for r in dedup_report(docs(only)).collect()) == [0, 3, 3, 3, 3]
+    assert [r["text"] for r in dedup_lines(docs(only)).collect()] == [only[0][1]]
+
+
 def test_repeats_long_texts_and_empty_table(spark, docs):
     line = "a line that is long enough to be compared"
     many = "\n".join(f"{k:07d} another line of a very long text {k:07d}" for k in range(0, 3_000_000, 1000))
