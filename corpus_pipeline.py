@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.llm.lang_id import UNDETERMINED, fold, identify, train
-from stratalake.llm.line_dedup import dedup_lines
+from stratalake.llm.line_dedup import LineDedupParams, dedup_lines
 from stratalake.llm.mixing import take_mix
 from stratalake.llm.ngram_join import keep_one_per_group
 from stratalake.llm.packing import pack_documents
@@ -27,7 +27,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that occur earlier; those that lose all their words go."""
-    return dedup_lines(docs)
+    return dedup_lines(docs, LineDedupParams(short_repeats=True))
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

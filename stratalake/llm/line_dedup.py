@@ -9,7 +9,8 @@ Lines that share a key must agree in their counts of letters, up to two per edit
 pair; candidates are verified by edit distance in a band of 2 * tau + 1 diagonals, one bit each.
 
 Of equal lines the first by (doc_id, hash of the text, line number) stays. A line is dropped, too, if
-a line alike has its first occurrence earlier. Shorter lines always stay.
+a line alike has its first occurrence earlier. Of shorter lines that hold a word only the first stays
+with `short_repeats`; without it, and without a word, they all stay.
 
 Defined cases: a null or empty text has no line that could be dropped. Rows that share a doc_id but
 not the text are different documents. Rows that share both are one document, and each of them keeps
@@ -33,10 +34,14 @@ from stratalake.sources.staging import Staging
 class LineDedupParams:
     distance: int = 2
     min_chars: int = 24
+    # Whether equal lines of fewer characters are repeats, too. They are never compared by edits.
+    short_repeats: bool = False
     # Bits of the filter that thins out lines before their texts are gathered.
     filter_bits: int = 23
 
 
+WORD = r"[^\x20\x09-\x0D]"
+
 # A document as one number: the id moved above zero, then bits of the hash of its text.
 _HASH_BITS = 61
 
@@ -76,12 +81,17 @@ def own_rows(docs: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame]:
     return known.unionByName(unknown), first
 
 
-def long_lines(rows: DataFrame, params: LineDedupParams) -> DataFrame:
-    """(_document, line_no, line, chars, line_hash) of every line that is long enough."""
+def _compared(line: Column, params: LineDedupParams) -> Column:
+    long = F.char_length(line) >= params.min_chars
+    return long | line.rlike(WORD) if params.short_repeats else long
+
+
+def compared_lines(rows: DataFrame, params: LineDedupParams) -> DataFrame:
+    """(_document, line_no, line, chars, line_hash) of every line that may be a repeat."""
     lines = rows.select("_document", F.posexplode(_split(F.col("text"))).alias("line_no", "line"))
-    return lines.withColumn("chars", F.char_length("line")).where(
-        F.col("chars") >= params.min_chars
-    ).withColumn("line_hash", _line_hash(F.col("line")))
+    return lines.where(_compared(F.col("line"), params)).withColumns(
+        {"chars": F.char_length("line"), "line_hash": _line_hash(F.col("line"))}
+    )
 
 
 def segment_keys(line: Column, chars: Column, tau: int) -> tuple[list[Column], list[Column]]:
@@ -222,29 +232,32 @@ def _with_texts(lines: DataFrame, wanted: DataFrame, params: LineDedupParams) ->
         .join(F.broadcast(marks), F.col("_word") == F.col("_word_of"))
         .where(F.col("_mask").bitwiseAND(bit) != 0)
     )
-    # An inner join: a semi join would be pushed below the filter and shuffle every line.
-    return thinned.join(wanted, "line_hash").groupBy("line_hash").agg(
+    # Combined before the join, where a common line would bring every occurrence to one task.
+    each = thinned.groupBy("line_hash").agg(
         F.min("line").alias("line"), F.min(F.struct("_document", "line_no")).alias("first")
     )
+    # An inner join: a semi join would be pushed below the filter and shuffle every line.
+    return each.join(wanted, "line_hash")
 
 
 def line_classes(rows: DataFrame, params: LineDedupParams, staging: Staging) -> DataFrame:
-    """Different long lines: line_hash, chars, first (document that holds it), keep."""
-    lines = long_lines(rows, params)
+    """Different lines: line_hash, chars, first (document that holds it), keep."""
+    lines = compared_lines(rows, params)
+    is_long = F.col("chars") >= params.min_chars
     own, probes = segment_keys(F.col("line"), F.col("chars"), params.distance)
     names = [f"_k{i}" for i in range(len(own) + len(probes))]
     # Equal lines have equal keys: any aggregate that fits a hash table will do.
     classes = staging.table(
         lines.select(
             "line_hash", "chars", F.col("_document").alias("first"),
-            *(k.alias(n) for k, n in zip([*own, *probes], names)),
+            *(F.when(is_long, k).alias(n) for k, n in zip([*own, *probes], names)),
         ).groupBy("line_hash", "chars").agg(F.min("first").alias("first"), *(F.min(n).alias(n) for n in names))
     )
 
-    crowded = staging.table(_crowded_keys(classes, names[: len(own)], names[len(own) :]))
+    crowded = staging.table(_crowded_keys(classes.where(is_long), names[: len(own)], names[len(own) :]))
     wanted = crowded.select("line_hash").distinct()
     texts = staging.table(
-        _with_texts(lines, wanted, params).withColumn("letters", letter_counts(F.col("line")))
+        _with_texts(lines.where(is_long), wanted, params).withColumn("letters", letter_counts(F.col("line")))
     )
     # Only lines that share a key get this far: usually few.
     met = staging.table(crowded.join(texts.select("line_hash", "letters"), "line_hash"))
@@ -274,7 +287,7 @@ def line_classes(rows: DataFrame, params: LineDedupParams, staging: Staging) ->
 
 
 def kept_lines(rows: DataFrame, first: DataFrame, params: LineDedupParams, staging: Staging) -> DataFrame:
-    """(_document, _kept, _first_row): the hashes of the long lines that stay in a document."""
+    """(_document, _kept, _first_row): the hashes of the compared lines that stay in a document."""
     kept = line_classes(rows, params, staging).where("keep").groupBy(F.col("first").alias("_document")).agg(
         F.collect_list("line_hash").alias("_kept")
     )
@@ -282,10 +295,8 @@ def kept_lines(rows: DataFrame, first: DataFrame, params: LineDedupParams, stagi
 
 
 def _hashes(params: LineDedupParams) -> Column:
-    """Of the lines of a text in order, null for a short one."""
-    return F.transform(
-        _split(F.col("text")), lambda line: F.when(F.char_length(line) >= params.min_chars, _line_hash(line))
-    )
+    """Of the lines of a text in order, null for one that stays in any case."""
+    return F.transform(_split(F.col("text")), lambda line: F.when(_compared(line, params), _line_hash(line)))
 
 
 def _with_kept(rows: DataFrame, kept: DataFrame) -> DataFrame:
@@ -298,7 +309,7 @@ def _with_kept(rows: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def _stays(hashes: Column, number: Column) -> Column:
-    """A short line stays, and a kept one where it stands first in its document."""
+    """A line without a hash stays, and a kept one where it stands first in its document."""
     own = F.get(hashes, number)
     return own.isNull() | (F.array_contains("_kept", own) & (F.array_position(hashes, own) == number + 1))
 
@@ -312,7 +323,7 @@ def dedup_lines(docs: DataFrame, params: LineDedupParams = LineDedupParams()) ->
     joined = _with_kept(rows, kept_lines(rows, first, params, staging))
     cut = joined.withColumn("_left", left).withColumn("_lost", F.size(lines) - F.size("_left"))
     text = F.when(F.col("_lost") > 0, F.array_join("_left", "\n")).otherwise(F.col("text"))
-    emptied = (F.col("_lost") > 0) & ~F.coalesce(F.rlike(F.col("_text"), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    emptied = (F.col("_lost") > 0) & ~F.coalesce(F.rlike(F.col("_text"), F.lit(WORD)), F.lit(False))
     return cut.withColumn("_text", text).where(F.col("text").isNull() | ~emptied).select(
         *(F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns)
     )

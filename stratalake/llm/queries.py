@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.llm.embedding_dedup import link_embeddings
 from stratalake.llm.lang_id import identify_documents
-from stratalake.llm.line_dedup import dedup_report
+from stratalake.llm.line_dedup import LineDedupParams, dedup_report
 from stratalake.llm.mixing import mix
 from stratalake.llm.ngram_join import join_documents
 from stratalake.llm.packing import pack_documents
@@ -54,7 +54,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_report(_table(spark, sf_dir, "documents"))
+    return dedup_report(_table(spark, sf_dir, "documents"), LineDedupParams(short_repeats=True))
 
 
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from conftest import WORD
 from stratalake.llm.line_dedup import LineDedupParams, banded_distance, dedup_lines, dedup_report
+from stratalake.llm.queries import QUERIES
 
 PARAMS = LineDedupParams()
 
@@ -127,6 +129,17 @@ def test_rows_without_an_id_are_documents_of_their_own(spark, docs):
     assert [r["text"] for r in dedup_lines(docs(only)).collect()] == [only[0][1]]
 
 
+def test_short_lines_repeat_in_the_queries(spark, docs, tmp_path):
+    rows = [(i, f"Home\n \nMenu\nHome\nown {i}") for i in range(5)] + [(9, "Home\nMenu"), (10, " \n"), (None, "Menu")]
+    folder = str(tmp_path / "in")
+    docs(rows).write.parquet(f"{folder}/documents.parquet")
+    got = {r["doc_id"]: r["dropped_lines"] for r in QUERIES["op8_line_dedup"](spark, folder).collect()}
+    assert got == {0: [3], **{i: [0, 2, 3] for i in range(1, 5)}, 9: [0, 1], 10: [], None: [0]}
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs(rows), folder).collect()}
+    assert left == {0: "Home\n \nMenu\nown 0", **{i: f" \nown {i}" for i in range(1, 5)}, 10: " \n"}
+    assert all(not r["n_dropped"] for r in dedup_report(docs([(1, "Home"), (2, "Home")])).collect())
+
+
 def test_repeats_long_texts_and_empty_table(spark, docs):
     line = "a line that is long enough to be compared"
     many = "\n".join(f"{k:07d} another line of a very long text {k:07d}" for k in range(0, 3_000_000, 1000))
