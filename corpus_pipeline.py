@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm.lang_id import UNDETERMINED, fold, identify, train
+from stratalake.llm.lang_id import any_language, fold, identify, train
 from stratalake.llm.line_dedup import LineDedupParams, dedup_lines
 from stratalake.llm.mixing import take_mix
 from stratalake.llm.ngram_join import keep_one_per_group
@@ -18,11 +18,12 @@ from stratalake.sources.staging import Staging
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language: those without a letter go."""
+    """Documents in some language: those without a letter go, whatever could be learned."""
     reach_workers(spark)
     model = train(docs.where(fold(docs["doc_id"]) != 0), "text", "lang")
-    named = identify(docs, model, pred="_language", score="_posterior")
-    return named.where(named["_language"] != UNDETERMINED).select(*docs.columns)
+    named = identify(docs, model if model.languages else any_language(), pred="_language", score="_posterior")
+    # Not by name: `und` may be a label of the table.
+    return named.where(named["_posterior"] > 0).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,6 +58,13 @@ def test_stages(spark, docs, tmp_path):
     assert max(used.values()) <= 2048
 
 
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_language_stage_drops_only_texts_without_a_letter(spark, docs, lang):
+    texts = {1: "the dog", 2: "é", 3: "123 !!", 4: None, 5: "", None: "a cat"}
+    left = corpus_pipeline.language_id(spark, docs([(i, t, lang) for i, t in texts.items()]), "unused")
+    assert {r["doc_id"]: r["text"] for r in left.collect()} == {1: "the dog", 2: "é", None: "a cat"}
+
+
 @pytest.mark.parametrize("kind", ["path", "star", "two", "none"])
 def test_components(spark, kind):
     pairs = {
