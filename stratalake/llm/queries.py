@@ -12,6 +12,7 @@ from stratalake.llm.line_dedup import LineDedupParams, dedup_report
 from stratalake.llm.mixing import mix
 from stratalake.llm.ngram_join import join_documents
 from stratalake.llm.packing import pack_documents
+from stratalake.llm.piece_codec import codec_digests
 from stratalake.llm.quality_cotraining import score_documents
 from stratalake.llm.quality_rules import judge_documents
 from stratalake.llm.token_counts import count_tokens
@@ -65,6 +66,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_documents(_table(spark, sf_dir, "documents"))
 
 
+def op13_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_quality_cotraining": op2_quality_cotraining,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_language_id": op10_language_id,
+    "op13_piece_codec": op13_piece_codec,
 }
 
 ORACLE_SQL: dict[str, str] = {}
