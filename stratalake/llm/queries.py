@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalake.llm.alignment import align_documents
 from stratalake.llm.embedding_dedup import link_embeddings
 from stratalake.llm.lang_id import identify_documents
 from stratalake.llm.line_dedup import LineDedupParams, dedup_report
@@ -66,6 +67,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_documents(_table(spark, sf_dir, "documents"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(_table(spark, sf_dir, "documents"))
+
+
 def op13_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec_digests(_table(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_language_id": op10_language_id,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_piece_codec": op13_piece_codec,
 }
 
