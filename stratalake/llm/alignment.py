@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.llm.piece_codec import PieceDecoder, PrefixEncoder, default_model, read_vocabulary
+from stratalake.llm.piece_codec import SPACE, PieceDecoder, cuttable, default_model, read_vocabulary
 from stratalake.llm.spans import SpanMemo, cut_places
 from stratalake.llm.textscan import Chunk, chunks
 from stratalake.sources.staging import Staging
@@ -97,6 +97,7 @@ class Side:
 class TwoTokenizers:
     def __init__(self, tokenizer: str, model: str, cached_spans: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import sentencepiece
         from tokenizers import Tokenizer
 
         first = Tokenizer.from_file(tokenizer)
@@ -106,15 +107,25 @@ class TwoTokenizers:
         # A special token's own letters need not be of the alphabet; it never occurs.
         self.a = Side([bytes(letters[c] for c in n) if all(c in letters for c in n) else n.encode() for n in names])
         words = read_vocabulary(model)
-        second, pieces = PrefixEncoder(words), PieceDecoder(words)
+        second, pieces = sentencepiece.SentencePieceProcessor(model_file=model), PieceDecoder(words)
         self.b = Side([pieces.blob[p : p + n].tobytes() for p, n in zip(pieces.at.tolist(), pieces.size.tolist())])
-        if not second.cuttable or max(len(names), len(words.pieces)) > 1 << 16:
+        in_front = any(p.startswith((SPACE + "\t", SPACE + "\n")) for p in words.scores)
+        if not cuttable(words.scores) or in_front or max(len(names), len(words.pieces)) > 1 << 16:
             raise ValueError("needs pieces with spaces in front and at most 65,536 ids a side")
 
         def encode_first(spans: list[bytes]) -> list[list[int]]:
             return [e.ids for e in first.encode_batch_fast([s.decode("utf-8") for s in spans], add_special_tokens=False)]
 
-        self.memo = SpanMemo([encode_first, second.encode_spans], cached_spans)
+        def encode_second(spans: list[bytes]) -> list[list[int]]:
+            # The library puts a space in front: the span's own, or one that stays a piece of its own.
+            led = [s.startswith(b" ") for s in spans]
+            found = second.encode([s.decode("utf-8")[own:] for s, own in zip(spans, led)], num_threads=1)
+            return [
+                ids if own and len(s) > 1 else [words.ids[SPACE]] if own else ids[1:]
+                for s, own, ids in zip(spans, led, found)
+            ]
+
+        self.memo = SpanMemo([encode_first, encode_second], cached_spans)
 
     def tokens(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A and the bounds of rows, ids of B and the bounds of rows."""

@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import codecs
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import pairwise
 
@@ -86,6 +86,11 @@ def read_vocabulary(path: str) -> Vocabulary:
     )
 
 
+def cuttable(pieces: Iterable[str]) -> bool:
+    """Whether no piece reaches across a place where texts are cut."""
+    return not any(b in _OPENS and a not in _OPENS for p in pieces for a, b in pairwise(p))
+
+
 class PrefixEncoder:
     """Tokens are numbers: the reachable pieces, then characters that only occur inside pieces."""
 
@@ -122,7 +127,7 @@ class PrefixEncoder:
         for i, text in enumerate(texts):
             self.automaton.add_word(text, (len(text), i))
         self.automaton.make_automaton()
-        self.cuttable = not any(b in _OPENS and a not in _OPENS for p in texts for a, b in pairwise(p))
+        self.cuttable = cuttable(texts)
         self._seen: dict[int, bool] = {}
 
     def _merge(self, text: str) -> tuple[list[str], list[tuple[int, str, str]]]:
