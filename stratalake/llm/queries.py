@@ -17,6 +17,7 @@ from stratalake.llm.piece_codec import codec_digests
 from stratalake.llm.quality_cotraining import score_documents
 from stratalake.llm.quality_rules import judge_documents
 from stratalake.llm.token_counts import count_tokens
+from stratalake.llm.turn_repair import repair_conversations
 from stratalake.llm.warc import round_trip
 from stratalake.llm.workers import reach_workers
 
@@ -67,6 +68,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_documents(_table(spark, sf_dir, "documents"))
 
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_language_id": op10_language_id,
+    "op11_turn_repair": op11_turn_repair,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_piece_codec": op13_piece_codec,
 }
