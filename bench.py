@@ -24,7 +24,7 @@ from stratalake.plans.report import churn_rate_report  # noqa: E402
 from stratalake.plans.run import load_bronze, load_gold, load_silver  # noqa: E402
 from stratalake.plans.validate import gold_not_empty  # noqa: E402
 from stratalake.sources.layers import LayerStore  # noqa: E402
-from stratalake.sources.staging import Staging  # noqa: E402
+from stratalake.sources.staging import Staging, staged_results  # noqa: E402
 from stratalake.workload.queries import QUERIES  # noqa: E402
 from stratalake.workload.subscribers import subscriber_raw  # noqa: E402
 

@@ -5,7 +5,8 @@ all doubles), and the two middle ranks are located in ever finer buckets: a hist
 values finds the bucket that holds a rank, the next histogram looks inside that bucket only, and
 so on down to the unit. A histogram has a few million rows per column at most, whatever the
 number of input rows, and is counted map-side, so values repeated very often or columns that are
-all distinct (ids) cost the same.
+all distinct (ids) cost the same. One task orders a column's buckets, and takes the totals from the
+same shuffle, so that rows are counted once for each histogram and the histogram is read once.
 
 Buckets are single units near zero, so ages, months and everyday amounts are settled by the first
 histogram; adaptive execution then drops the later passes. Otherwise integers and decimals of up
@@ -81,65 +82,43 @@ def _is_exact(start: Column, level: int) -> Column:
     return _within(start, (_FIRST_EXACT, _SECOND_EXACT)[level])
 
 
-def _coarse(start: Column, level: int) -> Column:
-    """Start of a group of about a thousand buckets, ascending with the buckets."""
-    def floor(bits: int) -> Column:
-        return F.shiftleft(F.shiftright(start, bits), bits)
-
-    def above(bits: int, least: int) -> Column:
-        return F.when(start > 0, F.greatest(floor(bits), F.lit(least))).otherwise(floor(bits))
+def _histogram(rows: DataFrame, start: Column, *sought: str) -> DataFrame:
+    """(column_id, *sought, start, n): values per bucket, counted map-side."""
+    return rows.groupBy("column_id", *sought, start.alias("start")).agg(F.count(F.lit(1)).alias("n"))
 
-    if level == 0:
-        return (
-            F.when(_within(start, _FIRST_EXACT), floor(10))
-            .when(_within(start, _SECOND_EXACT), above(28, _FIRST_EXACT))
-            .otherwise(above(52, _SECOND_EXACT))
-        )
-    if level == 1:
-        return F.when(_within(start, _SECOND_EXACT), floor(9)).otherwise(floor(31))
-    return floor(10)
 
+def _holding(counted: DataFrame, *within: str) -> DataFrame:
+    """The buckets in which the ranks `lower` and `upper` fall: (column_id, start, lower, upper).
 
-def _locate(counted: DataFrame, coarse: Column) -> DataFrame:
-    """The buckets in which the sought ranks fall: (column_id, start, lower, upper).
-
-    `counted` has the histogram (start, n) of each column's open buckets and the ranks sought
-    within each, NULL if there is none. At most two rows per column remain, each with the ranks
-    that are left to find inside its bucket. Buckets are summed in groups first, so that no task
-    orders more than the groups of one column or the buckets of one group.
+    At most two rows per column remain, each with the ranks that are left to find inside its
+    bucket, NULL if there is none. A task orders the buckets of one column, a number that the type
+    bounds and the rows do not.
     """
-    def holding(rows: DataFrame, place: str, *within: str) -> DataFrame:
-        upwards = Window.partitionBy("column_id", *within).orderBy(place)
-        upto = F.sum("n").over(upwards.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-        def left(rank: str) -> Column:
-            reached = F.col(rank) - (F.col("upto") - F.col("n"))
-            return F.when(reached.between(1, F.col("n")), reached).alias(rank)
-
-        found = rows.withColumn("upto", upto).select("column_id", place, left("lower"), left("upper"))
-        return found.where(F.col("lower").isNotNull() | F.col("upper").isNotNull())
-
-    grouped = counted.withColumn("_group", coarse)
-    groups = grouped.groupBy("column_id", "lower", "upper", "_group").agg(F.sum("n").alias("n"))
-    # Groups lie inside one sought bucket, so a column has two rows here at most.
-    near = holding(groups, "_group", "lower", "upper")
-    inside = grouped.drop("lower", "upper").join(F.broadcast(near), ["column_id", "_group"])
-    return holding(inside, "start", "_group")
-
-
-def _ranks(histogram: DataFrame, only_incomplete: bool) -> DataFrame:
-    """The histogram's buckets with the middle ranks of their column."""
-    # One row per column.
-    totals = histogram.groupBy("column_id").agg(
-        F.sum(F.when(F.col("start").isNotNull(), F.col("n"))).alias("present"),
-        F.sum(F.when(F.col("start").isNull(), F.col("n"))).alias("missing"),
-    )
+    upwards = Window.partitionBy("column_id", *within).orderBy("start")
+    upto = F.sum("n").over(upwards.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    def left(rank: str) -> Column:
+        reached = F.col(rank) - (F.col("upto") - F.col("n"))
+        return F.when(reached.between(1, F.col("n")), reached).alias(rank)
+
+    found = counted.withColumn("upto", upto).select("column_id", "start", left("lower"), left("upper"))
+    return found.where(F.col("lower").isNotNull() | F.col("upper").isNotNull())
+
+
+def _middle(histogram: DataFrame, only_incomplete: bool) -> DataFrame:
+    """The buckets of the middle ranks of each column. Totals come from the shuffle that orders
+    the buckets, so the histogram is read once."""
+    whole = Window.partitionBy("column_id")
+    present = F.col("start").isNotNull()
+    counted = histogram.select(
+        "column_id", "start", "n", F.sum(F.when(present, F.col("n"))).over(whole).alias("present"),
+        F.sum(F.when(present, 0).otherwise(F.col("n"))).over(whole).alias("missing"),
+    ).where(present)
     if only_incomplete:
-        totals = totals.where(F.col("missing") > 0)
-    return histogram.where(F.col("start").isNotNull()).join(F.broadcast(totals), "column_id").select(
-        "column_id", "start", "n",
-        F.expr("(present + 1) div 2").alias("lower"), F.expr("present div 2 + 1").alias("upper"),
-    )
+        counted = counted.where(F.col("missing") > 0)
+    return _holding(counted.withColumns({
+        "lower": F.expr("(present + 1) div 2"), "upper": F.expr("present div 2 + 1"),
+    }))
 
 
 def _named_units(located: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -173,10 +152,7 @@ def _middle_narrow(df: DataFrame, columns: Sequence[str], only_incomplete: bool)
         return F.shiftright(start, (18, 21)[level]) * len(columns) + F.col("column_id")
 
     long = _stacked(df, units)
-    histogram = long.groupBy("column_id", _bucket(F.col("units"), 0).alias("start")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    located = _locate(_ranks(histogram, only_incomplete), _coarse(F.col("start"), 0))
+    located = _middle(_histogram(long, _bucket(F.col("units"), 0)), only_incomplete)
     for level in range(1, 3 if deep else 2):
         settled = _is_exact(F.col("start"), level - 1)
         # Two buckets per column at most, so the broadcast side has 2 * len(columns) rows.
@@ -184,19 +160,16 @@ def _middle_narrow(df: DataFrame, columns: Sequence[str], only_incomplete: bool)
             place(F.col("start"), level - 1).alias("place"), "lower", "upper"
         )
         rows = long if level == 1 else _stacked(df, deep)
-        inside = (
-            rows.withColumn("place", place(_bucket(F.col("units"), level - 1), level - 1))
-            .join(F.broadcast(sought), "place")
-            .groupBy("column_id", "lower", "upper", _bucket(F.col("units"), level).alias("start"))
-            .agg(F.count(F.lit(1)).alias("n"))
+        held = rows.withColumn("place", place(_bucket(F.col("units"), level - 1), level - 1)).join(
+            F.broadcast(sought), "place"
         )
-        located = located.where(settled).unionByName(_locate(inside, _coarse(F.col("start"), level)))
+        inside = _histogram(held, _bucket(F.col("units"), level), "lower", "upper")
+        located = located.where(settled).unionByName(_holding(inside, "lower", "upper"))
     return _named_units(located, columns)
 
 
-# Bucket widths of decimals beyond a BIGINT, and how many buckets a group has.
+# Bucket widths of decimals beyond a BIGINT.
 _WIDE_WIDTHS = (10**31, 10**24, 10**17, 10**10, 10**3, 1)
-_WIDE_GROUP = 10**4
 _ANY = "decimal(38,0)"
 
 
@@ -226,19 +199,16 @@ def _middle_wide(df: DataFrame, columns: Sequence[str], only_incomplete: bool) -
     long = _stacked(df, {i: _wide_units(c, types[c].scale).cast(_ANY) for i, c in enumerate(columns)})
     located = None
     for level, width in enumerate(_WIDE_WIDTHS):
-        start = _wide_floor(F.col("units"), width).alias("start")
+        start = _wide_floor(F.col("units"), width)
         if located is None:
-            histogram = long.groupBy("column_id", start).agg(F.count(F.lit(1)).alias("n"))
-            counted = _ranks(histogram, only_incomplete)
-        else:
-            # Two buckets per column at most.
-            sought = located.withColumnRenamed("start", "place")
-            counted = (
-                long.withColumn("place", _wide_floor(F.col("units"), _WIDE_WIDTHS[level - 1]))
-                .join(F.broadcast(sought), ["column_id", "place"])
-                .groupBy("column_id", "lower", "upper", start).agg(F.count(F.lit(1)).alias("n"))
-            )
-        located = _locate(counted, _wide_floor(F.col("start"), width * _WIDE_GROUP))
+            located = _middle(_histogram(long, start), only_incomplete)
+            continue
+        # Two buckets per column at most.
+        sought = located.withColumnRenamed("start", "place")
+        held = long.withColumn("place", _wide_floor(F.col("units"), _WIDE_WIDTHS[level - 1])).join(
+            F.broadcast(sought), ["column_id", "place"]
+        )
+        located = _holding(_histogram(held, start, "lower", "upper"), "lower", "upper")
     return _named_units(located, columns)
 
 
