@@ -23,6 +23,7 @@ from stratalake.plans.run import (
 from stratalake.sources.csv import read_csv_raw
 from stratalake.sources.layers import LayerStore
 from stratalake.sources.relational import RelationalStore
+from stratalake.sources.shadow import ShadowStore
 
 STAGES = ["all", "bronze", "silver", "gold", "validate", "report"]
 
@@ -36,6 +37,10 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
         "--jdbc-option", action="append", default=[], metavar="NAME=VALUE",
         help="driver, user and the like; passwords are better kept in the driver's own files",
     )
+    parser.add_argument(
+        "--jdbc-swap", action="store_true",
+        help="load gold beside the tables in use and swap all names in one transaction",
+    )
     parser.add_argument("--source", help="CSV file or folder (stages all and bronze)")
     parser.add_argument(
         "--record-files", action="store_true",
@@ -62,6 +67,8 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
         parser.error(f"stage {args.stage} needs --source")
     if bool(args.store) == bool(args.jdbc_url):
         parser.error("give either --store or --jdbc-url")
+    if args.jdbc_swap and not args.jdbc_url:
+        parser.error("--jdbc-swap needs --jdbc-url")
     if any("=" not in option for option in args.jdbc_option):
         parser.error("--jdbc-option takes NAME=VALUE")
     return args
@@ -71,7 +78,8 @@ def store_of(spark: SparkSession, args: argparse.Namespace) -> Store:
     if args.store:
         return LayerStore(spark, args.store)
     options = dict(option.split("=", 1) for option in args.jdbc_option)
-    return RelationalStore(spark, {"url": args.jdbc_url, **options})
+    kind = ShadowStore if args.jdbc_swap else RelationalStore
+    return kind(spark, {"url": args.jdbc_url, **options})
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> Iterable[dict]:

@@ -6,7 +6,7 @@ here.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,6 +77,39 @@ def write_table(
     df.write.format("jdbc").options(**options).mode(mode).save()
 
 
+def execute(spark: SparkSession, connection: Mapping[str, str], statements: Sequence[str]) -> None:
+    """Run statements on one connection, in one transaction: all of them or none."""
+    options = _checked(connection)
+    jvm = spark.sparkContext._jvm
+    properties = jvm.java.util.Properties()
+    for name, value in options.items():
+        if name != "url":
+            properties.setProperty(name, str(value))
+    if options.get("driver"):
+        # Makes drivers that came with --jars known to the DriverManager.
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(options["driver"])
+    opened = jvm.java.sql.DriverManager.getConnection(options["url"], properties)
+    try:
+        run_all(opened, statements)
+    finally:
+        opened.close()
+
+
+def run_all(opened, statements: Sequence[str]) -> None:
+    """The transaction itself, on an open connection."""
+    opened.setAutoCommit(False)
+    statement = opened.createStatement()
+    try:
+        for text in statements:
+            statement.execute(text)
+        opened.commit()
+    except Exception:
+        opened.rollback()
+        raise
+    finally:
+        statement.close()
+
+
 def reset_table(df: DataFrame, connection: Mapping[str, str], table: str) -> None:
     """Empty a table, keeping its definition."""
     write_table(df.limit(0), connection, table)
