@@ -5,7 +5,7 @@ gold keys depend on the whole table and are refreshed by run_layers.
 
 The source is a folder to which new bronze files are added. The versions of a LayerStore are no
 such folder: each is a full rewrite, and streaming over all of them would append every record
-again.
+again. Which files were checked is remembered in a manifest beside the stream's checkpoint.
 """
 
 from __future__ import annotations
@@ -17,41 +17,18 @@ from stratalake.context import RunContext
 from stratalake.operators.columns import conform
 from stratalake.plans.silver import build_silver
 from stratalake.schemas import SILVER
+from stratalake.streaming.manifest import FileManifest, SchemaDrift, columns_of
 
-
-class SchemaDrift(ValueError):
-    """A bronze file has other columns than the folder's first file."""
-
-
-def _columns(schema: T.StructType) -> dict[str, str]:
-    return {f.name: f.dataType.simpleString() for f in schema}
-
-
-def bronze_schema(spark: SparkSession, bronze_path: str) -> T.StructType:
-    """The columns of the written bronze, which all its files must share.
-
-    One footer is read for every file in the folder: move files away that were refreshed long ago.
-    """
-    files = spark.read.parquet(bronze_path).select("_metadata.file_path").distinct().orderBy("file_path")
-    schema = None
-    for row in files.toLocalIterator():
-        own = spark.read.parquet(row["file_path"]).schema
-        schema = schema or own
-        if _columns(own) != _columns(schema):
-            differing = set(_columns(own).items()) ^ set(_columns(schema).items())
-            raise SchemaDrift(f"{row['file_path']}: differs in {sorted(differing)}")
-    return schema or spark.read.parquet(bronze_path).schema
+__all__ = ["SchemaDrift", "refresh_silver", "silver_stream"]
 
 
 def silver_stream(
-    spark: SparkSession, bronze_path: str, ctx: RunContext, schema: T.StructType | None = None
+    spark: SparkSession, bronze_path: str, ctx: RunContext, schema: T.StructType
 ) -> DataFrame:
-    """Streaming silver records of the files that appear below `bronze_path`.
+    """Streaming silver records of the files that appear below `bronze_path`, which have `schema`.
 
-    Without a schema it is that of the files already there; columns that drifted are kept and
-    find their way to silver as in a batch.
+    Columns that drifted are kept and find their way to silver as in a batch.
     """
-    schema = schema or bronze_schema(spark, bronze_path)
     bronze = spark.readStream.schema(schema).parquet(bronze_path)
     return conform(build_silver(bronze, ctx), SILVER)
 
@@ -65,10 +42,13 @@ def refresh_silver(
     Call it as often as a refresh is due; `checkpoint` remembers the files already done, and
     the file sink commits each batch once. A file with other columns than the rest is refused
     before any file of the refresh is read; with a `schema`, files must have exactly its columns.
+    Only files that the manifest does not know are opened for that.
     """
-    found = bronze_schema(spark, bronze_path)
-    if schema is not None and _columns(found) != _columns(schema):
-        differing = set(_columns(found).items()) ^ set(_columns(schema).items())
+    found = FileManifest(spark, f"{checkpoint.rstrip('/')}/manifest").check(bronze_path)
+    if found is None:
+        found = spark.read.parquet(bronze_path).schema
+    if schema is not None and columns_of(found) != columns_of(schema):
+        differing = set(columns_of(found).items()) ^ set(columns_of(schema).items())
         raise SchemaDrift(f"{bronze_path}: differs in {sorted(differing)}")
     query = (
         silver_stream(spark, bronze_path, ctx, found)
