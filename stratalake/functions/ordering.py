@@ -6,6 +6,7 @@ bits, negative for negative values. All scaling is by powers of two, so nothing
 
 from __future__ import annotations
 
+import struct
 import sys
 
 from pyspark.sql import Column
@@ -45,3 +46,9 @@ def rank_to_double(rank: Column) -> Column:
     steps = (size - exponent * _STEPS).cast("double")
     value = steps / float(_STEPS) * _power((exponent + _MIN_EXPONENT).cast("int"))
     return value * F.when(rank < 0, -1).otherwise(1)
+
+
+def double_of_rank(rank: int) -> float:
+    """The same for one number on the driver; beyond the infinities, NaN."""
+    (value,) = struct.unpack("<d", struct.pack("<Q", min(abs(rank), (1 << 63) - 1)))
+    return -value if rank < 0 else value

@@ -16,15 +16,17 @@ Decimals of 19 to 38 digits go seven digits a pass.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.functions import case_rules, double_to_rank, rank_to_double
+from stratalake.functions import case_rules, double_of_rank, double_to_rank, rank_to_double
 
 _NARROW_TYPES = (T.ByteType, T.ShortType, T.IntegerType)
 
@@ -140,7 +142,20 @@ def _stacked(df: DataFrame, units: Mapping[int, Column]) -> DataFrame:
     return named.select(F.stack(F.lit(len(units)), *pairs).alias("column_id", "units"))
 
 
+def narrow_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The first histogram of columns that count units in a BIGINT: (column_id, start, n)."""
+    types = {f.name: f.dataType for f in df.schema}
+    stacked = _stacked(df, {i: _units(c, types[c]) for i, c in enumerate(columns)})
+    return _histogram(stacked, _bucket(F.col("units"), 0))
+
+
 def _middle_narrow(df: DataFrame, columns: Sequence[str], only_incomplete: bool) -> DataFrame:
+    located = _middle(narrow_histogram(df, columns), only_incomplete)
+    return _named_units(_descend(df, columns, located), columns)
+
+
+def _descend(df: DataFrame, columns: Sequence[str], located: DataFrame) -> DataFrame:
+    """The units of the middle ranks, from the first histogram's buckets that hold them."""
     types = {f.name: f.dataType for f in df.schema}
     units = {i: _units(c, types[c]) for i, c in enumerate(columns)}
     # Only types that can need the third histogram are read for it.
@@ -152,7 +167,6 @@ def _middle_narrow(df: DataFrame, columns: Sequence[str], only_incomplete: bool)
         return F.shiftright(start, (18, 21)[level]) * len(columns) + F.col("column_id")
 
     long = _stacked(df, units)
-    located = _middle(_histogram(long, _bucket(F.col("units"), 0)), only_incomplete)
     for level in range(1, 3 if deep else 2):
         settled = _is_exact(F.col("start"), level - 1)
         # Two buckets per column at most, so the broadcast side has 2 * len(columns) rows.
@@ -165,7 +179,7 @@ def _middle_narrow(df: DataFrame, columns: Sequence[str], only_incomplete: bool)
         )
         inside = _histogram(held, _bucket(F.col("units"), level), "lower", "upper")
         located = located.where(settled).unionByName(_holding(inside, "lower", "upper"))
-    return _named_units(located, columns)
+    return located
 
 
 # Bucket widths of decimals beyond a BIGINT.
@@ -272,11 +286,62 @@ def _midpoint_in_type(dtype: T.DataType) -> Column:
 
 def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, median double): the midpoint of the two middle values, NULLs skipped."""
+    return _midpoints(middle_units(df, columns), df, columns)
+
+
+def medians_of_histogram(df: DataFrame, columns: Sequence[str], histogram: DataFrame) -> DataFrame:
+    """`column_medians` of columns whose first histogram is at hand (see `narrow_histogram`).
+
+    The buckets that hold the middle ranks, two per column at most, are looked up at once. Of `df`
+    only the columns that they do not settle are read, with range filters on their values.
+    """
+    located = [tuple(r) for r in _middle(histogram, False).select("column_id", "start", "lower", "upper").collect()]
+    open_ids = sorted({r[0] for r in located if not -_FIRST_EXACT <= r[1] < _FIRST_EXACT})
+    types = {f.name: f.dataType for f in df.schema}
+    schema = "column_id int, start bigint, lower bigint, upper bigint"
+    spark = df.sparkSession
+    settled = spark.createDataFrame([r for r in located if r[0] not in open_ids], schema)
+    found = _named_units(settled, columns)
+    if open_ids:
+        names = [columns[i] for i in open_ids]
+        near = reduce(or_, [_near(columns[i], types[columns[i]], start) for i, start, *_ in located if i in open_ids])
+        sought = spark.createDataFrame([(open_ids.index(i), *rest) for i, *rest in located if i in open_ids], schema)
+        found = found.unionByName(_named_units(_descend(df.select(*names).where(near), names, sought), names))
+    return _midpoints(found, df, columns)
+
+
+def _near(name: str, dtype: T.DataType, start: int) -> Column:
+    """A filter that keeps all values of a first bucket, and for most types few others."""
+    width = 1 if -_FIRST_EXACT <= start < _FIRST_EXACT else 1 << 18 if -_SECOND_EXACT <= start < _SECOND_EXACT else 1 << 42
+    least, most = start, start + width - 1
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        # Beyond the finite numbers there is nothing to compare with.
+        low, high = double_of_rank(least), double_of_rank(most)
+        if not (math.isfinite(low) and math.isfinite(high)):
+            return F.col(name).isNotNull()
+        if isinstance(dtype, T.FloatType):
+            return F.col(name).cast("double").between(low, high)
+        return F.col(name).between(low, high)
+    if isinstance(dtype, T.DecimalType):
+        bound = 10**dtype.precision - 1
+        low, high = (Decimal(max(-bound, min(bound, x))).scaleb(-dtype.scale) for x in (least, most))
+        return F.col(name).between(F.lit(low).cast(dtype), F.lit(high).cast(dtype))
+    bits = 8 * {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4}.get(type(dtype), 8) - 1
+    low, high = max(-(1 << bits), least), min((1 << bits) - 1, most)
+    return F.col(name).between(F.lit(low).cast(dtype), F.lit(high).cast(dtype))
+
+
+def counts_in_bigint(dtype: T.DataType) -> bool:
+    """Whether `narrow_histogram` takes columns of this type."""
+    return isinstance(dtype, T.NumericType) and not _is_wide(dtype)
+
+
+def _midpoints(middle: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema}
     midpoint = case_rules(
         [(F.col("column_name") == c, _exact_midpoint(types[c])) for c in columns], None
     )
-    return middle_units(df, columns).select("column_name", midpoint.alias("median"))
+    return middle.select("column_name", midpoint.alias("median"))
 
 
 def median_row(

@@ -354,6 +354,28 @@ union all select 'gold', 'dim_contract', (select count(*) from dim_contract), nu
 union all select 'gold', 'fact_customer_churn', (select count(*) from fact), null, 0,
   (select count(*) from fact) - (select count(*) from silver)"""
 
+# --- across loads ------------------------------------------------------------------------------
+
+_ROW_SHOWN = ", ".join(
+    f"cast({c} as double) as {c}" if c in ("monthlycharges", "totalcharges") else c for c in _RAW_COLUMNS
+)
+_KEY_ORDER = ", ".join(f"{c} nulls first" for c in ("customer_id_anonymized", "age", "gender", "tenure"))
+
+
+def _customer_keys(raw: str) -> str:
+    return _with(raw + _BRONZE + _SILVER, "select distinct customer_id_anonymized, age, gender, tenure from silver")
+
+
+def _snapshot(raw: str, absent: str) -> str:
+    """One row per customer: the longest tenure's, then the greatest attributes."""
+    some = raw.replace("from records),", f"from records where contracttype is distinct from '{absent}'),")
+    assert some != raw
+    return _with(some + _BRONZE + _SILVER, """
+        select customer_id_anonymized, age, gender, tenure, contract_type from silver
+        qualify row_number() over (partition by customer_id_anonymized order by tenure desc nulls last,
+          age desc nulls last, gender desc nulls last, contract_type desc nulls last) = 1""")
+
+
 ORACLE_SQL: dict[str, str] = {
     "subscriber_raw": _with(_RAW, _RAW_SHOWN),
     "csv_na_scan": _with(_RAW, _RAW_SHOWN),
@@ -521,6 +543,33 @@ ORACLE_SQL: dict[str, str] = {
         _too_long("documents", "text", 2000), _too_long("documents", "lang", 2),
     ]),
     "layer_constraints": _with(_GOLD, _union(_constraints())),
+    "dedupe_two_loads": _with(_RAW, f"""
+        select {_ROW_SHOWN}, cast(min(load) as int) as load from (
+          select * exclude (delivery), 0 as load from delivered
+          union all select * exclude (delivery) replace (cast(age + delivery as int) as age), 1 from delivered)
+        group by {", ".join(_RAW_COLUMNS)}"""),
+    "dim_customer_stable": f"""
+        with first_keys as ({_customer_keys(_RAW)}), second_keys as ({_customer_keys(_RAW_CORRECTED)}),
+        known as (select *, row_number() over (order by {_KEY_ORDER}) as customer_sk from first_keys),
+        fresh as (select * from second_keys except select * from first_keys)
+        select * from known union all
+        select *, (select count(*) from known) + row_number() over (order by {_KEY_ORDER}) from fresh""",
+    "medians_two_loads": _with(_RAW, " union all ".join(
+        f"""select '{c}' as column_name, cast(median({c}) as double) as median from (
+          select * from delivered union all
+          select * replace (cast(age + delivery as int) as age) from delivered)"""
+        for c in ("customerid", "age", "tenure", "monthlycharges", "totalcharges")
+    )),
+    "lineitem_medians_two_loads": " union all ".join(
+        f"select '{c}' as column_name, cast(median({c}) as double) as median from lineitem"
+        for c in ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
+    ),
+    "customer_history": f"""
+        with one as ({_snapshot(_RAW, " One-Year")}), two as ({_snapshot(_RAW_CORRECTED, "TWO-YEAR ")}),
+        kept as (select * from one intersect select * from two)
+        select *, 1704067200::bigint as effective_date, null::bigint as end_date, true as is_current from kept
+        union all select *, 1704067200, 1706745600, false from (select * from one except select * from kept)
+        union all select *, 1706745600, null, true from (select * from two except select * from kept)""",
     "layer_roundtrip": _with(_GOLD, _FACT_SHOWN),
     "layer_reset": _with(_RAW + _DISTINCT, """
         select 'written' as step, cast(count(*) as bigint) as row_count from unique_raw

@@ -29,10 +29,14 @@ from stratalake.operators.columns import (
 from stratalake.operators.dedupe import dedupe_exact, duplicates_removed
 from stratalake.operators.impute import constant_impute, median_impute
 from stratalake.operators.keys import key_by_hex_prefix, key_by_range
+from stratalake.operators.ledger import RowLedger
 from stratalake.operators.medians import column_medians
 from stratalake.operators.quality import completeness_score
+from stratalake.operators.rank_state import RankState
+from stratalake.operators.registry import KeyRegistry
 from stratalake.plans import gold as G
 from stratalake.plans.bronze import build_bronze
+from stratalake.plans.history import next_history, one_per_customer
 from stratalake.plans.report import churn_rate_report, churn_rate_report_sql
 from stratalake.plans.run import run_layers
 from stratalake.plans.silver import build_silver
@@ -544,6 +548,78 @@ def q_layer_constraints(spark, d):
     ])
 
 
+# --- across loads ------------------------------------------------------------------------------
+
+def _two_loads(spark: SparkSession, d: str) -> list[DataFrame]:
+    """A delivery and the next one, which repeats it with some ages corrected."""
+    return [lowercase_names(subscriber_raw(spark, d, corrected=c)) for c in (False, True)]
+
+
+def q_dedupe_two_loads(spark, d):
+    """Rows that a ledger lets through, load by load: together they are distinct."""
+    staging = Staging(spark)
+    ledger = RowLedger(spark, staging.folder(), buckets=16)
+    first, second = [
+        ledger.accept(df, f"load-{i}", staging).withColumn("load", F.lit(i)) for i, df in enumerate(_two_loads(spark, d))
+    ]
+    return comparable(first.unionByName(second))
+
+
+_CUSTOMER_KEY = ["customer_id_anonymized", "age", "gender", "tenure"]
+
+
+def q_dim_customer_stable(spark, d):
+    """Customer keys after two refreshes: old ones as they were, new ones from the last on."""
+    staging = Staging(spark)
+    silvers = [
+        build_silver(build_bronze(subscriber_raw(spark, d, corrected=c), RUN), RUN) for c in (False, True)
+    ]
+    keys = silvers[0].select(*_CUSTOMER_KEY).schema
+    registry = KeyRegistry(spark, staging.folder(), keys, "customer_sk")
+    for i, silver in enumerate(silvers):
+        registry.add(silver, f"refresh-{i}", staging)
+    return registry.entries()
+
+
+def q_medians_two_loads(spark, d):
+    """Medians over two loads from the sum of their histograms."""
+    staging = Staging(spark)
+    loads = [staging.table(df) for df in _two_loads(spark, d)]
+    names = numeric_columns(loads[0])
+    state = RankState(spark, staging.folder(), loads[0].select(*names).schema)
+    for i, df in enumerate(loads):
+        state.add(df, f"load-{i}")
+    return state.medians(loads)
+
+
+def q_lineitem_medians_two_loads(spark, d):
+    """Wide and fractional columns, one load per line status."""
+    staging, columns = Staging(spark), ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"]
+    lines = table(spark, d, "lineitem")
+    loads = [lines.where(F.col("l_linestatus") == "F"), lines.where(~F.col("l_linestatus").eqNullSafe("F"))]
+    state = RankState(spark, staging.folder(), lines.select(*columns).schema)
+    for i, df in enumerate(loads):
+        state.add(df, f"load-{i}")
+    return state.medians(loads)
+
+
+def q_customer_history(spark, d):
+    """Two snapshots of all customers: some unchanged, some older, some gone, some new."""
+    staging, key = Staging(spark), "customer_id_anonymized"
+    attributes = ["age", "gender", "tenure", "contract_type"]
+    later = replace(RUN, run_ts=datetime(2024, 2, 1, tzinfo=timezone.utc))
+
+    def snapshot(corrected: bool, absent: str) -> DataFrame:
+        """Without the customers of a contract that starts later, or has ended."""
+        raw = subscriber_raw(spark, d, corrected=corrected)
+        delivered = raw.where(~F.col("ContractType").eqNullSafe(F.lit(absent)))
+        silver = build_silver(build_bronze(delivered, RUN), RUN)
+        return staging.table(one_per_customer(silver, key, attributes, ["tenure"]))
+
+    history = staging.table(next_history(None, snapshot(False, " One-Year"), key, attributes, RUN.now()))
+    return comparable(next_history(history, snapshot(True, "TWO-YEAR "), key, attributes, later.now()))
+
+
 # --- stores and whole runs ---------------------------------------------------------------------
 
 def q_layer_roundtrip(spark, d):

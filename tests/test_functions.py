@@ -113,3 +113,12 @@ def test_table_schemas_cover_limits():
     for (layer, table), schema in S.TABLES.items():
         limits = S.LIMITS[table if layer == "gold" else layer]
         assert set(limits) <= set(schema.names)
+
+
+@pytest.mark.parametrize("value", [0.0, 5e-324, 2.2250738585072014e-308, 1.0, 1.5, 1e300, float("inf")])
+def test_ranks_of_single_numbers(spark, value):
+    from stratalake.functions import double_of_rank, double_to_rank
+
+    for sign in (1.0, -1.0):
+        rank = spark.range(1).select(double_to_rank(F.lit(sign * value))).first()[0]
+        assert double_of_rank(rank) == sign * value
