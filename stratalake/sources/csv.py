@@ -18,7 +18,8 @@ _INFERRED_NUMBER = T.DecimalType(18, 2)
 _CORRUPT = "_corrupt_record"
 
 # A number as text. Its digits are judged as written: a cast would round them first.
-_SIGN, _EXPONENT = r"^\s*[+-]?", r"^\s*[+-]?\d{1,38}[eE]\+?\d{1,2}\s*$"
+_SIGN = r"^\s*[+-]?"
+_EXPONENT = _SIGN + r"(?=\.?\d)(\d*)\.?(\d*)[eE]([+-]?\d{1,3})\s*$"
 
 
 def _fits_scale(text: Column, scale: int) -> Column:
@@ -27,13 +28,18 @@ def _fits_scale(text: Column, scale: int) -> Column:
         plain = _SIGN + r"\d+(?:\.0*)?\s*$"
     else:
         plain = _SIGN + rf"(?:\d+\.?|\d*\.\d{{1,{scale}}}0*)\s*$"
-    return text.rlike(plain) | text.rlike(_EXPONENT)
+    # With an exponent: the decimals written, less zeros at the end, moved by the exponent.
+    whole, decimals, exponent = (F.regexp_extract(text, _EXPONENT, i) for i in (1, 2, 3))
+    digits = F.concat(whole, decimals)
+    zeros = F.length(digits) - F.length(F.regexp_replace(digits, "0+$", ""))
+    needed = F.length(decimals) - zeros - exponent.try_cast("int")
+    return text.rlike(plain) | text.rlike(_EXPONENT) & ((needed <= scale) | ~digits.rlike("[1-9]"))
 
 
 def _parsed(column: Column, dtype: T.DataType) -> Column:
     """Text to `dtype`, NULL if it is not one or has more decimals than it.
 
-    Whole numbers may be written like 5.0 or 5e3.
+    Numbers may be written with an exponent: 5e3 and 1.5e3 are whole, 2e-1 has one decimal.
     """
     value = column.try_cast(dtype)
     if isinstance(dtype, T.DecimalType):

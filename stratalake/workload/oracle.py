@@ -393,6 +393,11 @@ ORACLE_SQL: dict[str, str] = {
           cast('1.' || lpad(cast(c_custkey as varchar), 12, '0') as double) as fine,
           cast(c_custkey%5 + 1 as int) as zeros
         from customer""",
+    "csv_exponent_numbers": """
+        select cast(c_custkey as int) as id, cast(c_custkey * 10 + 5 as int) as tens,
+          cast(c_custkey as double) / 10 as tenths, cast(c_custkey as int) as ones,
+          cast(c_custkey as double) / 1000 as fine
+        from customer""",
     "dedupe_exact": _with(_RAW + _DISTINCT, f"select * {_DOUBLE_MONEY} from unique_raw"),
     "dedupe_removed": _with(_RAW + _DISTINCT, """
         select (select count(*) from subscriber_raw) as rows_read,

@@ -162,6 +162,17 @@ def q_csv_inferred_decimals(spark, d):
     return comparable(read_csv_raw(spark, path, types="infer"))
 
 
+def q_csv_exponent_numbers(spark, d):
+    """Numbers with exponents: whole ones, ones with a decimal, and ones with too many for money."""
+    key = F.col("c_custkey").cast("string")
+    line = F.concat_ws(
+        ",", key, F.concat(key, F.lit(".5e1")), F.concat(key, F.lit("E-1")), F.concat(key, F.lit("00e-2")),
+        F.concat(key, F.lit("e-3")),
+    )
+    path = _text_csv(table(spark, d, "customer").select(line.alias("line")), "id,tens,tenths,ones,fine", Staging(spark))
+    return comparable(read_csv_raw(spark, path, types="infer"))
+
+
 # --- bronze ------------------------------------------------------------------------------------
 
 def q_dedupe_exact(spark, d):

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from stratalake import schemas as S
 from stratalake.sources import jdbc
-from stratalake.sources.csv import read_csv_raw
+from stratalake.sources.csv import read_csv_raw, typed
 from stratalake.sources.layers import LayerStore
 from stratalake.sources.staging import Staging, shared_folder
 
@@ -339,3 +339,16 @@ def test_jdbc_reader_and_writer_are_asked_for_the_options(spark):
     jdbc.reset_table(Frame(), CONNECTION, "t")
     assert Frame.write.calls["mode"] == ("overwrite",)
     assert Frame.write.calls["options"]["truncate"] == "true"
+
+
+@pytest.mark.parametrize("text,whole,money", [
+    ("1.5e3", 1500, "1500.00"), ("2e-1", None, "0.20"), ("5E+2", 500, "500.00"), ("-1.50e1", -15, "-15.00"),
+    ("1.25e0", None, "1.25"), ("1.255e0", None, None), ("1.255e1", None, "12.55"), ("20e-1", 2, "2.00"),
+    ("100e-5", None, None), ("0e-9", 0, "0.00"), (".5e1", 5, "5.00"), ("5.e1", 50, "50.00"), ("1e9", 10**9, None),
+    ("1e99", None, None), ("e5", None, None), (".e5", None, None), ("1e", None, None), ("1.5e3x", None, None),
+])
+def test_numbers_with_exponents(spark, text, whole, money):
+    df = spark.createDataFrame([(text, text)], "w string, m string")
+    types = {"w": T.IntegerType(), "m": T.DecimalType(10, 2)}
+    row = typed(df, types, on_bad="null").first()
+    assert (row["w"], None if row["m"] is None else str(row["m"])) == (whole, money)
