@@ -1,8 +1,9 @@
 """Best-two-fit packing of tokenized documents into sequences of bounded length.
 
 Documents are tokenized whole and closed by an end id; only documents longer than a sequence are
-cut, into full pieces and a shorter last one. Pieces are dealt into groups of bounded size by a
-hash of their place, and each group is packed by best-two-fit: a bin takes the longest piece left
+cut, into full pieces and a shorter last one. Pieces are written once with a number of their own and
+dealt into groups of bounded size by a hash of their id, place, contents and number, so that neither
+null or repeated ids nor copies of a text fill a group; each group is packed by best-two-fit: a bin takes the longest piece left
 and then, again and again, the longest that fits; while a gap remains, the bin's smallest piece is
 exchanged for the two pieces left that fill the widened gap most tightly.
 
@@ -13,8 +14,8 @@ its hash, for a whole chunk of text at a time. A chunk in which a special token
 is cut at white space only, with its case kept.
 
 Defined cases: a null or empty text is the end id alone. Repeated rows are packed once each. Null
-ids are kept as null. Equal pieces are ordered by id, so reruns place the same rows alike. An empty
-table gives no rows. Only the id and text columns are read; clashing names do not matter.
+ids are kept as null. Equal pieces are ordered by id, so reruns over the same files place the same
+rows alike. An empty table gives no rows. Only the id and text columns are read; clashing names do not matter.
 """
 
 from __future__ import annotations
@@ -254,16 +255,17 @@ def pack(pieces: DataFrame, params: PackingParams, staging: Staging) -> DataFram
     """`pieces` with sequence_id and offset."""
     id_type = pieces.schema["doc_id"].dataType
     # As text, since pandas has no whole numbers with nulls.
-    staged = staging.table(pieces.withColumn("doc_id", F.col("doc_id").cast("string")))
+    numbered = pieces.withColumns({"doc_id": F.col("doc_id").cast("string"), "_row": F.monotonically_increasing_id()})
+    staged = staging.table(numbered)
     groups = max(1, -(-staged.count() // params.group_size))
     schema = T.StructType([
-        *staged.schema.fields, T.StructField("sequence_id", T.LongType()),
+        *staged.drop("_row").schema.fields, T.StructField("sequence_id", T.LongType()),
         T.StructField("offset", T.LongType()),
     ])
     order = ["length", "doc_id", "piece", "ids_crc32"]
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop(columns="_group").sort_values(order, kind="stable", ignore_index=True)
+        rows = rows.sort_values([*order, "_row"], ignore_index=True).drop(columns=["_group", "_row"])
         lengths = rows["length"].to_numpy()
         # The rows of one length follow each other; the next unused one of a length:
         cursor = np.searchsorted(lengths, np.arange(params.max_tokens + 1))
@@ -277,7 +279,8 @@ def pack(pieces: DataFrame, params: PackingParams, staging: Staging) -> DataFram
                 at += length
         return rows.assign(sequence_id=sequence, offset=offset)
 
-    grouped = staged.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    dealt = F.xxhash64("doc_id", "piece", "length", "ids_crc32", "_row")
+    grouped = staged.withColumn("_group", F.pmod(dealt, F.lit(groups)))
     packed = grouped.groupBy("_group").applyInPandas(run, schema)
     return packed.withColumn("doc_id", F.col("doc_id").cast(id_type))
 

@@ -103,3 +103,20 @@ def test_best_two_fit_packs_everything_well(seed):
     assert sorted(x for b in bins for x in b) == sorted(lengths)
     assert max(map(sum, bins)) <= 100
     assert len(bins) <= 1.01 * -(-sum(lengths) // 100) + 1
+
+
+@pytest.mark.parametrize("same_text", [False, True])
+def test_null_and_repeated_ids_fill_no_group(spark, docs, tokenizer, same_text):
+    """A third of the rows have no id, another third share one; with equal texts, too."""
+    rows = [
+        ((None, 7, i)[i % 3], "the same words again" if same_text and i % 3 < 2 else f"some words of row {i} " * (i % 40))
+        for i in range(6_000)
+    ]
+    packed = pack_documents(docs(rows), params=PackingParams(group_size=400)).toPandas()
+    groups = (packed["sequence_id"] // 2**32).value_counts()
+    assert len(packed) == 6_000 and len(groups) == 15
+    assert groups.max() <= 2 * groups.median()
+    whole = packed["length"].sum()
+    assert packed["sequence_id"].nunique() <= 1.01 * whole / 2048 + len(groups)
+    filled = packed.groupby("sequence_id")["length"].sum()
+    assert filled.max() <= 2048
