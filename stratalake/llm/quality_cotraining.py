@@ -4,11 +4,15 @@ The text view sees what a text is written with: shares of characters and words.
 what is known about a page without reading it as text: its source, language tag and length, and
 its layout in lines. Each view has a logistic classifier. It starts from a bounded sample of the
 labelled documents; in every round each classifier scores all documents that have no label, and
-the documents it is surest of, good and bad, go to the other one with its verdict as their label.
-In the end both are calibrated on labelled documents that neither has seen, and a logistic model of
-the two calibrated views scores all documents.
+the documents it is surest of, good and bad, go to the other one with its verdict as their label: a
+share of all distinct ones by quantiles of its own scores, which grows from round to round. In the
+end both are calibrated on labelled documents that neither has seen, and a logistic model of the two
+calibrated views scores all documents.
 
 Features are computed by one pass over whole texts and staged; rounds and scores read the features.
+Documents without a label count once for each vector of features, so that a group of copies does not
+speak for the rest, and whatever their id. Nothing that was passed on reaches the driver: Newton
+steps add up gradients and curvatures in tasks, and two thresholds per view come from one aggregate.
 
 Defined cases: a null or empty text has zero shares and is scored by them. Null source or language
 is a value of its own. Several labels of one document are averaged; a null label is none. Labels of
@@ -18,7 +22,7 @@ kinds every score is the share of good labels, or 0.5 without any. An empty tabl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,12 +38,13 @@ from stratalake.sources.staging import Staging
 
 @dataclass(frozen=True)
 class CoTrainingParams:
-    # Labelled documents that are fitted on, by hash order, a fifth of them for calibration.
+    # Labelled documents that are fitted on, by a threshold on their hash, a fifth of them for
+    # calibration.
     max_labelled: int = 20_000
     rounds: int = 3
-    # Documents of each kind that a view passes on per round, and how sure it must be of them.
-    passed: int = 400
-    sure: float = 0.97
+    # Of every thousand distinct unlabelled documents those that a view passes on, of each kind, in the
+    # first round: the second passes twice as many, and so on.
+    passed: float = 10
     # Weight of a passed document against a labelled one.
     passed_weight: float = 0.5
     ridge: float = 1.0
@@ -129,14 +134,25 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the last column, a constant, is not shrunk."""
+def _slope_and_bend(x: np.ndarray, y: np.ndarray, weight: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    p = _sigmoid(x @ beta)
+    return x.T @ (weight * (y - p)), (x * (weight * p * (1 - p))[:, None]).T @ x
+
+
+def fit_logistic(
+    x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float,
+    more: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]] | None = None,
+) -> np.ndarray:
+    """Ridge logistic regression by Newton steps; the last column, a constant, is not shrunk.
+
+    `more` gives slope and bend of rows that are elsewhere.
+    """
     scale = np.append(np.full(x.shape[1] - 1, ridge), 1e-6)
     beta = np.zeros(x.shape[1])
     for _ in range(50):
-        p = _sigmoid(x @ beta)
-        slope = x.T @ (weight * (y - p)) - scale * beta
-        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(scale)
+        parts = [_slope_and_bend(x, y, weight, beta), *([more(beta)] if more else [])]
+        slope = sum(p[0] for p in parts) - scale * beta
+        bend = sum(p[1] for p in parts) + np.diag(scale)
         step = np.linalg.solve(bend, slope)
         beta += step * min(1.0, 5.0 / max(1e-12, np.abs(step).max()))
         if np.abs(step).max() < 1e-7:
@@ -153,8 +169,12 @@ class _Views:
     calibrations: tuple[np.ndarray, np.ndarray] | None = None
     joint: np.ndarray | None = None
 
+    def raw(self, x: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Scores of both views before calibration, which tell apart what rounds to 0 or 1."""
+        return np.column_stack([x[0] @ self.text, x[1] @ self.page])
+
     def logits(self, x: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        raw = np.column_stack([x[0] @ self.text, x[1] @ self.page])
+        raw = self.raw(x)
         if self.calibrations:
             raw = np.column_stack([raw[:, i] * c[0] + c[1] for i, c in enumerate(self.calibrations)])
         return np.clip(raw, -30, 30)
@@ -196,6 +216,22 @@ def _scored(features: DataFrame, views: _Views, params: CoTrainingParams) -> Dat
     return features.mapInArrow(run, schema)
 
 
+def _raw_scored(features: DataFrame, views: _Views, params: CoTrainingParams) -> DataFrame:
+    """`features` with text_raw and meta_raw."""
+    kept = features.schema.fields
+    schema = T.StructType([*kept, *(T.StructField(n, T.DoubleType()) for n in ("text_raw", "meta_raw"))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                raw = views.raw(_rows_of(batch, params))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, *(pa.array(np.ascontiguousarray(c)) for c in raw.T)], names=schema.names
+                )
+
+    return features.mapInArrow(run, schema)
+
+
 def _gathered(rows: list, params: CoTrainingParams):
     return _matrices(
         np.array([r["text_view"] for r in rows], dtype=float).reshape(len(rows), N_TEXT),
@@ -204,23 +240,91 @@ def _gathered(rows: list, params: CoTrainingParams):
     )
 
 
-def _order():
-    """A fixed order of documents that has nothing to do with their content."""
-    return F.xxhash64(F.lit("co-training"), "doc_id"), F.col("doc_id")
+_INPUTS = ["text_view", "layout", "_source", "_lang"]
+
+
+def _sample(features: DataFrame, marked: DataFrame, params: CoTrainingParams) -> list:
+    """About `max_labelled` distinct labelled documents at most, in a fixed order that has nothing to
+    do with their content: those whose hash lies below a threshold, which one count gives."""
+    place = F.xxhash64(F.lit("co-training"), "doc_id", *_INPUTS)
+    labelled = features.select("doc_id", *_INPUTS).join(marked, "doc_id").withColumn("_place", place)
+    known = labelled.groupBy("_place").agg(F.first(F.struct("doc_id", *_INPUTS, "_y")).alias("_row"))
+    total = known.count()
+    if total > params.max_labelled:
+        # A little less, so that chance does not exceed it.
+        share = 0.98 * params.max_labelled / total
+        known = known.where(F.col("_place") < int(-(2**63) + share * 2**64))
+    rows = known.select("_place", "_row.*").collect()
+    return sorted(rows, key=lambda r: r["_place"])
+
+
+def distinct_vectors(features: DataFrame, marked: DataFrame) -> DataFrame:
+    """The inputs of documents without a label, once each. Null ids have no label."""
+    known = marked.select(F.col("doc_id").alias("_known"))
+    free = features.join(known, F.col("doc_id") == F.col("_known"), "left_anti").select(*_INPUTS)
+    grouped = free.groupBy(F.xxhash64(*_INPUTS).alias("_vector")).agg(F.first(F.struct(*_INPUTS)).alias("_row"))
+    return grouped.select("_row.*")
+
+
+def surest(scored: DataFrame, share: float) -> list[DataFrame]:
+    """For each view the rows that it passes on, with its verdict `_label`: the `share` it gives the
+    least and the `share` it gives the greatest scores, by quantiles of its own scores."""
+    names = ["text_raw", "meta_raw"]
+    # Two numbers per view.
+    edges = scored.agg(*[F.percentile_approx(n, [share, 1 - share], 10_000).alias(n) for n in names]).first()
+    out = []
+    for name in names:
+        if edges[name] is None or edges[name][0] >= edges[name][1]:
+            # A view that does not tell documents apart passes nothing on.
+            out.append(scored.where(F.lit(False)).withColumn("_label", F.lit(0.0)))
+            continue
+        low, high = edges[name]
+        verdict = F.when(F.col(name) >= high, 1.0).when(F.col(name) <= low, 0.0)
+        out.append(scored.withColumn("_label", verdict).where(F.col("_label").isNotNull()))
+    return out
+
+
+def _elsewhere(given: DataFrame, view: int, params: CoTrainingParams) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Slope and bend of passed documents, added up in tasks: one small row per partition."""
+
+    def more(beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(beta)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            slope, bend = np.zeros(n), np.zeros((n, n))
+            for batch in batches:
+                if batch.num_rows:
+                    y = batch.column("_label").to_numpy(zero_copy_only=False)
+                    weight = np.full(len(y), params.passed_weight)
+                    own = _slope_and_bend(_rows_of(batch, params)[view], y, weight, beta)
+                    slope, bend = slope + own[0], bend + own[1]
+            places = np.arange(n + n * n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(places), pa.array(np.concatenate([slope, bend.ravel()]))], names=["place", "part"]
+            )
+
+        # Summed in tasks, so that what arrives does not grow with the partitions.
+        parts = given.select(*_INPUTS, "_label").mapInArrow(run, "place long, part double")
+        sums = np.zeros(n + n * n)
+        for r in parts.groupBy("place").agg(F.sum("part").alias("total")).collect():
+            sums[r["place"]] = r["total"]
+        return sums[:n], sums[n:].reshape(n, n)
+
+    return more
 
 
 def score_documents(
-    docs: DataFrame, labels: DataFrame, params: CoTrainingParams = CoTrainingParams(), label: str = "quality"
+    docs: DataFrame, labels: DataFrame, params: CoTrainingParams = CoTrainingParams(), label: str = "quality",
+    passed: list | None = None,
 ) -> DataFrame:
-    """doc_id, text_score, meta_score, quality_score and kept of every row."""
+    """doc_id, text_score, meta_score, quality_score and kept of every row. `passed` takes, for each
+    round, how many documents the text view and the page view passed on."""
     staging = Staging(docs.sparkSession)
     features = staging.table(_with_buckets(view_features(docs), params))
     marked = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         (F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("_y")
     )
-    inputs = ["doc_id", "text_view", "layout", "_source", "_lang"]
-    # Bounded by max_labelled.
-    sample = features.select(*inputs).join(marked, "doc_id").orderBy(*_order()).limit(params.max_labelled).collect()
+    sample = _sample(features, marked, params)
     y = np.array([r["_y"] for r in sample], dtype=float)
     if len(set(y)) < 2:
         flat = F.lit(float(y.mean()) if len(y) else 0.5)
@@ -233,37 +337,26 @@ def score_documents(
     if len(set(y[tested])) < 2:
         tested[:] = True
     fitted = ~tested if len(set(y[~tested])) == 2 else np.ones(len(y), dtype=bool)
-    free = staging.table(features.select(*inputs).join(marked, "doc_id", "left_anti"))
+    free = staging.table(distinct_vectors(features, marked))
 
-    # What each view was given by the other: inputs and labels.
-    given: list[list[tuple[tuple, np.ndarray]]] = [[], []]
-    passed_ids: list = []
-    views = None
+    given: list[DataFrame | None] = [None, None]
     for round_no in range(params.rounds + 1):
-        fits = []
-        for i in range(2):
-            xs = np.concatenate([x[i][fitted], *(g[i] for g, _ in given[i])])
-            ys = np.concatenate([y[fitted], *(label for _, label in given[i])])
-            weight = np.where(np.arange(len(ys)) < fitted.sum(), 1.0, params.passed_weight)
-            fits.append(fit_logistic(xs, ys, weight, params.ridge))
+        one = np.ones(int(fitted.sum()))
+        fits = [
+            fit_logistic(
+                x[i][fitted], y[fitted], one, params.ridge, _elsewhere(given[i], i, params) if given[i] is not None else None
+            ) for i in range(2)
+        ]
         views = _Views(*fits)
         views.calibrate(tuple(m[tested] for m in x), y[tested])
         if round_no == params.rounds:
             break
-        fresh = _scored(free, views, params)
-        if passed_ids:
-            # At most 4 * passed ids a round.
-            fresh = fresh.where(~F.coalesce(F.col("doc_id").isin(passed_ids), F.lit(False)))
-        fresh = staging.table(fresh.where(
-            F.greatest("text_score", 1 - F.col("text_score"), "meta_score", 1 - F.col("meta_score")) >= params.sure
-        ))
-        for view, name in enumerate(("text_score", "meta_score")):
-            for verdict in (0.0, 1.0):
-                sureness = F.col(name) if verdict else 1 - F.col(name)
-                rows = fresh.where(sureness >= params.sure).orderBy(sureness.desc(), *_order()).limit(params.passed).collect()
-                if rows:
-                    given[1 - view].append((_gathered(rows, params), np.full(len(rows), verdict)))
-                    passed_ids += [r["doc_id"] for r in rows if r["doc_id"] is not None]
+        scored = staging.table(_raw_scored(free, views, params))
+        chosen = [staging.table(t) for t in surest(scored, params.passed / 1000 * (round_no + 1))]
+        # Each view learns from the other one's verdicts.
+        given = [chosen[1], chosen[0]]
+        if passed is not None:
+            passed.append(tuple(t.count() for t in chosen))
     return _scored(features, views, params).select(
         "doc_id", "text_score", "meta_score", "quality_score", (F.col("quality_score") >= params.threshold).alias("kept")
     )

@@ -129,3 +129,63 @@ def test_logistic_fit():
     x = np.column_stack([rng.normal(size=4000), np.ones(4000)])
     y = (rng.random(4000) < 1 / (1 + np.exp(-(2 * x[:, 0] - 1)))).astype(float)
     assert fit_logistic(x, y, np.ones(4000), 1e-3) == pytest.approx([2, -1], abs=0.2)
+
+
+def test_one_round_by_brute_force(spark, docs):
+    """What each view passes on and learns from it, with everything in one place."""
+    from stratalake.llm import quality_cotraining as Q
+    from stratalake.sources.staging import Staging
+
+    rng = np.random.default_rng(3)
+    rows = [
+        (i if i % 3 else None, " ".join(rng.choice(["good", "words", "of", "the", "x%%", "##", "n$", "||"], rng.integers(3, 40))),
+         str(rng.choice(["en", "de"])), str(rng.choice(["a", "b", "c"])))
+        for i in range(400)
+    ]
+    # A group of copies, without ids, counts once.
+    rows += [(None, "%% || %%", "en", "a")] * 300
+    labels = spark.createDataFrame([(i, int("%" not in rows[i][1])) for i in range(0, 120)], "doc_id long, quality int")
+    params = Q.CoTrainingParams(passed=50)
+    with Staging(spark) as staging:
+        features = staging.table(Q._with_buckets(Q.view_features(docs(rows)), params))
+        marked = labels.selectExpr("doc_id", "quality as _y")
+        free = staging.table(Q.distinct_vectors(features, marked))
+        local = [r for r in features.collect() if r["doc_id"] is None or r["doc_id"] >= 120]
+        vectors = {(tuple(r["text_view"]), tuple(r["layout"]), r["_source"], r["_lang"]) for r in local}
+        assert free.count() == len(vectors) < len(local) - 290
+        x = Q._gathered([dict(zip(Q._INPUTS, v)) for v in sorted(vectors)], params)
+        views = Q._Views(rng.normal(size=x[0].shape[1]), rng.normal(size=x[1].shape[1]))
+        raw = views.raw(x)
+        scored = staging.table(Q._raw_scored(free, views, params))
+        chosen = [staging.table(t) for t in Q.surest(scored, 0.05)]
+        for view, table in enumerate(chosen):
+            got = sorted((r[("text_raw", "meta_raw")[view]], r["_label"]) for r in table.collect())
+            low, high = np.sort(raw[:, view])[[int(np.ceil(0.05 * len(raw))) - 1, int(np.ceil(0.95 * len(raw))) - 1]]
+            want = sorted((v, float(v >= high)) for v in raw[:, view] if v <= low or v >= high)
+            assert [g[1] for g in got] == [w[1] for w in want]
+            assert [g[0] for g in got] == pytest.approx([w[0] for w in want])
+            # The other view's Newton steps, in tasks and in one place.
+            other = 1 - view
+            mask = (raw[:, view] <= low) | (raw[:, view] >= high)
+            y = (raw[mask, view] >= high).astype(float)
+            base, label = x[other][:50], (np.arange(50) % 2).astype(float)
+            apart = Q.fit_logistic(base, label, np.ones(50), 1.0, Q._elsewhere(table, other, params))
+            whole = Q.fit_logistic(
+                np.concatenate([base, x[other][mask]]), np.concatenate([label, y]),
+                np.concatenate([np.ones(50), np.full(len(y), params.passed_weight)]), 1.0,
+            )
+            assert apart == pytest.approx(whole, abs=1e-6)
+
+
+def test_sample_of_labelled_documents(spark, docs):
+    """Bounded by a threshold, not by an order; one document with very many rows is one of them."""
+    from stratalake.llm import quality_cotraining as Q
+
+    rows = [(i, f"words {i} " * (i % 7 + 1)) for i in range(2000)] + [(5, "the same")] * 900
+    marked = spark.createDataFrame([(i, i % 2) for i in range(2000)], "doc_id long, _y int")
+    params = Q.CoTrainingParams(max_labelled=300)
+    features = Q._with_buckets(Q.view_features(docs(rows)), params)
+    sample = Q._sample(features, marked, params)
+    assert 230 <= len(sample) <= 330
+    assert [r["doc_id"] for r in sample] == [r["doc_id"] for r in Q._sample(features, marked, params)]
+    assert len(Q._sample(features, marked, Q.CoTrainingParams())) == 2001
