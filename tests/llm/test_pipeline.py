@@ -17,11 +17,18 @@ CONTRACT = {
     "op7_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op9_embedding_near_dedup": ["vec_id", "n_links", "component_id", "kept"],
     "op10_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+    "op11_turn_repair": [
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256",
+    ],
+    "op12_tokenizer_alignment": [
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256",
+    ],
+    "op13_piece_codec": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 
 def test_queries_return_the_columns_of_their_contract(spark):
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     for name, columns in CONTRACT.items():
         assert QUERIES[name](spark, "/root/testdata/sf0.001").columns[: len(columns)] == columns
 
@@ -83,3 +90,17 @@ def test_empty_corpus(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         frame = stage(spark, frame, "unused")
         assert frame.count() == 0
+
+
+def test_columns_with_helper_names_pass_unchanged(spark, docs):
+    names = ["_text", "_row", "_kept", "_nth", "_copies", "_row_key", "_language", "_posterior", "carried", "_kept_id", "c0", "a.b"]
+    plain = docs([(i, f"words of text number {i}, " * (i + 3), "en", "ab"[i % 2]) for i in range(8)])
+    table = plain.selectExpr("*", *[f"concat('{n}', cast(doc_id as string)) as `{n}`" for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, table, "unused")
+        assert out.columns == table.columns, name
+        rows = out.collect()
+        assert rows, name
+        for r in rows:
+            assert [r[n] for n in names] == [f"{n}{r['doc_id']}" for n in names], name
+            assert (r["n_chars"], r["lang_pred"], r["keep"]) == (1, "x", True), name
