@@ -16,6 +16,7 @@ from stratalake.functions import (
     map_values,
     rounded_product,
 )
+from stratalake.operators.colocate import co_distinct, co_locate, co_lookup
 from stratalake.operators.columns import conform
 from stratalake.operators.dimensions import distinct_attributes
 from stratalake.operators.joins import all_fit_broadcast, lookup_key
@@ -60,8 +61,13 @@ def churn_risk(churned: Column, tenure: Column) -> Column:
     )
 
 
+# Silver's columns that make up a customer, and the dimension's.
+CUSTOMER = ["customer_id_anonymized", "age", "gender", "tenure"]
+CUSTOMER_ATTRIBUTES = [*CUSTOMER[:3], "tenure_months"]
+
+
 def build_dim_customer(silver: DataFrame, ctx: RunContext) -> DataFrame:
-    attributes = ["customer_id_anonymized", "age", "gender", "tenure_months"]
+    attributes = CUSTOMER_ATTRIBUTES
     rows = distinct_attributes(silver, {
         "customer_id_anonymized": "customer_id_anonymized", "age": "age", "gender": "gender",
         "tenure": "tenure_months",
@@ -98,6 +104,25 @@ def build_dim_contract(silver: DataFrame, staging: Staging) -> DataFrame:
     }), S.DIM_CONTRACT)
 
 
+def co_locate_customers(
+    silver: DataFrame, ctx: RunContext, staging: Staging, buckets: int,
+    hot_rows: int = 1_000_000, row_id: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Silver and the customer dimension, written in buckets of one layout.
+
+    Silver is shuffled once, when it is written; the dimension's distinct rows and the facts' keys
+    then come from matching buckets. Give both to build_fact(), the dimension as
+    `customers`. Facts get their own customer (`on_conflict="own"`), the only one that the whole
+    key names.
+    """
+    if ctx.on_conflict != "own":
+        raise ValueError("co-located customers are matched on their whole key: on_conflict='own'")
+    layout = co_locate(silver, CUSTOMER, staging, buckets, hot_rows)
+    rows = layout.many(silver, [row_id] if row_id else ())
+    dim = build_dim_customer(co_distinct(rows, CUSTOMER), ctx)
+    return rows, layout.renamed(*CUSTOMER_ATTRIBUTES).one(dim)
+
+
 def _with_customer(
     fact: DataFrame, dim: DataFrame, ctx: RunContext, staging: Staging
 ) -> DataFrame:
@@ -130,18 +155,24 @@ def _with_customer(
 
 
 def fact_rows(
-    silver: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, staging: Staging
+    silver: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, staging: Staging,
+    customers: DataFrame | None = None,
 ) -> DataFrame:
     """Fact measures with the dimensions' keys, not yet numbered; silver's other columns stay.
 
     The label dimensions are measured together, broadcast if they are small and shuffled
     otherwise. The customer dimension grows with the data and is always joined by shuffle, where
-    adaptive execution splits an id that holds too many rows.
+    adaptive execution splits an id that holds too many rows; with `customers`, which
+    co_locate_customers() wrote along with this silver, bucket by bucket.
 
     `_first` marks one fact of each silver row that has any, so that facts lost and added can be
     counted.
     """
     fact = silver
+    if customers is not None:
+        # First, while silver's buckets are still as they were written.
+        found = co_lookup(silver, customers, CUSTOMER, "customer_sk", CUSTOMER_ATTRIBUTES)
+        fact = found.withColumn("_first", F.lit(True))
     labels = [
         (dims["dim_service"], ["internet_service", "tech_support"], "service_sk"),
         (dims["dim_contract"], ["contract_type"], "contract_sk"),
@@ -150,7 +181,8 @@ def fact_rows(
     small = all_fit_broadcast(sides)
     for side, fits, (_, keys, sk) in zip(sides, small, labels):
         fact = lookup_key(fact, side, keys, sk, null_safe=ctx.null_safe_lookup, broadcast=fits)
-    fact = _with_customer(fact, dims["dim_customer"], ctx, staging)
+    if customers is None:
+        fact = _with_customer(fact, dims["dim_customer"], ctx, staging)
     churned = is_churned(F.col("churn"))
     return fact.withColumns({
         "total_revenue": rounded_product(F.col("tenure"), F.col("monthly_charges")),
@@ -161,18 +193,20 @@ def fact_rows(
 
 def build_fact(
     silver: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, staging: Staging,
-    row_id: str | None = None, marked: bool = False,
+    row_id: str | None = None, marked: bool = False, customers: DataFrame | None = None,
 ) -> DataFrame:
     """The numbered churn fact. `dims` should be written tables.
 
     `row_id` names a column of silver that tells its rows apart (see LayerStore.read); without
     it a hash of the row does, which cannot split rows equal in every column. The joined rows are
     written before they are ordered: range bounds are sampled, and the sample would evaluate the
-    joins once more. With `marked`, `_first` of fact_rows() stays as a column.
+    joins once more. With `marked`, `_first` of fact_rows() stays as a column. `customers` is that of
+    fact_rows().
     """
     tag = F.col(row_id) if row_id else F.xxhash64(*silver.columns)
     tagged = silver.withColumn("_tag", tag)
-    rows = staging.table(fact_rows(tagged, dims, ctx, staging).select(*FACT_ORDER, "_tag", "_first"))
+    joined = fact_rows(tagged, dims, ctx, staging, customers)
+    rows = staging.table(joined.select(*FACT_ORDER, "_tag", "_first"))
     keyed = key_by_range(
         rows, FACT_ORDER, "fact_sk", staging, spread_by=["_tag"], drop=["_tag"]
     )

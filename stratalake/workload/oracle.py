@@ -510,6 +510,7 @@ ORACLE_SQL: dict[str, str] = {
         select cast(row_number() over (order by {_LINE_ORDER}) as bigint) as line_sk,
           l_returnflag, l_suppkey, l_orderkey, l_linenumber from lineitem""",
     "fact_churn": _with(_GOLD, _FACT_SHOWN),
+    "fact_colocated": _with(_GOLD, _FACT_SHOWN),
     "fact_nullsafe_lookup": _with(_unimputed("is not distinct from"), _FACT_SHOWN),
     "fact_null_keys_dropped": _with(_unimputed("="), _FACT_SHOWN),
     "fact_fanout": _with(_CORRECTED + _fact(), _FACT_SHOWN),
@@ -584,3 +585,4 @@ ORACLE_SQL: dict[str, str] = {
     "run_missing_ids": _with(_MISSING_IDS + _fact(), _METRICS),
     "end_to_end_report": _with(_GOLD, _REPORT),
 }
+ORACLE_SQL["check_fk_colocated"] = ORACLE_SQL["check_fk"]

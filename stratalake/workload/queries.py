@@ -18,6 +18,7 @@ from stratalake import schemas as S
 from stratalake.context import RunContext
 from stratalake.functions import case_rules, normalize_text, pseudonymize, rounded_product, safe_ratio
 from stratalake.operators import checks as C
+from stratalake.operators.colocate import check_co_located_key, co_locate
 from stratalake.operators.columns import (
     fallback_column,
     lowercase_names,
@@ -422,6 +423,19 @@ def q_fact_churn(spark, d):
     return comparable(_standard_gold(spark, d)["fact_customer_churn"])
 
 
+def q_fact_colocated(spark, d):
+    """Facts whose customers come from matching buckets of silver and the dimension."""
+    staging = Staging(spark)
+    silver = staging.table(_silver(spark, d))
+    labels = staging.table(G.label_rows(silver))
+    rows, customers = G.co_locate_customers(silver, RUN, staging, buckets=8)
+    dims = {
+        "dim_service": staging.table(G.build_dim_service(labels, staging)),
+        "dim_contract": staging.table(G.build_dim_contract(labels, staging)),
+    }
+    return comparable(G.build_fact(rows, dims, RUN, staging, customers=customers))
+
+
 def q_fact_nullsafe_lookup(spark, d):
     """Records with gaps left open: NULL labels still find their dimension rows."""
     staging, ctx = Staging(spark), replace(RUN, null_safe_lookup=True)
@@ -532,6 +546,25 @@ def q_check_fk(spark, d):
     ])
 
 
+def q_check_fk_colocated(spark, d):
+    """The same checks on tables written in buckets of one layout."""
+    staging = Staging(spark)
+
+    def check(name: str, column: str, dim: str, dim_column: str) -> DataFrame:
+        rows = table(spark, d, name).select(F.col(column).cast("bigint").alias(column))
+        keys = table(spark, d, dim).select(F.col(dim_column).cast("bigint").alias(dim_column))
+        layout = co_locate(rows, [column], staging, buckets=8, hot_rows=100_000)
+        known = layout.renamed(dim_column).one(keys)
+        return check_co_located_key(layout.many(rows), name, column, known, dim_column)
+
+    return C.union_reports([
+        check("orders", "o_custkey", "customer", "c_custkey"),
+        check("lineitem", "l_partkey", "part", "p_partkey"),
+        check("documents", "doc_id", "labels", "doc_id"),
+        check("events", "user_id", "customer", "c_custkey"),
+    ])
+
+
 def q_check_not_null(spark, d):
     raw = _raw(spark, d)
     return C.check_not_null(raw, "subscriber_raw", raw.columns)

@@ -1,0 +1,116 @@
+"""Tables written in buckets of one layout: lookups, checks and distincts without a shuffle."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.operators.checks import check_foreign_key
+from stratalake.operators.colocate import SLOT, check_co_located_key, co_distinct, co_locate, co_lookup, co_orphans
+from stratalake.operators.joins import lookup_key
+from stratalake.plans.gold import CUSTOMER, CUSTOMER_ATTRIBUTES, co_locate_customers
+from stratalake.sources.staging import Staging
+from stratalake.workload.queries import RUN, _silver
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def staging(spark):
+    with Staging(spark) as made:
+        yield made
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_and_dim(spark, n=600, seed=3):
+    """A third of the rows under one key, others with NULLs; some keys unknown, some never used."""
+    rng = random.Random(seed)
+    rows = [
+        ("hot", 1, i) if rng.random() < 1 / 3 else (rng.choice([None, "a", "b", "c", "d"]), rng.choice([None, 1, 2, 3]), i)
+        for i in range(n)
+    ]
+    dim = [("hot", 1, 100), ("a", 1, 101), (None, 1, 102), (None, None, 103), ("b", None, 104), ("b", 2, 105), ("z", 9, 106)]
+    return spark.createDataFrame(rows, "k string, v int, n int"), spark.createDataFrame(dim, "k2 string, v2 int, sk int"), rows, dim
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 20])
+def test_lookup_equals_the_shuffled_one(spark, staging, hot_rows):
+    many, one, rows, dim = rows_and_dim(spark)
+    layout = co_locate(many, ["k", "v"], staging, buckets=4, hot_rows=hot_rows)
+    left, right = layout.many(many, ["n"]), layout.renamed("k2", "v2").one(one)
+    found = co_lookup(left, right, ["k", "v"], "sk", ["k2", "v2"])
+    known = {(k, v): sk for k, v, sk in dim}
+    expected = Counter((k, v, n, known[k, v]) for k, v, n in rows if (k, v) in known)
+    assert Counter(map(tuple, found.select("k", "v", "n", "sk").collect())) == expected
+    plain = lookup_key(many, one.toDF("k", "v", "sk"), ["k", "v"], "sk", null_safe=True)
+    assert plain.exceptAll(found.drop(SLOT)).count() == 0
+    plan = executed(found)
+    assert "Exchange" not in plan and "SortMergeJoin" in plan, plan
+
+
+def test_a_hot_key_has_many_slots(spark, staging):
+    many, one, rows, _ = rows_and_dim(spark)
+    hot = sum(k == "hot" for k, _, _ in rows)
+    layout = co_locate(many, ["k", "v"], staging, buckets=4, hot_rows=20)
+    sizes = [r["count"] for r in layout.many(many, ["n"]).where("k = 'hot'").groupBy(SLOT).count().collect()]
+    assert sum(sizes) == hot and len(sizes) == -(-hot // 20) and max(sizes) < 3 * 20
+    assert layout.renamed("k2", "v2").one(one).where("k2 = 'hot'").count() == -(-hot // 20)
+
+
+def test_orphans_and_distinct_shuffle_nothing(spark, staging):
+    many, one, rows, dim = rows_and_dim(spark)
+    layout = co_locate(many, ["k", "v"], staging, buckets=4, hot_rows=20)
+    left, right = layout.many(many, ["n"]), layout.renamed("k2", "v2").one(one)
+    orphans = co_orphans(left, right, ["k", "v"], ["k2", "v2"])
+    known = {(k, v) for k, v, _ in dim}
+    assert sorted(r["n"] for r in orphans.collect()) == [
+        n for k, v, n in rows if k is not None and v is not None and (k, v) not in known
+    ]
+    distinct = co_distinct(left, ["k", "v"])
+    assert set(map(tuple, distinct.collect())) == {(k, v) for k, v, _ in rows}
+    for df in (orphans, distinct):
+        assert "Exchange" not in executed(df)
+
+
+def test_keys_that_share_a_slot_are_told_apart(spark, staging):
+    many = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    one = spark.createDataFrame([("a", 10), ("b", 20)], "k string, sk int")
+    layout = co_locate(many, ["k"], staging, buckets=1)
+    left, right = (f(df).withColumn(SLOT, F.lit(7)) for f, df in ((layout.many, many), (layout.one, one)))
+    assert sorted(map(tuple, co_lookup(left, right, ["k"], "sk").select("n", "sk").collect())) == [(1, 10), (2, 20)]
+
+
+def test_check_counts_like_the_shuffled_one(spark, staging):
+    many = spark.createDataFrame([(1,), (1,), (2,), (None,), (5,), (5,)], "k bigint")
+    one = spark.createDataFrame([(1,), (3,), (None,)], "id bigint")
+    layout = co_locate(many, ["k"], staging, buckets=3, hot_rows=1)
+    report = check_co_located_key(layout.many(many), "t", "k", layout.renamed("id").one(one), "id")
+    assert report.collect() == check_foreign_key(many, "t", "k", one, "id").collect()
+
+
+def test_types_empty_tables_and_no_leftovers_in_the_catalog(spark, staging):
+    many = spark.createDataFrame([], "k string, v int, n int")
+    one = spark.createDataFrame([("a", 1, 2)], "k string, v int, sk int")
+    layout = co_locate(many, ["k", "v"], staging, buckets=2)
+    found = co_lookup(layout.many(many), layout.one(one), ["k", "v"], "sk")
+    assert found.count() == 0
+    with pytest.raises(TypeError):
+        layout.one(one.withColumn("v", F.col("v").cast("bigint")))
+    with pytest.raises(ValueError):
+        co_locate(many, ["k"], staging, buckets=0)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("colocated_")]
+
+
+def test_customers_come_from_matching_buckets(spark, staging):
+    silver = staging.table(_silver(spark, SF_DIR))
+    rows, customers = co_locate_customers(silver, RUN, staging, buckets=4, hot_rows=2)
+    found = co_lookup(rows, customers, CUSTOMER, "customer_sk", CUSTOMER_ATTRIBUTES)
+    assert "Exchange" not in executed(found)
+    assert found.count() == silver.count()
