@@ -16,7 +16,7 @@ from stratalake.llm.packing import pack_documents
 from stratalake.llm.piece_codec import codec_digests
 from stratalake.llm.quality_cotraining import score_documents
 from stratalake.llm.quality_rules import judge_documents
-from stratalake.llm.token_counts import count_tokens
+from stratalake.llm.token_counts import TokenCountParams, count_tokens
 from stratalake.llm.turn_repair import repair_conversations
 from stratalake.llm.warc import round_trip
 from stratalake.llm.workers import reach_workers
@@ -49,7 +49,7 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(_table(spark, sf_dir, "documents"))
+    return count_tokens(_table(spark, sf_dir, "documents"), params=TokenCountParams(space_runs=True))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
