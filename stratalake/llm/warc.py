@@ -6,8 +6,8 @@ HTTP headers only. Archives are files below the shared folder, of bounded size;
 of its files anew and reports it when it is closed, so that what a lost attempt left is never read.
 
 The reader streams a file through one zlib object per member, takes a record's headers up to the
-empty line and its block by Content-Length, checks block and payload digests and that the member
-ends where the record does. Nothing beyond one record is held.
+empty line and its block by Content-Length, checks block and payload digests, the length that the
+HTTP headers state, and that the member ends where the record does. Nothing beyond one record is held.
 
 Defined cases: a null html is an empty payload. Rows that share the largest id of a payload are all
 responses. A null id is smaller than any other; where all ids are null, all are responses and there
@@ -38,7 +38,9 @@ from stratalake.sources.staging import Staging
 class WarcParams:
     min_bytes: int = 0
     # A file is closed after the record that takes it beyond this.
-    file_bytes: int = 32 << 20
+    file_bytes: int = 1 << 30
+    # Tasks that read archives, for each core.
+    readers_per_core: int = 4
     level: int = 5
     chunk_bytes: int = 1 << 16
     # Fixed, so that archives of equal pages are equal.
@@ -172,15 +174,25 @@ def read_records(source, params: WarcParams = WarcParams()) -> Iterator[WarcReco
         head, _, payload = block.partition(b"\r\n\r\n")
         if headers["warc-type"] == "response" and headers["warc-payload-digest"] != f"sha1:{sha1_base32(payload)}":
             raise WarcError(f"payload digest of {headers['warc-record-id']}")
-        yield WarcRecord(headers, _headers(head)[1], payload)
+        http = _headers(head)[1]
+        if headers["warc-type"] == "response" and int(http["content-length"]) != len(payload):
+            raise WarcError(f"HTTP length of {headers['warc-record-id']}")
+        yield WarcRecord(headers, http, payload)
 
 
 # ---- files ----
 
+def plain_uri(uri: str) -> str:
+    """A folder's URI as Arrow names it: Spark may write file:/x for file:///x, and s3a for s3."""
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file" and not rest.startswith("//"):
+        return rest
+    return f"s3:{rest}" if scheme in ("s3a", "s3n") else uri
+
+
 def open_path(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URI or of an absolute path."""
-    # Spark may write file:/x for file:///x.
-    return pafs.FileSystem.from_uri(uri.removeprefix("file:") if uri.startswith("file:/") and uri[6:7] != "/" else uri)
+    return pafs.FileSystem.from_uri(plain_uri(uri))
 
 
 def _with_roles(pages: DataFrame, params: WarcParams, staging: Staging) -> DataFrame:
@@ -255,8 +267,10 @@ def read_archives(files: DataFrame, id_type: T.DataType, params: WarcParams) ->
                     for record in read_records(source, params):
                         kind, n = record.headers["warc-type"], n + 1
                         refers = record.headers.get("warc-refers-to")
+                        # A revisit has no payload of its own: its HTTP headers state the length.
+                        size = int(record.http["content-length"]) if kind == "revisit" else len(record.payload)
                         rows.append((
-                            page_of(record.headers["warc-record-id"]), int(record.http["content-length"]),
+                            page_of(record.headers["warc-record-id"]), size,
                             record.headers["warc-payload-digest"].removeprefix("sha1:"), kind,
                             page_of(refers) if refers else None,
                         ))
@@ -268,8 +282,9 @@ def read_archives(files: DataFrame, id_type: T.DataType, params: WarcParams) ->
                 if rows:
                     yield batch_of(rows)
 
-    # One file to a task: they are alike in size.
-    return files.repartition(max(1, files.count()), "path").mapInArrow(run, schema)
+    # Dealt evenly, over no more tasks than keep every core busy: a task streams its files.
+    most = params.readers_per_core * files.sparkSession.sparkContext.defaultParallelism
+    return files.repartition(max(1, min(files.count(), most))).mapInArrow(run, schema)
 
 
 def round_trip(pages: DataFrame, params: WarcParams = WarcParams()) -> DataFrame:

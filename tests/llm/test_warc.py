@@ -9,7 +9,7 @@ from collections import Counter
 
 import pytest
 
-from stratalake.llm.warc import WarcError, WarcParams, encode_record, read_records, round_trip
+from stratalake.llm.warc import WarcError, WarcParams, encode_record, plain_uri, read_records, round_trip
 from stratalake.sources.filesystem import child_names
 from stratalake.sources.staging import shared_folder
 
@@ -95,3 +95,27 @@ def test_reader_refuses_what_is_broken():
             base64.b32encode(hashlib.sha1(old).digest()), base64.b32encode(hashlib.sha1(new).digest()))
     with pytest.raises(WarcError, match="payload digest"):
         _records(gzip.compress(forged))
+
+
+def test_reader_compares_the_stated_http_length():
+    raw = gzip.decompress(encode_record(1, "http://x", b"payload", False, None))
+    head, block = raw[:-4].split(b"\r\n\r\n", 1)
+    other = block.replace(b"Content-Length: 7", b"Content-Length: 8")
+    digests = [base64.b32encode(hashlib.sha1(b).digest()) for b in (block, other)]
+    forged = head.replace(*digests) + b"\r\n\r\n" + other + b"\r\n\r\n"
+    with pytest.raises(WarcError, match="HTTP length"):
+        _records(gzip.compress(forged))
+
+
+def test_many_small_files_share_tasks(spark):
+    rows = [(i, f"page {i} " * 20) for i in range(300)]
+    got = round_trip(_pages(spark, rows), WarcParams(file_bytes=200, readers_per_core=1))
+    assert got.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert Counter(map(tuple, got.collect())) == _brute(rows)
+
+
+def test_names_of_folders():
+    assert plain_uri("s3a://bucket/a/b") == plain_uri("s3n://bucket/a/b") == "s3://bucket/a/b"
+    assert plain_uri("file:/a/b") == "/a/b"
+    for uri in ("/a/b", "file:///a/b", "hdfs://name:8020/a"):
+        assert plain_uri(uri) == uri
