@@ -30,6 +30,9 @@ class RunContext:
     # fact's attributes), all of them (fanout), the longest tenure's (pick), or none (error).
     on_conflict: str = "own"
     fact_partition_by: tuple[str, ...] = ()
+    # Buckets in which silver and the customer dimension are laid out side by side while gold is
+    # built, about one for each 128 MB of silver; 0 joins them by a shuffle of both.
+    customer_buckets: int = 0
 
     @property
     def _utc(self) -> datetime:

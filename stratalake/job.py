@@ -60,6 +60,10 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
         help="numeric columns whose gaps are not filled with the median",
     )
     parser.add_argument("--on-conflict", choices=["own", "fanout", "error", "pick"], default="own")
+    parser.add_argument(
+        "--customer-buckets", type=int, default=0, metavar="N",
+        help="lay silver and customers out side by side, about one bucket for each 128 MB of silver",
+    )
     parser.add_argument("--null-safe", action="store_true", help="match NULL natural keys")
     parser.add_argument("--hash-salt", help="salt of the customer pseudonyms")
     args = parser.parse_args(argv)
@@ -69,6 +73,8 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
         parser.error("give either --store or --jdbc-url")
     if args.jdbc_swap and not args.jdbc_url:
         parser.error("--jdbc-swap needs --jdbc-url")
+    if args.customer_buckets and args.on_conflict != "own":
+        parser.error("--customer-buckets needs --on-conflict own")
     if any("=" not in option for option in args.jdbc_option):
         parser.error("--jdbc-option takes NAME=VALUE")
     return args
@@ -89,6 +95,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Iterable[dict]:
     ctx = RunContext(
         **settings, source_file=args.source or "", impute_exclude=tuple(args.keep_null),
         on_conflict=args.on_conflict, null_safe_lookup=args.null_safe, hash_salt=args.hash_salt,
+        customer_buckets=args.customer_buckets,
     )
     store = store_of(spark, args)
     files = "source_file" if args.record_files else None

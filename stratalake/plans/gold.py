@@ -16,7 +16,7 @@ from stratalake.functions import (
     map_values,
     rounded_product,
 )
-from stratalake.operators.colocate import co_distinct, co_locate, co_lookup
+from stratalake.operators.colocate import CoLocated, co_locate, co_lookup
 from stratalake.operators.columns import conform
 from stratalake.operators.dimensions import distinct_attributes
 from stratalake.operators.joins import all_fit_broadcast, lookup_key
@@ -104,23 +104,20 @@ def build_dim_contract(silver: DataFrame, staging: Staging) -> DataFrame:
     }), S.DIM_CONTRACT)
 
 
-def co_locate_customers(
+def co_locate_silver(
     silver: DataFrame, ctx: RunContext, staging: Staging, buckets: int,
     hot_rows: int = 1_000_000, row_id: str | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Silver and the customer dimension, written in buckets of one layout.
+) -> tuple[DataFrame, CoLocated]:
+    """Silver written in buckets by customer, and the layout for the customer dimension.
 
-    Silver is shuffled once, when it is written; the dimension's distinct rows and the facts' keys
-    then come from matching buckets. Give both to build_fact(), the dimension as
-    `customers`. Facts get their own customer (`on_conflict="own"`), the only one that the whole
-    key names.
+    Silver is shuffled once, when it is written; the dimension's rows (co_distinct) and the facts'
+    keys then come from matching buckets. Facts get their own customer (`on_conflict="own"`),
+    the only one that the whole key names.
     """
     if ctx.on_conflict != "own":
         raise ValueError("co-located customers are matched on their whole key: on_conflict='own'")
     layout = co_locate(silver, CUSTOMER, staging, buckets, hot_rows)
-    rows = layout.many(silver, [row_id] if row_id else ())
-    dim = build_dim_customer(co_distinct(rows, CUSTOMER), ctx)
-    return rows, layout.renamed(*CUSTOMER_ATTRIBUTES).one(dim)
+    return layout.many(silver, [row_id] if row_id else ()), layout.renamed(*CUSTOMER_ATTRIBUTES)
 
 
 def _with_customer(
@@ -162,8 +159,8 @@ def fact_rows(
 
     The label dimensions are measured together, broadcast if they are small and shuffled
     otherwise. The customer dimension grows with the data and is always joined by shuffle, where
-    adaptive execution splits an id that holds too many rows; with `customers`, which
-    co_locate_customers() wrote along with this silver, bucket by bucket.
+    adaptive execution splits an id that holds too many rows; with `customers`, the dimension in
+    the layout in which co_locate_silver() wrote this silver, bucket by bucket.
 
     `_first` marks one fact of each silver row that has any, so that facts lost and added can be
     counted.

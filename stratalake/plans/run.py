@@ -8,12 +8,15 @@ from pyspark.sql import types as T
 
 from stratalake.context import RunContext
 from stratalake.operators.checks import ConstraintViolation, require, warn
+from stratalake.operators.colocate import co_distinct
 from stratalake.plans.bronze import build_bronze
 from stratalake.plans.gold import (
+    CUSTOMER,
     build_dim_contract,
     build_dim_customer,
     build_dim_service,
     build_fact,
+    co_locate_silver,
     label_rows,
 )
 from stratalake.plans.silver import build_silver
@@ -82,7 +85,13 @@ def load_gold(
 
     store.begin("gold", FACT_TABLE, ctx.version)
     with Staging(store.spark) as staging:
-        publish(build_dim_customer(silver, ctx), "dim_customer")
+        rows, layout, people = silver, None, silver
+        if ctx.customer_buckets:
+            rows, layout = co_locate_silver(
+                silver, ctx, staging, ctx.customer_buckets, row_id="_row_id"
+            )
+            people = co_distinct(rows, CUSTOMER)
+        publish(build_dim_customer(people, ctx), "dim_customer")
         labels = staging.table(label_rows(silver))
         publish(build_dim_service(labels, staging), "dim_service")
         publish(build_dim_contract(labels, staging), "dim_contract")
@@ -90,9 +99,12 @@ def load_gold(
             t: store.read("gold", t, ctx.version)
             for t in ("dim_customer", "dim_service", "dim_contract")
         }
+        customers = layout.one(dims["dim_customer"]) if layout else None
+        fact = build_fact(
+            rows, dims, ctx, staging, row_id="_row_id", marked=True, customers=customers
+        )
         seen = store.write(
-            build_fact(silver, dims, ctx, staging, row_id="_row_id", marked=True), "gold",
-            FACT_TABLE, ctx.version, ctx.fact_partition_by,
+            fact, "gold", FACT_TABLE, ctx.version, ctx.fact_partition_by,
             metrics={"matched": F.count_if("_first")}, publish=False,
         )
     try:

@@ -18,7 +18,7 @@ from stratalake import schemas as S
 from stratalake.context import RunContext
 from stratalake.functions import case_rules, normalize_text, pseudonymize, rounded_product, safe_ratio
 from stratalake.operators import checks as C
-from stratalake.operators.colocate import check_co_located_key, co_locate
+from stratalake.operators.colocate import check_co_located_key, co_distinct, co_locate
 from stratalake.operators.columns import (
     fallback_column,
     lowercase_names,
@@ -428,7 +428,8 @@ def q_fact_colocated(spark, d):
     staging = Staging(spark)
     silver = staging.table(_silver(spark, d))
     labels = staging.table(G.label_rows(silver))
-    rows, customers = G.co_locate_customers(silver, RUN, staging, buckets=8)
+    rows, layout = G.co_locate_silver(silver, RUN, staging, buckets=8)
+    customers = layout.one(G.build_dim_customer(co_distinct(rows, G.CUSTOMER), RUN))
     dims = {
         "dim_service": staging.table(G.build_dim_service(labels, staging)),
         "dim_contract": staging.table(G.build_dim_contract(labels, staging)),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,9 +12,12 @@ from pyspark.sql import functions as F
 from stratalake.operators.checks import check_foreign_key
 from stratalake.operators.colocate import SLOT, check_co_located_key, co_distinct, co_locate, co_lookup, co_orphans
 from stratalake.operators.joins import lookup_key
-from stratalake.plans.gold import CUSTOMER, CUSTOMER_ATTRIBUTES, co_locate_customers
+from stratalake.plans.gold import CUSTOMER, CUSTOMER_ATTRIBUTES, build_dim_customer, co_locate_silver
+from stratalake.plans.run import run_layers
+from stratalake.sources.layers import LayerStore
 from stratalake.sources.staging import Staging
 from stratalake.workload.queries import RUN, _silver
+from stratalake.workload.subscribers import subscriber_raw
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -110,7 +114,24 @@ def test_types_empty_tables_and_no_leftovers_in_the_catalog(spark, staging):
 
 def test_customers_come_from_matching_buckets(spark, staging):
     silver = staging.table(_silver(spark, SF_DIR))
-    rows, customers = co_locate_customers(silver, RUN, staging, buckets=4, hot_rows=2)
+    rows, layout = co_locate_silver(silver, RUN, staging, buckets=4, hot_rows=2)
+    people = co_distinct(rows, CUSTOMER)
+    assert "Exchange" not in executed(people)
+    customers = layout.one(build_dim_customer(people, RUN))
     found = co_lookup(rows, customers, CUSTOMER, "customer_sk", CUSTOMER_ATTRIBUTES)
     assert "Exchange" not in executed(found)
     assert found.count() == silver.count()
+    with pytest.raises(ValueError):
+        co_locate_silver(silver, replace(RUN, on_conflict="fanout"), staging, buckets=4)
+
+
+@pytest.mark.parametrize("missing_ids", [False, True])
+def test_a_run_in_buckets_gives_the_same_gold(spark, staging, missing_ids):
+    raw = staging.table(subscriber_raw(spark, SF_DIR, missing_ids=missing_ids))
+    stores = [LayerStore(spark, staging.folder()) for _ in range(2)]
+    contexts = [RUN, replace(RUN, customer_buckets=3)]
+    metrics = [run_layers(spark, raw, store, ctx).collect() for store, ctx in zip(stores, contexts)]
+    assert metrics[0] == metrics[1]
+    plain, bucketed = (store.gold() for store in stores)
+    for name, rows in plain.items():
+        assert rows.exceptAll(bucketed[name]).count() == bucketed[name].exceptAll(rows).count() == 0, name

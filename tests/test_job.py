@@ -55,6 +55,8 @@ def test_arguments():
         parse(["report", "--store", "/s", "--jdbc-url", "jdbc:x"])
     with pytest.raises(SystemExit):
         parse(["report", "--jdbc-url", "jdbc:x", "--jdbc-option", "user"])
+    with pytest.raises(SystemExit):
+        parse(["gold", "--store", "/s", "--customer-buckets", "4", "--on-conflict", "pick"])
     assert parse(["report", "--store", "/s"]).on_conflict == "own"
     args = parse(["report", "--store", "/s", "--keep-null", "customerid", "age"])
     assert args.keep_null == ["customerid", "age"]
