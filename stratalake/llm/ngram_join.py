@@ -503,29 +503,20 @@ class _Join:
         named = _members(self.found).join(
             self.labels.withColumnRenamed("node", "set_hash"), "set_hash", "left"
         ).withColumn("component", F.coalesce("component", "set_hash"))
-        several = named.groupBy("signature").agg(
+        several = self.staging.table(named.groupBy("signature").agg(
             F.min("component").alias("_x"), F.max("component").alias("_y"), F.count(F.lit(1)).alias("members")
-        )
-        return self.staging.table(named.join(several.where("_x <> _y").drop("_x", "_y"), "signature"))
+        ).where("_x <> _y").drop("_x", "_y"))
+        return self.staging.table(named.join(several, "signature"))
 
     def verify_families(self, rows: DataFrame) -> None:
         """Link the sets that meet in large buckets, across components.
 
-        Sets that meet there, directly or through others, are a family. What lies outside the
-        family's largest component is compared with all of it, block against block.
+        What lies outside the largest component of a unit is compared with all of it, block
+        against block.
         """
         if rows.isEmpty():
             return
-        first = rows.groupBy("signature").agg(F.min("set_hash").alias("first"))
-        meets = rows.join(first, "signature").select("set_hash", "first").distinct()
-        family = components(meets, "set_hash", "first", self.staging).select(
-            F.col("node").alias("set_hash"), F.col("component").alias("family")
-        )
-        members = self.staging.table(rows.select("set_hash", "component").distinct().join(family, "set_hash"))
-        shares = members.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
-        totals = shares.groupBy("family").agg(
-            F.sum("n").alias("_all"), F.max("n").alias("_most"), F.max_by("component", F.struct("n", "component")).alias("_largest")
-        )
+        counted = compared_units(rows, self.staging)
 
         def blocks(count: Column) -> Column:
             return F.ceil(count / self.params.block).cast("int")
@@ -535,15 +526,15 @@ class _Join:
             each = F.explode(F.sequence(F.lit(0), others - 1))
             place = [at.alias("i"), each.alias("j")] if side == 0 else [each.alias("i"), at.alias("j")]
             return counted.where((F.col("component") != F.col("_largest")) | F.lit(side == 1)).select(
-                "family", *place, F.lit(side).alias("side"), "set_hash", "component"
+                "unit", *place, F.lit(side).alias("side"), "set_hash", "component"
             )
 
-        counted = members.join(totals, "family")
+        wanted = counted.select("set_hash").distinct()
         outside, whole = blocks(F.col("_all") - F.col("_most")), blocks(F.col("_all"))
-        self.gather(members.select("set_hash").distinct())
+        self.gather(wanted)
         sides = dealt(outside, whole, 0).unionByName(dealt(whole, outside, 1))
         # A set that several tasks met is held several times.
-        sets = self.sets.join(members.select("set_hash"), "set_hash", "left_semi").dropDuplicates(["set_hash"])
+        sets = self.sets.join(wanted, "set_hash", "left_semi").dropDuplicates(["set_hash"])
         found = self.staging.table(_block_links(sides.join(sets, "set_hash"), self.params.similarity))
         if not found.isEmpty():
             self.links = self.links.unionByName(found)
@@ -565,6 +556,50 @@ class _Join:
         return self.labels
 
 
+def _unit_sizes(members: DataFrame) -> DataFrame:
+    """Number of sets of each unit, and number and name of its largest component."""
+    shares = members.groupBy("unit", "family", "component").agg(F.count(F.lit(1)).alias("n"))
+    return shares.groupBy("unit", "family").agg(
+        F.sum("n").alias("_all"), F.max("n").alias("_most"),
+        F.max_by("component", F.struct("n", "component")).alias("_largest"),
+    )
+
+
+def compared_units(rows: DataFrame, staging: Staging) -> DataFrame:
+    """(unit, set_hash, component, _all, _most, _largest): what is to be compared with each other.
+
+    Sets that meet in a bucket, directly or through others, are a family. It is one unit where that
+    takes the fewest pairs, since its sets meet in many buckets; where a few buckets only hang
+    together by sets they share, each of them is a unit of its own. So no more pairs are compared
+    than are in the buckets.
+    """
+    first = staging.table(rows.groupBy("signature").agg(F.min("set_hash").alias("first")))
+    meets = rows.join(first, "signature").select("set_hash", "first").distinct()
+    family = components(meets, "set_hash", "first", staging).select(
+        F.col("node").alias("set_hash"), F.col("component").alias("family")
+    )
+    placed = staging.table(
+        rows.select("signature", "set_hash", "component").distinct().join(family, "set_hash")
+    )
+
+    def members(unit: str) -> DataFrame:
+        return placed.select(F.col(unit).alias("unit"), "family", "set_hash", "component").distinct()
+
+    def pairs(unit: str) -> DataFrame:
+        number = (F.col("_all") - F.col("_most")).cast("double") * F.col("_all")
+        return _unit_sizes(members(unit)).groupBy("family").agg(F.sum(number).alias(f"_by_{unit}"))
+
+    apart = staging.table(
+        pairs("family").join(pairs("signature"), "family").where("_by_signature < _by_family").select("family")
+    )
+    units = staging.table(
+        members("family").join(apart, "family", "left_anti")
+        .unionByName(members("signature").join(apart, "family", "left_semi"))
+    )
+    sizes = staging.table(_unit_sizes(units).where("_most < _all"))
+    return staging.table(units.join(sizes, ["unit", "family"]).drop("family"))
+
+
 def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all sets of x with all sets of y, some thousand shared tokens
     at a time."""
@@ -590,7 +625,7 @@ def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
 
 def _block_links(sides: DataFrame, similarity: Fraction) -> DataFrame:
     """(a, b): for every set of side 0 one link into each component of side 1 that it links with."""
-    place = ["family", "i", "j"]
+    place = ["unit", "i", "j"]
     laid = sides.repartition(*place).sortWithinPartitions(*place, "side")
 
     def links(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:

@@ -8,7 +8,10 @@ import numpy as np
 import pytest
 
 from conftest import WORD
-from stratalake.llm.ngram_join import NgramJoinParams, join_documents, keep_one_per_group, signatures
+from stratalake.llm.ngram_join import (
+    NgramJoinParams, compared_units, join_documents, keep_one_per_group, signatures,
+)
+from stratalake.sources.staging import Staging
 
 
 def _set(text, size=5):
@@ -84,6 +87,45 @@ def test_one_large_family_of_near_copies(spark, docs):
     assert Counter(map(tuple, got)) == _brute(rows)
 
 
+def _units(spark, rows):
+    found = compared_units(
+        spark.createDataFrame(rows, "signature long, set_hash long, component long"), Staging(spark)
+    ).collect()
+    units = defaultdict(set)
+    for r in found:
+        units[r["unit"]].add(r["set_hash"])
+    totals = {r["unit"]: (r["_all"], r["_most"]) for r in found}
+    assert all(totals[u][0] == len(sets) for u, sets in units.items())
+    return units, sum((n - most) * n for n, most in totals.values())
+
+
+def test_buckets_that_chain_are_compared_one_by_one(spark):
+    """Thirty buckets of a hundred sets, each sharing one set with the next."""
+    rows = [(-1 - b, 99 * b + i, 99 * b + i) for b in range(30) for i in range(100)]
+    units, pairs = _units(spark, rows)
+    assert sorted(map(sorted, units.values())) == [list(range(99 * b, 99 * b + 100)) for b in range(30)]
+    assert pairs == 30 * 99 * 100
+
+
+def test_buckets_of_the_same_sets_are_compared_once(spark):
+    """Components of ten; a bucket of another family holds one component only and is left out."""
+    rows = [(-1 - b, i, i // 10) for b in range(6) for i in range(50)]
+    rows += [(-100, 1000 + i, 1000) for i in range(20)]
+    units, pairs = _units(spark, rows)
+    assert list(map(sorted, units.values())) == [list(range(50))]
+    assert pairs == 40 * 50
+
+
+def test_passages_that_chain_many_sets(spark, docs):
+    """Texts of four passages out of sixty each: many share one, hardly any are alike."""
+    rng = random.Random(21)
+    passages = [" ".join(f"p{k}x{i}" for i in range(14)) for k in range(60)]
+    rows = [(i, " ".join(rng.sample(passages, 4))) for i in range(240)]
+    rows += [(1000 + i, f"{rows[i][1]} tail{i}") for i in range(0, 240, 7)]
+    got = join_documents(docs(rows), NgramJoinParams(frequent=1, bitmap_bits=20, small_bucket=2, block=16)).collect()
+    assert Counter(map(tuple, got)) == _brute(rows)
+
+
 def test_odd_rows(spark, docs):
     rows = [
         (1, None), (2, ""), (3, " \n\t"), (4, "a b"), (5, "A  B"), (6, "a b c d e"), (7, "a b c d e"),
