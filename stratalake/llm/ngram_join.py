@@ -683,7 +683,10 @@ def join_documents(docs: DataFrame, params: NgramJoinParams = NgramJoinParams())
     """doc_id, n_shingles and component_id of every row: the least id reachable by links."""
     staging = Staging(docs.sparkSession)
     rows = staging.table(_with_components(docs.select("doc_id", "text"), params, staging))
-    least = rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("_least"))
+    # Written, so that adaptive execution splits the rows of a large group.
+    least = staging.table(
+        rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("_least"))
+    )
     return rows.join(least, "component", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("_least")).alias("component_id"),
