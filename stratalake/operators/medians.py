@@ -11,14 +11,19 @@ same shuffle, so that rows are counted once for each histogram and the histogram
 Buckets are single units near zero, so ages, months and everyday amounts are settled by the first
 histogram; adaptive execution then drops the later passes. Otherwise integers and decimals of up
 to ten digits take a second pass, and wider types may take a third, which reads those types only.
-Decimals of 19 to 38 digits go seven digits a pass.
+
+Decimals of 19 to 38 digits are placed by the doubles next to them, and their buckets carry their
+least and greatest value: a pass looks inside the one open bucket of a column, cut into a million
+equal parts of its own range, whatever digits the values share. Ranks that fall into two buckets,
+or on the ends of one, are settled at once. The few rows that a pass finds are looked up before
+the next one, which computes and reads the open columns only.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from decimal import Decimal
+from decimal import Decimal, localcontext
 from functools import reduce
 from operator import or_
 
@@ -89,8 +94,9 @@ def _histogram(rows: DataFrame, start: Column, *sought: str) -> DataFrame:
     return rows.groupBy("column_id", *sought, start.alias("start")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _holding(counted: DataFrame, *within: str) -> DataFrame:
-    """The buckets in which the ranks `lower` and `upper` fall: (column_id, start, lower, upper).
+def _holding(counted: DataFrame, *within: str, kept: Sequence[str] = ()) -> DataFrame:
+    """The buckets in which the ranks `lower` and `upper` fall: (column_id, start, lower, upper,
+    *kept).
 
     At most two rows per column remain, each with the ranks that are left to find inside its
     bucket, NULL if there is none. A task orders the buckets of one column, a number that the type
@@ -103,11 +109,13 @@ def _holding(counted: DataFrame, *within: str) -> DataFrame:
         reached = F.col(rank) - (F.col("upto") - F.col("n"))
         return F.when(reached.between(1, F.col("n")), reached).alias(rank)
 
-    found = counted.withColumn("upto", upto).select("column_id", "start", left("lower"), left("upper"))
+    found = counted.withColumn("upto", upto).select("column_id", "start", left("lower"), left("upper"), *kept)
     return found.where(F.col("lower").isNotNull() | F.col("upper").isNotNull())
 
 
-def _middle(histogram: DataFrame, only_incomplete: bool) -> DataFrame:
+def _middle(
+    histogram: DataFrame, only_incomplete: bool, kept: Sequence[str] = ()
+) -> DataFrame:
     """The buckets of the middle ranks of each column. Totals come from the shuffle that orders
     the buckets, so the histogram is read once."""
     whole = Window.partitionBy("column_id")
@@ -115,12 +123,13 @@ def _middle(histogram: DataFrame, only_incomplete: bool) -> DataFrame:
     counted = histogram.select(
         "column_id", "start", "n", F.sum(F.when(present, F.col("n"))).over(whole).alias("present"),
         F.sum(F.when(present, 0).otherwise(F.col("n"))).over(whole).alias("missing"),
+        *[c for c in kept if c != "n"],
     ).where(present)
     if only_incomplete:
         counted = counted.where(F.col("missing") > 0)
     return _holding(counted.withColumns({
         "lower": F.expr("(present + 1) div 2"), "upper": F.expr("present div 2 + 1"),
-    }))
+    }), kept=kept)
 
 
 def _named_units(located: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -182,48 +191,113 @@ def _descend(df: DataFrame, columns: Sequence[str], located: DataFrame) -> DataF
     return located
 
 
-# Bucket widths of decimals beyond a BIGINT.
-_WIDE_WIDTHS = (10**31, 10**24, 10**17, 10**10, 10**3, 1)
 _ANY = "decimal(38,0)"
 
+# Doubles in a first bucket of wide decimals, 8,192 buckets per power of two, and later buckets.
+_WIDE_FIRST_BITS = 39
+_WIDE_PARTS = 1 << 20
+_WIDE_KEPT = ("n", "least", "most")
+
 
-def _wide_units(name: str, scale: int) -> Column:
+def _wide_units(value: Column, scale: int) -> Column:
     """Count of smallest units; whole part and fraction apart, as their product has 38 digits."""
     # A remainder is exact; floor() would round to 34 digits.
     if not scale:
-        return F.col(name).cast(_ANY)
-    rest = F.col(name) % F.lit(Decimal(1))
+        return value.cast(_ANY)
+    rest = value % F.lit(Decimal(1))
     ten = F.lit(Decimal(10) ** scale)
-    return ((F.col(name) - rest).cast(_ANY) * ten.cast(_ANY)).cast(_ANY) + (rest * ten).cast(_ANY)
+    return ((value - rest).cast(_ANY) * ten.cast(_ANY)).cast(_ANY) + (rest * ten).cast(_ANY)
+
+
+def _wide_part(name: str, scale: int, least: Decimal, most: Decimal) -> Column:
+    """Which equal part of the range from `least` to `most` holds the value; NULL outside it.
 
+    Ascending with the value, as is each step: the exact distance, its double and the quotient.
+    """
+    dtype = T.DecimalType(38, scale)
+    low, high = (F.lit(x).cast(dtype) for x in (least, most))
+    with localcontext() as exact:
+        exact.prec = 80
+        width = most - least
+        if scale > 6:
+            # A difference in the type itself would be rounded.
+            away = _wide_units(F.col(name), scale) - _wide_units(low, scale)
+            width = width.scaleb(scale)
+        else:
+            away = F.col(name) - low
+        part = F.floor(away.cast("double") / F.lit(float(width)) * F.lit(float(_WIDE_PARTS)))
+    return F.when(F.col(name).between(low, high), part)
+
+
+def _wide_histogram(values: DataFrame, parts: Mapping[int, Column]) -> DataFrame:
+    """(column_id, start, n, least, most) of the columns _u0, _u1, ..., counted map-side."""
+    placed = values.select(
+        *[F.col(f"_u{i}") for i in parts], *[part.alias(f"_p{i}") for i, part in parts.items()]
+    )
+    stacked = placed.select(F.stack(
+        F.lit(len(parts)), *[x for i in parts for x in (F.lit(i), F.col(f"_p{i}"), F.col(f"_u{i}"))]
+    ).alias("column_id", "start", "units"))
+    return stacked.groupBy("column_id", "start").agg(
+        F.count(F.lit(1)).alias("n"), F.min("units").alias("least"), F.max("units").alias("most")
+    )
 
-def _wide_floor(units: Column, width: int) -> Column:
-    """Start of the bucket; the lowest one of all starts at the least number of the type."""
-    if width == 1:
-        return units
-    wide = F.lit(Decimal(width)).cast(_ANY)
-    start = F.try_subtract(units, F.pmod(units, wide).cast(_ANY)).cast(_ANY)
-    least = F.lit(Decimal(1 - 10**38)).cast(_ANY)
-    return F.when(units.isNotNull(), F.coalesce(start, least))
+
+def _wide_value(rank: int, n: int, least: Decimal, most: Decimal) -> Decimal | None:
+    """The value of a rank in a bucket, if the ends of the bucket tell it."""
+    return least if rank == 1 or least == most else most if rank == n else None
 
 
 def _middle_wide(df: DataFrame, columns: Sequence[str], only_incomplete: bool) -> DataFrame:
-    """The same for decimals of up to 38 digits: seven digits a pass."""
+    """The same for decimals of up to 38 digits and of one scale. A bucket's range shrinks to a
+    millionth with each pass, so seven passes settle any values, and two or three most."""
     types = {f.name: f.dataType for f in df.schema}
-    long = _stacked(df, {i: _wide_units(c, types[c].scale).cast(_ANY) for i, c in enumerate(columns)})
-    located = None
-    for level, width in enumerate(_WIDE_WIDTHS):
-        start = _wide_floor(F.col("units"), width)
-        if located is None:
-            located = _middle(_histogram(long, start), only_incomplete)
-            continue
-        # Two buckets per column at most.
-        sought = located.withColumnRenamed("start", "place")
-        held = long.withColumn("place", _wide_floor(F.col("units"), _WIDE_WIDTHS[level - 1])).join(
-            F.broadcast(sought), ["column_id", "place"]
+    scale = types[columns[0]].scale
+    dtype = T.DecimalType(38, scale)
+    values = df.select(*[F.col(c).cast(dtype).alias(f"_u{i}") for i, c in enumerate(columns)])
+    settled: list[tuple] = []
+    first = {
+        i: F.shiftright(double_to_rank(F.col(f"_u{i}").cast("double")), _WIDE_FIRST_BITS)
+        for i in range(len(columns))
+    }
+    located = _middle(_wide_histogram(values, first), only_incomplete, _WIDE_KEPT)
+    while True:
+        # Two rows per column at most.
+        found: dict[int, list] = {}
+        for row in located.collect():
+            found.setdefault(row["column_id"], []).append(row)
+        still_open = {}
+        for i, rows in found.items():
+            lower, upper = (
+                next(_wide_value(r[rank], *(r[k] for k in _WIDE_KEPT)) for r in rows if r[rank] is not None)
+                for rank in ("lower", "upper")
+            )
+            if lower is None or upper is None:
+                # Adjacent ranks in two buckets are the ends of these, so this one holds both.
+                still_open[i] = rows[0]
+            else:
+                settled.append((i, lower, upper))
+        if not still_open:
+            break
+        parts = {
+            i: _wide_part(f"_u{i}", scale, row["least"], row["most"]) for i, row in still_open.items()
+        }
+        inside = _wide_histogram(values, parts).where(F.col("start").isNotNull())
+
+        def sought(rank: str) -> Column:
+            ranks = [still_open[i][rank] if i in still_open else None for i in range(len(columns))]
+            return F.array(*[F.lit(r).cast("bigint") for r in ranks])[F.col("column_id")]
+
+        located = _holding(
+            inside.withColumns({"lower": sought("lower"), "upper": sought("upper")}), kept=_WIDE_KEPT
         )
-        located = _holding(_histogram(held, start, "lower", "upper"), "lower", "upper")
-    return _named_units(located, columns)
+    schema = T.StructType([
+        T.StructField("column_name", T.StringType()),
+        T.StructField("lower", dtype), T.StructField("upper", dtype),
+    ])
+    middle = df.sparkSession.createDataFrame([(columns[i], *ends) for i, *ends in settled], schema)
+    return middle.select(
+        "column_name", *[_wide_units(F.col(x), scale).cast(_ANY).alias(x) for x in ("lower", "upper")]
+    )
 
 
 def middle_units(
@@ -235,12 +309,11 @@ def middle_units(
     NULLs, for which the later passes then read nothing.
     """
     types = {f.name: f.dataType for f in df.schema}
-    wide = [c for c in columns if _is_wide(types[c])]
-    narrow = [c for c in columns if c not in wide]
-    parts = [
-        middle(df, own, only_incomplete)
-        for middle, own in ((_middle_narrow, narrow), (_middle_wide, wide)) if own
-    ]
+    narrow = [c for c in columns if not _is_wide(types[c])]
+    # A pass compares values of one type.
+    wide = {s: [c for c in columns if _is_wide(types[c]) and _scale(types[c]) == s] for s in range(39)}
+    parts = [_middle_narrow(df, narrow, only_incomplete)] if narrow else []
+    parts += [_middle_wide(df, own, only_incomplete) for own in wide.values() if own]
     return reduce(DataFrame.unionByName, parts)
 
 

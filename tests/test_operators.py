@@ -187,6 +187,31 @@ def test_middle_values_of_wide_decimals(spark, values, scale):
     assert tuple(map(int, got)) == (ordered[(n - 1) // 2], ordered[n // 2])
 
 
+def test_wide_decimals_of_any_digits_take_few_passes(spark, monkeypatch):
+    """Values that differ in their first, last or twentieth digits, columns of two scales."""
+    from stratalake.operators import medians as M
+
+    passes = []
+    counted = M._wide_histogram
+    monkeypatch.setattr(M, "_wide_histogram", lambda *args: passes.append(1) or counted(*args))
+    df = spark.range(3001).selectExpr(
+        "cast(concat('9', lpad(id, 33, '0')) as decimal(38,4)) last",
+        "cast(concat(1000 + id, repeat('0', 30)) as decimal(38,4)) first",
+        "cast(concat('-0.', repeat('3', 16), lpad(id, 4, '0')) as decimal(38,20)) fraction",
+        "cast(if(id % 2 = 0, id, null) as decimal(38,4)) half",
+        "cast(7 as decimal(30,4)) same", "cast(null as decimal(38,4)) none",
+    )
+    got = {r["column_name"]: (int(r["lower"]), int(r["upper"])) for r in M.middle_units(df, df.columns).collect()}
+    assert got == {
+        "last": (int("9" + "1500".zfill(33)) * 10**4,) * 2, "first": (2500 * 10**34,) * 2,
+        "fraction": (-int("3" * 16 + "1500"),) * 2, "half": (1500 * 10**4,) * 2, "same": (70000,) * 2,
+    }
+    # Two scales, at most three passes each.
+    assert len(passes) <= 6
+    passes.clear()
+    assert [r[0] for r in M.middle_units(df, ["half", "last"], only_incomplete=True).collect()] == ["half"]
+
+
 def test_wide_decimals_are_filled_exactly(spark):
     df = spark.sql("""
         select id, cast(v as decimal(38,2)) v, cast(w as decimal(38,0)) w from values
