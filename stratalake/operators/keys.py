@@ -84,6 +84,24 @@ def key_by_range(
     )
 
 
+def rows_before(
+    df: DataFrame, number: str, size: str, out: str, part_bits: int = 16
+) -> DataFrame:
+    """Sum of `size` over the rows with a smaller `number`, which tells rows apart, as `out`.
+
+    Give a written table: it is read for the sums of the parts, 2**part_bits numbers each, and
+    again for the rows.
+    """
+    parted = df.withColumn("_part", F.shiftright(number, part_bits))
+    offsets = _offsets(parted.groupBy("_part").agg(F.sum(size).alias("_rows")), "_part")
+    below = Window.partitionBy("_part").orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        parted.withColumn("_below", F.coalesce(F.sum(size).over(below), F.lit(0)))
+        .join(F.broadcast(offsets), F.col("_part") == F.col("_offset_of"))
+        .select(*df.columns, (F.col("_offset") + F.col("_below")).alias(out))
+    )
+
+
 def key_labels(
     df: DataFrame, order_by: Sequence[str], out: str, staging: Staging
 ) -> DataFrame:

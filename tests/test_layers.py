@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake import schemas as S
 from stratalake.context import RunContext
@@ -252,6 +253,48 @@ def test_fan_out_and_its_alternatives(spark):
             fact("error")
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_fanned_out_facts_are_numbered_without_being_staged(spark, null_safe):
+    """An id of many facts and many customers, one with customers only, facts without an id."""
+    ctx = replace(CTX, on_conflict="fanout", null_safe_lookup=null_safe)
+    people = [("hot", i % 300, "x", 1) for i in range(700)] + [(None, i, "x", 1) for i in range(3)]
+    rows = [
+        (key, age, gender, tenure, Decimal(i % 11), "m", "dsl", Decimal(i % 7) if i % 5 else None, "yes", "no", None)
+        for i, (key, age, gender, tenure) in enumerate([*people, *people[:20], ("one", 5, "y", 2)])
+    ]
+    silver = spark.createDataFrame(rows, T.StructType(S.SILVER.fields[:11])).repartition(3)
+
+    class Sized(Staging):
+        def table(self, df):
+            table = super().table(df)
+            sizes.append(table.count())
+            return table
+
+    sizes = []
+    with Sized(spark) as staging:
+        silver = staging.table(silver)
+        dims = {
+            "dim_customer": staging.table(G.build_dim_customer(
+                silver.unionByName(silver.limit(1).withColumn("customer_id_anonymized", F.lit("idle"))), ctx
+            )),
+            "dim_service": staging.table(G.build_dim_service(silver, staging)),
+            "dim_contract": staging.table(G.build_dim_contract(silver, staging)),
+        }
+        fact = G.build_fact(silver, dims, ctx, staging, marked=True).cache()
+        kept = fact.drop("fact_sk", "created_timestamp", "updated_timestamp", "date_sk").orderBy("fact_sk")
+        plain = G.fact_rows(silver, dims, ctx, staging).select(*G.FACT_ORDER, "_first")
+        customers = dims["dim_customer"].count()
+        pairs = 720 * 300 + 1 + (9 if null_safe else 0)
+        matched = 721 + (3 if null_safe else 0)
+        assert fact.count() == plain.count() == pairs
+        assert fact.where("_first").count() == plain.where("_first").count() == matched
+        numbers = fact.agg(F.min("fact_sk"), F.max("fact_sk"), F.countDistinct("fact_sk")).first()
+        assert tuple(numbers) == (1, pairs, pairs)
+        got, expected = ([repr(r[:-1]) for r in rows.collect()] for rows in (kept, plain.orderBy(*G.FACT_ORDER)))
+        assert got == expected
+        assert customers < 310 and max(sizes) <= len(rows)
+
+
 # --- whole runs --------------------------------------------------------------------------------
 
 def test_metrics_and_cleanup(spark, store, tmp_path):
