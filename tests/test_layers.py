@@ -384,6 +384,38 @@ def test_facts_of_records_without_ids(spark, tmp_path, options, facts, lost, add
     assert (fact["row_count"], fact["facts_lost"], fact["facts_added"]) == (facts, lost, added)
 
 
+def test_run_without_ids_writes_the_product_in_parts(spark, tmp_path, monkeypatch):
+    """800 records that get one id, of 60 ages: the run stages no product, and no task gives much of it."""
+    import stratalake.plans.run as R
+
+    sizes = []
+
+    class Sized(Staging):
+        def table(self, df):
+            table = super().table(df)
+            sizes.append(table.count())
+            return table
+
+    monkeypatch.setattr(R, "Staging", Sized)
+    for name, value in (("_FACT_BLOCK", 32), ("_PEOPLE_BLOCK", 8), ("_FANNED_ROWS", 3_000)):
+        monkeypatch.setattr(G, name, value)
+    raw = raw_rows(spark, {"Age": 0}, *(
+        {"CustomerID": None, "Age": i % 60, "MonthlyCharges": Decimal(i)} for i in range(800)
+    ))
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    fact = run_layers(spark, raw, store, replace(CTX, on_conflict="fanout")).collect()[-1]
+    assert (fact["row_count"], fact["facts_lost"], fact["facts_added"]) == (801 * 60, 0, 801 * 59)
+    assert max(sizes) == 801
+    files = spark.read.parquet(store.path("gold", "fact_customer_churn", CTX.version)).select(
+        "fact_sk", F.col("_metadata.file_path").alias("file")
+    )
+    rows = [r["count"] for r in files.groupBy("file").count().collect()]
+    assert len(rows) > 8 and max(rows) < 801 * 60 // 4
+    assert tuple(files.agg(F.min("fact_sk"), F.max("fact_sk"), F.countDistinct("fact_sk")).first()) == (
+        1, 801 * 60, 801 * 60
+    )
+
+
 def test_failed_run_leaves_the_last_gold(spark, tmp_path):
     store = LayerStore(spark, str(tmp_path / "lake"))
     run_layers(spark, subscriber_raw(spark, SF_DIR), store, CTX)
